@@ -2,5 +2,6 @@
 
 from marquee.plans import (  # noqa: F401  (importing registers)
     queries_scalar,
+    queries_source,
 )
 from marquee.plans.catalog import ORACLES, QUERIES  # noqa: F401

@@ -19,21 +19,24 @@ def _or_empty(read, spark: SparkSession, schema: T.StructType) -> DataFrame:
 
 
 def read_raw_arrays(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
-    """`<source>.json` files, each one JSON array; adds `source` (file name) and `pos`.
+    """`<source>.json` files, or folders of files, each file one JSON array.
 
-    A JSON array cannot be split, so one file is one task; blank files give no rows. Larger
-    collections belong in the raw table (`write_raw`, `read_raw`).
+    Adds `source`, `file` and `pos`, the place in the file. A JSON array cannot be split, so one file
+    is one task; blank files give no rows. Large collections belong in the raw table (`write_raw`).
     """
+    string = T.StringType()
     layout = T.StructType(
-        [T.StructField("source", T.StringType()), T.StructField("pos", T.IntegerType()), *schema.fields]
+        [T.StructField("source", string), T.StructField("file", string), T.StructField("pos", T.IntegerType())]
+        + schema.fields
     )
 
     def read():
         files = spark.read.text(f"{folder}/*.json", wholetext=True)
-        source = F.regexp_extract("_metadata.file_name", r"([^/]*)\.json$", 1)
-        records = F.from_json("value", T.ArrayType(schema))
-        return files.select(F.url_decode(source).alias("source"), F.posexplode(records).alias("pos", "r")).select(
-            "source", "pos", "r.*"
+        path = F.url_decode("_metadata.file_path")
+        source = F.regexp_extract(path, r"([^/]*)\.json(?:/[^/]*)?$", 1)
+        records = F.posexplode(F.from_json("value", T.ArrayType(schema))).alias("pos", "r")
+        return files.select(source.alias("source"), path.alias("file"), records).select(
+            "source", "file", "pos", "r.*"
         )
 
     return _or_empty(read, spark, layout)
