@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from marquee.functions.text import let
+
 
 def joined(a: Column, separator: str = ", ") -> Column:
     """Elements as one text; null gives ''."""
@@ -21,11 +23,6 @@ def first_filled(*arrays: Column) -> Column:
     return chain.otherwise(F.array().cast("array<string>"))
 
 
-def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """`use(value)` with the value computed once, however often it is used in lambdas."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def distinct_ignoring_case(a: Column) -> Column:
     """Keep the first spelling of every element, in order."""
     keyed = F.transform(a, lambda x, i: F.struct(F.lower(x).alias("key"), i.alias("at"), x.alias("x")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from functools import cache
 
 from pyspark.sql import Column
@@ -62,12 +63,18 @@ def normalize_text(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(fold_accents(c)), r"\W+", " "))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value computed once, however often lambdas inside use it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def bigram_tokens(c: Column) -> Column:
     """Character bigrams as a set: the n-th occurrence of 'ab' is the token 'ab' + n."""
     n = F.length(c)
-    grams = F.when(
-        n >= 2, F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.substring(c, i, 2))
-    ).otherwise(F.array().cast("array<string>"))
+    grams = let(
+        c, lambda s: F.transform(F.sequence(F.lit(1), F.length(s) - 1), lambda i: F.substring(s, i, 2))
+    )
+    grams = F.when(n >= 2, grams).otherwise(F.array().cast("array<string>"))
     start = F.struct(
         F.lit("").alias("last"), F.lit(0).alias("n"), F.array().cast("array<string>").alias("out")
     )

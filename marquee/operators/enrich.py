@@ -57,8 +57,10 @@ def with_artists(df: DataFrame, keep_existing: bool = False) -> DataFrame:
 
 def phrases(normalized: Column, n: int) -> Column:
     """The next `n` words from every word of a normalized text on."""
-    words = F.split(normalized, " ")
-    return F.transform(words, lambda w, i: F.array_join(F.slice(words, i + 1, n), " "))
+    return text.let(
+        F.split(normalized, " "),
+        lambda words: F.transform(words, lambda w, i: F.array_join(F.slice(words, i + 1, n), " ")),
+    )
 
 
 def term_hits(texts: DataFrame, id: str, terms: DataFrame, n: int, keep: list[str] = ()) -> DataFrame:

@@ -171,16 +171,18 @@ def events_in_text(df: DataFrame, id: str, content: str, n_lines: int = 3, limit
     The lines of one text stay in its row as an array, so nothing is shuffled.
     """
     lines = F.filter(F.transform(F.split(content, "\n", -1), strip), lambda x: x != "")
-    rows = df.select(id, lines.alias("lines"))
-    parts = F.transform(
-        "lines",
-        lambda line, i: F.struct(
-            i.alias("pos"), line.alias("line"), F.get("lines", i - 1).alias("title"),
-            F.slice("lines", i + 2, n_lines).alias("after"),
+    parts = text.let(
+        lines,
+        lambda all_lines: F.transform(
+            all_lines,
+            lambda line, i: F.struct(
+                i.alias("pos"), line.alias("line"), F.get(all_lines, i - 1).alias("title"),
+                F.slice(all_lines, i + 2, n_lines).alias("after"),
+            ),
         ),
     )
     anchored = F.filter(parts, lambda p: p["line"].rlike(ANCHOR_LINE))
-    found = rows.select(id, F.explode(anchored).alias("p")).select(id, "p.*")
+    found = df.select(id, F.explode(anchored).alias("p")).select(id, "p.*")
     day = F.regexp_extract("line", ANCHOR_LINE, 1)
     iso = F.concat_ws("-", F.substring(day, 7, 4), F.substring(day, 4, 2), F.substring(day, 1, 2))
     stop = F.array_position(F.transform("after", lambda x: x.rlike(DATE_LINE)), True).cast("int")

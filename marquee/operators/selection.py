@@ -65,10 +65,10 @@ def numbered(df: DataFrame, keys: list[str], position: str, alias: str, width: i
     offsets = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0))).drop("_size")
     inside = Window.partitionBy(*keys, "_part").orderBy(position)
     return (
-        cut.withColumn("_n", F.row_number().over(inside))
+        cut.withColumn("_in_part", F.row_number().over(inside))
         .join(offsets, [*keys, "_part"])
-        .withColumn(alias, F.col("_n") + F.col("_before"))
-        .drop("_n", "_before", "_part")
+        .withColumn(alias, F.col("_in_part") + F.col("_before"))
+        .drop("_in_part", "_before", "_part")
     )
 
 

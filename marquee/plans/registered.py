@@ -1,7 +1,9 @@
 """All registered queries."""
 
 from marquee.plans import (  # noqa: F401  (importing registers)
+    queries_event,
     queries_scalar,
     queries_source,
+    queries_table,
 )
 from marquee.plans.catalog import ORACLES, QUERIES  # noqa: F401
