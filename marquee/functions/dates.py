@@ -14,12 +14,8 @@ from marquee.functions.text import WHITE, extract, strip
 
 def month_number(name: Column) -> Column:
     """Dutch and English month names, full or short; null for any other word."""
-    low = F.lower(name)
-    result = F
-    for number in range(1, 13):
-        words = [w for w, n in K.MONTHS.items() if n == number]
-        result = result.when(low.isin(words), F.lit(number))
-    return result
+    table = F.str_to_map(F.lit(",".join(f"{w}:{n}" for w, n in K.MONTHS.items())))
+    return F.try_element_at(table, F.lower(name)).cast("int")
 
 
 def _iso(year: Column, month: Column, day: Column) -> Column:

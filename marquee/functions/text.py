@@ -17,8 +17,11 @@ _EDGES = rf"^{WHITE}+|{WHITE}+$"
 
 
 def no_match_to_null(c: Column) -> Column:
-    """`regexp_extract` gives '' for no match; make that a null."""
-    return F.nullif(c, F.lit(""))
+    """'' (what `regexp_extract` gives for no match) becomes null.
+
+    Written without naming `c` twice: nested `nullif` in branches would compute it again and again.
+    """
+    return F.get(F.array_remove(F.array(c), F.lit("")), F.lit(0))
 
 
 def extract(c: Column, pattern: str, group: int = 1) -> Column:
@@ -110,8 +113,7 @@ def levenshtein(a: Column, b: Column) -> Column:
 
 def hashable_title(title: Column) -> Column:
     """Normalized title, or the lower-cased one where no Latin letter or digit is left."""
-    folded = normalize_text(title)
-    return F.when(folded == "", F.lower(strip(title))).otherwise(folded)
+    return F.coalesce(no_match_to_null(normalize_text(title)), F.lower(strip(title)))
 
 
 def event_id(source: Column, title: Column, date: Column) -> Column:

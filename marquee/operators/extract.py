@@ -22,11 +22,24 @@ from marquee.operators.selection import first_per_key
 # --- markup ---------------------------------------------------------------------------------------------
 
 
+# fixed values: named entities, '&amp;' last so that nothing is read twice
+ENTITIES = {
+    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": " ", "&euro;": "€",
+    "&eacute;": "é", "&egrave;": "è", "&euml;": "ë", "&iuml;": "ï", "&ouml;": "ö", "&uuml;": "ü",
+    "&agrave;": "à", "&ccedil;": "ç", "&rsquo;": "’", "&ndash;": "–", "&mdash;": "—", "&hellip;": "…",
+    "&middot;": "·", "&copy;": "©", "&amp;": "&",
+}
+
+
 def unescape(c: Column) -> Column:
-    """The common named entities; '&amp;' last."""
-    for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " ")):
-        c = F.replace(c, F.lit(name), F.lit(char))
-    return F.replace(c, F.lit("&amp;"), F.lit("&"))
+    """Read the named entities."""
+    pairs = F.split(F.lit(" ".join(n + x for n, x in ENTITIES.items() if x != " ")), " ")
+    name = lambda e: F.substring_index(e, ";", 1)
+    read = F.aggregate(
+        pairs, F.replace(c, F.lit("&nbsp;"), F.lit(" ")),
+        lambda acc, e: F.replace(acc, F.concat(name(e), F.lit(";")), F.right(e, F.lit(1))),
+    )
+    return F.when(F.contains(c, F.lit("&")), read).otherwise(c)
 
 
 def inner_text(html: Column) -> Column:
@@ -130,7 +143,7 @@ def labelled_field(html: Column, label: str) -> Column:
     """Value next to a visible label, ignoring case; null if the label is not there."""
     value = extract(
         html,
-        rf'(?is)<[a-z]+[^>]*\bfield__label\b[^>]*>\s*\Q{label}\E\s*</[a-z]+>\s*'
+        rf'(?is)\bfield__label\b[^>]*>\s*\Q{label}\E\s*</[a-z0-9]+>\s*'
         r'(?:<div[^>]*\bfield__items\b[^>]*>\s*)?<[a-z]+[^>]*\bfield__item\b[^>]*>(.*?)</(?:div|span|dd|li)>',
     )
     return no_match_to_null(inner_text(value))
@@ -151,7 +164,7 @@ def card_fields(card: Column, as_of: Column, date_pattern: str = NL_CARD_DATE, g
     before = F.regexp_extract(flat, rf"(?s)^(.*?)(?:{date_pattern})", 1)
     date = extract(flat, date_pattern, 1)
     time = extract(flat, CARD_TIME)
-    after = F.when(time.isNotNull(), strip(F.substring_index(flat, time, -1)))
+    after = F.when(time.isNotNull(), strip(F.call_function("substring_index", flat, time, F.lit(-1))))
     return {
         "title": no_match_to_null(strip(F.when(before == "", flat).otherwise(before))),
         "date_start": dates.parse_day_month(date, as_of, grace_days),
@@ -234,14 +247,18 @@ def json_events(df: DataFrame, id: str, blob: str, as_of: Column) -> DataFrame:
     v = records.parse(F.col(blob))
     arrays = df.select(id, records.event_array(v).alias("_events")).where(F.col("_events").isNotNull())
     rows = arrays.select(id, F.posexplode(F.expr("try_variant_get(_events, '$', 'array<variant>')")).alias("pos", "v"))
-    day = records.first_key(F.col("v"), K.DATE_KEYS)
-    record = F.to_json("v")
-    return rows.select(
-        id, "pos",
+    read = rows.select(
+        id, "pos", "v",
         strip(records.first_key(F.col("v"), K.NAME_KEYS)).alias("title"),
-        dates.parse_any_date(day, as_of).alias("date_start"),
-        dates.parse_clock(F.coalesce(records.first_key(F.col("v"), ["start_time", "startTime", "time"]), day)).alias("hour_start"),
-        records.ticket_url(F.col("v"), record).alias("ticket_url"),
+        records.first_key(F.col("v"), K.DATE_KEYS).alias("_day"),
+        records.first_key(F.col("v"), ["start_time", "startTime", "time"]).alias("_time"),
+        F.to_json("v").alias("_record"),
+    )
+    return read.select(
+        id, "pos", "title",
+        dates.parse_any_date(F.col("_day"), as_of).alias("date_start"),
+        dates.parse_clock(F.coalesce("_time", "_day")).alias("hour_start"),
+        records.ticket_url(F.col("v"), F.col("_record")).alias("ticket_url"),
     ).where((F.col("title") != "") & F.col("date_start").isNotNull())
 
 

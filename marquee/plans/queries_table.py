@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from marquee import constants as K
 from marquee.functions import text
-from marquee.operators import aggregates, dedupe, enrich, festival, joins, quality, selection, taxonomy, upsert
+from marquee.operators import aggregates, dedupe, enrich, festival, filters, joins, quality, selection, taxonomy, upsert
 from marquee.operators.normalize import to_event
 from marquee.operators.similar import similar_pairs
 from marquee.plans import inputs as I
@@ -65,17 +65,11 @@ def _(t: Tables):
     return I.doc_events(t).select("event_id", dedupe.source_priority(C("source")).alias("prio"))
 
 
-@query("ddp6_merged_ids", f"with {DOC_ACTIVE}, {IDS_SQL} select key, id, place[1]::bigint as rn from i")
+@query("ddp6_merged_ids", f"with {DOC_ACTIVE}, {IDS_SQL} select i.key, id, r.ord from i join r on r.key = i.key and r.rn = place[1]")
 def _(t: Tables):
-    rows = dedupe.ranked(I.doc_events(t).where(dedupe.filters.is_active()))
+    rows = dedupe.ranked(I.doc_events(t).where(filters.is_active()))
     ids = dedupe.merged_ids(rows, "_key", "_rank")
-    # the place of the row in its group, to compare with the other engine
-    place = rows.select("_key", "_rank").join(
-        rows.select("_key", C("_rank").alias("_other")), "_key"
-    ).where(C("_other") <= C("_rank")).groupBy("_key", "_rank").agg(F.count(F.lit(1)).alias("rn"))
-    return ids.select("_key", "id", C("first_at._rank").alias("_rank")).join(place, ["_key", "_rank"]).select(
-        C("_key").alias("key"), "id", "rn"
-    )
+    return ids.select(C("_key").alias("key"), "id", C("first_at._rank.ord").alias("ord"))
 
 
 PAGE = {
@@ -106,7 +100,7 @@ PAIR_SQL = (
 
 @query("ddp3_similar_pairs", PAIR_SQL)
 def _(t: Tables):
-    nodes = page_events(t).where(dedupe.filters.is_active()).select(
+    nodes = page_events(t).where(filters.is_active()).select(
         "ord", "date_start", text.normalize_text(C("title")).alias("text")
     )
     once = nodes.groupBy("date_start", "text").agg(F.min("ord").alias("ord"))
@@ -435,11 +429,11 @@ def _(t: Tables):
 
 @query(
     "enr9_taxonomy",
-    f"with {RAW_GENRES['sql']} select code as id, 'UK ' || substr(code, 4) || ' Breaks & Hi-NRG (early) / Rock' as label, 'uk ' || substr(code, 4) || ' breaks|hi nrg' as keywords, 3 as weight from (select distinct code from ent) where code not in ('tec02', 'tec08') "
-    "union all select 'tec02', 'UK 02 Breaks & Hi-NRG (early) / Rock', 'freetekno|free tekno|tekno|hardtek', 3 from (select distinct code from ent where code = 'tec02') "
-    "union all select 'tec08', 'UK 08 Breaks & Hi-NRG (early) / Rock', 'uk 08 breaks|hi nrg|hard techno', 3 from (select distinct code from ent where code = 'tec08') "
+    f"with {RAW_GENRES['sql']} select code as id, 'UK ' || substr(code, 4) || ' Breaks & Hi-NRG (Early) / Rock' as label, 'uk ' || substr(code, 4) || ' breaks|hi nrg' as keywords, 3 as weight from (select distinct code from ent) where code not in ('tec02', 'tec08') "
+    "union all select 'tec02', 'UK 02 Breaks & Hi-NRG (Early) / Rock', 'freetekno|free tekno|tekno|hardtek', 3 from (select distinct code from ent where code = 'tec02') "
+    "union all select 'tec08', 'UK 08 Breaks & Hi-NRG (Early) / Rock', 'uk 08 breaks|hi nrg|hard techno', 3 from (select distinct code from ent where code = 'tec08') "
     "union all select 'tec', 'Techno', 'techno|acid techno|dub techno|psychedelic techno|trance techno', 3 union all select 'hou', 'House & Garage', 'house|garage', 3 "
-    "union all select 'jam', 'Jamaican (music) / Reggae', 'jamaican|reggae', 3",
+    "union all select 'jam', 'Jamaican (Music) / Reggae', 'jamaican|reggae', 3",
 )
 def _(t: Tables):
     built = taxonomy.build(raw_genres(t))
@@ -564,7 +558,7 @@ def _(t: Tables):
 
 @query("win1_group_winner", f"with {DOC_ACTIVE} select key, event_id, prio::int as prio from r where rn = 1")
 def _(t: Tables):
-    rows = dedupe.ranked(I.doc_events(t).where(dedupe.filters.is_active())).select(C("_key").alias("key"), "event_id", "_rank")
+    rows = dedupe.ranked(I.doc_events(t).where(filters.is_active())).select(C("_key").alias("key"), "event_id", "_rank")
     won = selection.first_per_key(rows, ["key"], C("_rank"))
     return won.select("key", "event_id", (-C("_rank.prio")).alias("prio"))
 

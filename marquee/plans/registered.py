@@ -2,6 +2,7 @@
 
 from marquee.plans import (  # noqa: F401  (importing registers)
     queries_event,
+    queries_page,
     queries_scalar,
     queries_source,
     queries_table,

@@ -63,3 +63,11 @@ def small(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTE
     if rows <= max_rows and (size or 0) <= max_bytes:
         return F.broadcast(df)
     return df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for work that is heavy per row when the input comes in too few pieces to do so
+    (one small file, files that cannot be split). Large inputs have more pieces than cores and stay
+    as they are, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() * 2 > cores else df.repartition(cores)
