@@ -64,12 +64,12 @@ def phrases(normalized: Column, n: int) -> Column:
 
 
 def term_hits(texts: DataFrame, id: str, terms: DataFrame, n: int, keep: list[str] = ()) -> DataFrame:
-    """(id, ..., term columns) for every whole-word term in `normalized`.
+    """(id, ..., term columns) for every whole-word term in a text, given its `phrases`.
 
-    One row per word, joined to the terms on their first word; the words that follow are compared
+    The outer explode keeps Spark from computing the phrases again in a filter on their number. One row per word, joined to the terms on their first word; the words that follow are compared
     after the join. The terms are a bounded table, so no text is shuffled.
     """
-    grams = texts.select(id, *keep, F.explode("phrases").alias("phrase"))
+    grams = texts.select(id, *keep, F.explode_outer("phrases").alias("phrase"))
     begins = F.concat("phrase", F.lit(" ")).startswith(F.concat("term", F.lit(" ")))
     return (
         grams.withColumn("first_word", F.substring_index("phrase", " ", 1))

@@ -82,6 +82,14 @@ def page_description(html: Column, limit: int = 800) -> Column:
     return no_match_to_null(text.truncate(strip(F.replace(meta(html, "og:description"), F.lit("&amp;"), F.lit("&"))), limit))
 
 
+def numbered_items(df: DataFrame, id: str, items: Column, alias: str) -> DataFrame:
+    """(id, pos, item) for every element of an array.
+
+    An outer explode: for a plain one Spark adds a filter that computes the array a second time.
+    """
+    return df.select(id, F.posexplode_outer(items).alias("pos", alias)).where(F.col("pos").isNotNull())
+
+
 # --- links ------------------------------------------------------------------------------------------------
 
 ANCHOR = r'(?is)<a\b[^>]*\bhref="([^"]*)"[^>]*>(.*?)</a>'
@@ -92,7 +100,7 @@ def links(pages: DataFrame, id: str = "page_id", html: str = "html") -> DataFram
     hrefs = F.regexp_extract_all(html, F.lit(ANCHOR), 1)
     labels = F.regexp_extract_all(html, F.lit(ANCHOR), 2)
     pairs = F.arrays_zip(hrefs.alias("href"), labels.alias("label"))
-    return pages.select(id, F.posexplode(pairs).alias("pos", "l")).select(
+    return numbered_items(pages, id, pairs, "l").select(
         id, "pos", F.col("l.href").alias("href"), inner_text(F.col("l.label")).alias("label")
     )
 
@@ -151,7 +159,7 @@ def labelled_field(html: Column, label: str) -> Column:
 
 def blocks(pages: DataFrame, id: str, html: Column, separator: str) -> DataFrame:
     """One row per part of a page between separators; what comes before the first is left out."""
-    return pages.select(id, F.posexplode(F.split(html, separator, -1)).alias("pos", "block")).where(F.col("pos") >= 1)
+    return numbered_items(pages, id, F.split(html, separator, -1), "block").where(F.col("pos") >= 1)
 
 
 NL_CARD_DATE = r"(?i)\b(?:ma|di|wo|do|vr|za|zo)\s+(\d{1,2}\s+(?:jan|feb|mrt|apr|mei|jun|jul|aug|sep|okt|nov|dec))\b"
@@ -195,7 +203,7 @@ def events_in_text(df: DataFrame, id: str, content: str, n_lines: int = 3, limit
         ),
     )
     anchored = F.filter(parts, lambda p: p["line"].rlike(ANCHOR_LINE))
-    found = df.select(id, F.explode(anchored).alias("p")).select(id, "p.*")
+    found = df.select(id, F.explode_outer(anchored).alias("p")).select(id, "p.*")
     day = F.regexp_extract("line", ANCHOR_LINE, 1)
     iso = F.concat_ws("-", F.substring(day, 7, 4), F.substring(day, 4, 2), F.substring(day, 1, 2))
     stop = F.array_position(F.transform("after", lambda x: x.rlike(DATE_LINE)), True).cast("int")
@@ -237,9 +245,9 @@ SCRIPT_JSON = r'(?is)<script[^>]*type="application/(?:json|ld\+json)"[^>]*>(.*?)
 
 
 def embedded_json(pages: DataFrame, id: str, html: str = "html") -> DataFrame:
-    """(id, pos, blob) for every JSON script of a page that can be read."""
-    found = pages.select(id, F.posexplode(F.regexp_extract_all(html, F.lit(SCRIPT_JSON), 1)).alias("pos", "blob"))
-    return found.where(F.try_parse_json("blob").isNotNull())
+    """(id, pos, blob, v) for every JSON script of a page that can be read, as text and as variant."""
+    found = numbered_items(pages, id, F.regexp_extract_all(html, F.lit(SCRIPT_JSON), 1), "blob")
+    return found.withColumn("v", F.try_parse_json("blob")).where(F.col("v").isNotNull())
 
 
 def json_events(df: DataFrame, id: str, blob: str, as_of: Column) -> DataFrame:
@@ -316,8 +324,8 @@ def structured_events(pages: DataFrame, id: str, html: str = "html") -> DataFram
     """Events from the JSON scripts of pages: objects with title and start, and schema.org events."""
     blobs = embedded_json(pages, id, html)
     deep = blobs.select(id, "pos", F.posexplode(nested_events("blob")).alias("n", "e"))
-    v = F.try_parse_json("e")
-    get = lambda path: F.try_variant_get(v, f"$.{path}", "string")
+    deep = deep.withColumn("v", F.try_parse_json("e"))
+    get = lambda path: F.try_variant_get("v", f"$.{path}", "string")
     start = get("_start")
     from_walk = deep.select(
         id, "pos", F.lit(0).alias("kind"), "n", strip(get("title")).alias("title"),
@@ -325,9 +333,8 @@ def structured_events(pages: DataFrame, id: str, html: str = "html") -> DataFram
         get("description").alias("description"), get("url").alias("source_url"),
         F.coalesce(get("registration.ticketing.lowestPrice.amount"), get("offers.price")).alias("amount"),
     )
-    parsed = blobs.withColumn("v", F.try_parse_json("blob"))
     many = F.expr("coalesce(try_variant_get(v, '$', 'array<variant>'), array(v))")
-    ld = parsed.select(id, "pos", F.posexplode(many).alias("n", "o"))
+    ld = blobs.select(id, "pos", F.posexplode(many).alias("n", "o"))
     of = lambda path: F.try_variant_get("o", path, "string")
     from_ld = ld.where((of("$['@type']") == "Event") & of("$.name").isNotNull() & of("$.startDate").isNotNull()).select(
         id, "pos", F.lit(1).alias("kind"), "n", strip(of("$.name")).alias("title"),
@@ -361,19 +368,20 @@ def calendar_events(files: DataFrame, id: str, ics: str, min_date: str | None =
     """
     cut = F.regexp_replace(F.col("block"), r"(?s)END:VEVENT.*$", "")
     unfolded = F.regexp_replace(cut, r"\r?\n[ \t]", "")
-    rows = files.select(id, F.posexplode(F.split(ics, "BEGIN:VEVENT", -1)).alias("pos", "block")).where(F.col("pos") >= 1)
-    lines = F.filter(F.split(unfolded, r"\r?\n", -1), lambda x: F.contains(x, F.lit(":")))
-    rows = rows.select(id, "pos", lines.alias("lines"))
+    found = numbered_items(files, id, F.split(ics, "BEGIN:VEVENT", -1), "block").where(F.col("pos") >= 1)
+    rows = found.select(id, "pos", unfolded.alias("text"))
 
-    def line_of(key: str) -> Column:
-        pattern = rf"(?i)^{key}(?:;[^:]*)?:"
-        return F.try_element_at(F.filter("lines", lambda x: x.rlike(pattern)), F.lit(-1))
+    # one column per property: the value of its last line
+    def last_line(key: str) -> Column:
+        values = F.regexp_extract_all("text", F.lit(rf"(?im)^{key}(?:;[^:\r\n]*)?:([^\r\n]*)"), 1)
+        return strip(F.try_element_at(values, F.lit(-1)))
 
-    def prop(key: str) -> Column:
-        return _unescape_calendar(strip(F.regexp_replace(line_of(key), r"^[^:]*:", "")))
+    keys = ["SUMMARY", "DTSTART", "DTEND", "URL", "DESCRIPTION", "LOCATION"]
+    rows = rows.select(id, "pos", *[last_line(k).alias(k) for k in keys])
+    prop = lambda key: _unescape_calendar(F.col(key))
 
     def moment(key: str) -> Column:
-        value = prop(key)
+        value = F.col(key)
         parts = r"^(\d{4})(\d{2})(\d{2})(?:T(\d{2})(\d{2})(\d{2})?(Z)?)?"
         part = lambda i: F.regexp_extract(value, parts, i)
         day = F.concat_ws("-", part(1), part(2), part(3))

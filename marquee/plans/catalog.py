@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marquee.session import spread
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -23,6 +25,10 @@ class Tables:
     def __call__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
+    def heavy(self, name: str) -> DataFrame:
+        """A table for work that is heavy per row (whole texts and pages)."""
+        return spread(self(name))
+
 
 def query(name: str, sql: str | None = None):
     """Register a function of `Tables` under a name, with the SQL that gives the same rows."""

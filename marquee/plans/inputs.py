@@ -48,7 +48,7 @@ PRIORITY = (
 
 
 def doc_events(t: Tables) -> DataFrame:
-    raw = computed(t("documents"), DOC)
+    raw = computed(t.heavy("documents"), DOC)
     given = {c: F.col(c) for c in raw.columns if c in EVENT.names}
     return to_event(raw, ["ord"], **given)
 
@@ -131,7 +131,7 @@ RAW_SQL = f"select {select_list(RAW)} from events"
 
 def raw_events(t: Tables, shape: str) -> DataFrame:
     """`events` in the layout of one raw record shape."""
-    df = computed(t("events"), RAW)
+    df = computed(t.heavy("events"), RAW)
     if shape in ("goabase", "beldub", "reggaebe"):
         return df.drop("room", "support_raw", "venue_id", "location_raw").withColumnRenamed("raw_id", "event_id")
     name = {"venue": "funke", "agenda": "minusOne"}[shape]

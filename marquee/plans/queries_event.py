@@ -345,7 +345,7 @@ def _(t: Tables):
 
 @query("flt11_hosted_elsewhere", r"select doc_id from documents where not regexp_matches(text, '(?i)the\s+of') and not regexp_matches(source, '(?i)src1')")
 def _(t: Tables):
-    rows = t("documents").where(~filters.is_hosted_elsewhere(r"the\s+of", C("text")) & ~filters.is_hosted_elsewhere("src1", C("source")))
+    rows = t.heavy("documents").where(~filters.is_hosted_elsewhere(r"the\s+of", C("text")) & ~filters.is_hosted_elsewhere("src1", C("source")))
     return rows.select("doc_id")
 
 
@@ -360,7 +360,7 @@ def _(t: Tables):
     and regexp_extract(href, '/agenda/([a-z0-9_-]+)(?:[?#].*)?$', 1) <> 'concert'""",
 )
 def _(t: Tables):
-    pages = t("pages")
+    pages = t.heavy("pages")
     extra = lambda c: pages.select("page_id", c.alias("href"))
     rows = (
         extract.links(pages).select("page_id", "href")
@@ -475,7 +475,7 @@ TABS_SQL = (
 
 
 def two_tabs(t: Tables) -> list[DataFrame]:
-    return [computed(t("labels"), OVERRIDE_TAB), computed(t("documents"), SECOND_TAB)]
+    return [computed(t("labels"), OVERRIDE_TAB), computed(t.heavy("documents"), SECOND_TAB)]
 
 
 @query(

@@ -47,7 +47,7 @@ def _(t: Tables):
     select page_id, regexp_replace(href, '[?#].*$', '') as href, min(pos)::int as pos from h where regexp_matches(href, '^/[a-zA-Z]+') group by all""",
 )
 def _(t: Tables):
-    return extract.distinct_links(extract.links(t("pages")), "page_id", r"^/[a-zA-Z]+")
+    return extract.distinct_links(extract.links(t.heavy("pages")), "page_id", r"^/[a-zA-Z]+")
 
 
 def listing_pages(t: Tables) -> DataFrame:
@@ -84,7 +84,7 @@ def with_head(t: Tables) -> DataFrame:
     )
     head = F.replace("html", F.lit("<head>"), F.concat(F.lit("<head>"), tags))
     image = F.when(C("page_id") % 5 == 0, F.concat(F.lit('<article><img class="p" src="/img/'), "page_id", F.lit('">'))).otherwise(F.lit("<article>"))
-    return t("pages").select("page_id", "url", F.replace(head, F.lit("<article>"), image).alias("html"))
+    return t.heavy("pages").select("page_id", "url", F.replace(head, F.lit("<article>"), image).alias("html"))
 
 
 @query(
@@ -109,7 +109,7 @@ def _(t: Tables):
         F.when(C("page_id") % 4 == 1, a("https://shop.example/x/", "<span>Reserveer</span> nu")).otherwise(F.lit("")),
         F.when(C("page_id") % 4 == 2, a("https://tickets.example/", "hier")).otherwise(F.lit("")),
     )
-    pages = t("pages").select("page_id", F.concat("html", more).alias("html"))
+    pages = t.heavy("pages").select("page_id", F.concat("html", more).alias("html"))
     return extract.first_ticket_link(extract.links(pages), "page_id", "own.example")
 
 
@@ -133,7 +133,7 @@ PLAIN = (
 )
 def _(t: Tables):
     text_of = extract.description(C("html"), 25, skip="(?i)^(the|la) ", stop="(?i)zzz|thsh ", limit=600)
-    return t("pages").select("page_id", text_of.alias("description"))
+    return t.heavy("pages").select("page_id", text_of.alias("description"))
 
 
 CARDS = {
@@ -159,7 +159,7 @@ def _(t: Tables):
     "with b as (select page_id, string_split(html, '<p>') as l from pages) select page_id, unnest(range(1, len(l)))::int as pos, unnest(l[2:]) as block from b",
 )
 def _(t: Tables):
-    return extract.blocks(t("pages"), "page_id", "html", "<p>")
+    return extract.blocks(t.heavy("pages"), "page_id", "html", "<p>")
 
 
 TEXT = {
@@ -199,7 +199,7 @@ def _(t: Tables):
 
 @query("ext13_script_call", "select page_id, html from pages where not contains(html, chr(92)) union all select -1, null")
 def _(t: Tables):
-    pages = t("pages").where(~F.contains("html", F.lit("\\")))
+    pages = t.heavy("pages").where(~F.contains("html", F.lit("\\")))
     escaped = F.replace(F.replace(F.replace("html", F.lit('"'), F.lit('\\"')), F.lit("/"), F.lit("\\/")), F.lit("'"), F.lit("\\'"))
     escaped = F.replace(F.replace(escaped, F.lit("\n"), F.lit("\\n")), F.lit("\t"), F.lit("\\t"))
     script = F.concat(F.lit("$('#agenda').replaceWith('"), escaped, F.lit("'); done()"))
@@ -270,7 +270,7 @@ def nested_blob() -> Column:
     "select event_id, 0 as n, 'Deep ' || event_id as title, strftime(ts, '%Y-%m-%d') as date_start from events union all select event_id, 1, 'Flat ' || event_id, strftime(ts, '%Y-%m-%d') from events",
 )
 def _(t: Tables):
-    rows = t("events").select("event_id", F.posexplode(extract.nested_events(nested_blob())).alias("n", "e"))
+    rows = t.heavy("events").select("event_id", F.posexplode(extract.nested_events(nested_blob())).alias("n", "e"))
     v = F.try_parse_json("e")
     return rows.select(
         "event_id", "n", F.try_variant_get(v, "$.title", "string").alias("title"), dates.iso_date(F.try_variant_get(v, "$._start", "string")).alias("date_start")
@@ -293,7 +293,7 @@ def _(t: Tables):
         F.lit('<html><script type="application/json" id="a">'), nested_blob(), F.lit("</script><script>var x = 1</script><script type=\"application/json\">{broken</script>"),
         F.when(C("event_id") % 3 == 0, F.concat(F.lit('<script type="application/ld+json">'), ld, F.lit("</script>"))).otherwise(F.lit("")), F.lit("</html>"),
     )
-    return extract.structured_events(t("events").select("event_id", html.alias("html")), "event_id")
+    return extract.structured_events(t.heavy("events").select("event_id", html.alias("html")), "event_id")
 
 
 class _Links(HTMLParser):
@@ -322,12 +322,12 @@ def link_records(html: str) -> list[dict]:
     union all select page_id, 'ValueError: unreadable page', null from pages where contains(html, '$$$')""",
 )
 def _(t: Tables):
-    return extract.run_extractor(t("pages"), "page_id", "html", link_records, "href string")
+    return extract.run_extractor(t.heavy("pages"), "page_id", "html", link_records, "href string")
 
 
 @query("udf3_failure_isolation", "select contains(html, '$$$') as failed, count(*) as n from pages where contains(html, '$$$') or contains(html, '<a ') group by 1")
 def _(t: Tables):
-    rows = extract.run_extractor(t("pages"), "page_id", "html", link_records, "href string")
+    rows = extract.run_extractor(t.heavy("pages"), "page_id", "html", link_records, "href string")
     return rows.select("page_id", C("_error").isNotNull().alias("failed")).distinct().groupBy("failed").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -377,7 +377,7 @@ def detail_pages(t: Tables) -> DataFrame:
     )
     url = F.concat(F.lit(BASE + "/nl/day/17/act-"), "user_id")
     days = F.when(C("event_id") % 3 == 0, F.array(F.day("ts"), F.day("ts") + 2)).otherwise(F.array(F.day("ts")))
-    return t("events").select("event_id", url.alias("url"), days.alias("days"), html.alias("html"))
+    return t.heavy("events").select("event_id", url.alias("url"), days.alias("days"), html.alias("html"))
 
 
 @query(

@@ -17,7 +17,7 @@ C = F.col
 
 @query("str1_normalize_text", f"select doc_id, {norm('text')} as folded from documents")
 def _(t: Tables):
-    return t("documents").select("doc_id", text.normalize_text(C("text")).alias("folded"))
+    return t.heavy("documents").select("doc_id", text.normalize_text(C("text")).alias("folded"))
 
 
 PAIRS = {"p_partkey": "p_partkey", "a": "p_name", "b": "concat(lower(p_type), ' ', p_name)"}
@@ -45,12 +45,12 @@ def _(t: Tables):
 
 @query("str4_event_id", f"select doc_id, {event_id('source', 'text', 'lang')} as event_id from documents")
 def _(t: Tables):
-    return t("documents").select("doc_id", text.event_id(C("source"), C("text"), C("lang")).alias("event_id"))
+    return t.heavy("documents").select("doc_id", text.event_id(C("source"), C("text"), C("lang")).alias("event_id"))
 
 
 @query("str5_dedupe_key", f"select doc_id, {dedupe_key('text', 'lang')} as key from documents")
 def _(t: Tables):
-    return t("documents").select("doc_id", text.dedupe_key(C("text"), C("lang")).alias("key"))
+    return t.heavy("documents").select("doc_id", text.dedupe_key(C("text"), C("lang")).alias("key"))
 
 
 @query(
@@ -78,7 +78,7 @@ def _(t: Tables):
     r"select doc_id, trim(regexp_replace(text, '[\s\x{00a0}]+', ' ', 'g')) as cleaned from documents",
 )
 def _(t: Tables):
-    return t("documents").select("doc_id", text.clean(C("text")).alias("cleaned"))
+    return t.heavy("documents").select("doc_id", text.clean(C("text")).alias("cleaned"))
 
 
 SLUG = {
@@ -111,7 +111,7 @@ WORD_LIST = "[" + ", ".join(f"'{w}'" for w in WORDS) + "]"
     "lambda w: contains(lower(text), lower(w))), ', '), '') as found from documents",
 )
 def _(t: Tables):
-    return t("documents").select("doc_id", text.listed_words(C("text"), WORDS).alias("found"))
+    return t.heavy("documents").select("doc_id", text.listed_words(C("text"), WORDS).alias("found"))
 
 
 TITLES = {
@@ -205,7 +205,7 @@ def _(t: Tables):
        "or i = len(string_split(text, chr(10))))::bigint), ' '), 1, 600), '') as joined from documents "
        "where not contains(text, chr(10) || chr(10)) and not text like chr(10) || '%'")
 def _(t: Tables):
-    rows = t("documents").where(~F.contains("text", F.lit("\n\n")) & ~C("text").startswith("\n"))
+    rows = t.heavy("documents").where(~F.contains("text", F.lit("\n\n")) & ~C("text").startswith("\n"))
     return rows.select(
         "doc_id", text.truncate(C("text"), 500).alias("cut"),
         text.join_until(F.split("text", "\n", -1), 600).alias("joined"),
@@ -475,7 +475,7 @@ HREFS = r"""select page_id, unnest(regexp_extract_all(html, '<a [^>]*href="([^"]
 def _(t: Tables):
     from marquee.operators import extract
 
-    pages = t("pages")
+    pages = t.heavy("pages")
     all_links = extract.links(pages).select("page_id", "href").unionByName(pages.select("page_id", C("url").alias("href")))
     return all_links.select("page_id", "href", urls.absolute("https://site.example", C("href")).alias("url"))
 
@@ -497,7 +497,7 @@ def _(t: Tables):
     "select page_id, string_split(string_split(url, '?')[1], '/')[-1] as image from pages",
 )
 def _(t: Tables):
-    return t("pages").select("page_id", urls.image_key(C("url")).alias("image"))
+    return t.heavy("pages").select("page_id", urls.image_key(C("url")).alias("image"))
 
 
 MAPS = {
@@ -530,7 +530,7 @@ def _(t: Tables):
 
 @query("url5_strip_query", "select page_id, regexp_replace(url, '[?#].*$', '') as url from pages")
 def _(t: Tables):
-    return t("pages").select("page_id", urls.strip_query(C("url")).alias("url"))
+    return t.heavy("pages").select("page_id", urls.strip_query(C("url")).alias("url"))
 
 
 # --- arrays ------------------------------------------------------------------------------------------------------
@@ -564,7 +564,7 @@ def _(t: Tables):
     "select doc_id, string_agg(w, ' ' order by i) as kept from f group by doc_id",
 )
 def _(t: Tables):
-    return t("documents").select(
+    return t.heavy("documents").select(
         "doc_id", F.array_join(arrays.distinct_ignoring_case(F.split("text", " ", -1)), " ").alias("kept")
     )
 
@@ -574,7 +574,7 @@ def _(t: Tables):
     "select doc_id, list_filter(string_split(text, ' '), lambda w: length(w) > 7)[1] as word from documents",
 )
 def _(t: Tables):
-    return t("documents").select(
+    return t.heavy("documents").select(
         "doc_id", arrays.first_match(F.split("text", " ", -1), lambda w: F.length(w) > 7).alias("word")
     )
 
@@ -605,7 +605,7 @@ def event_records(t: Tables):
             F.from_json("props", "k int").alias("props"),
         )
     )
-    return t("events").select("event_id", "user_id", "ts", record.alias("record"))
+    return t.heavy("events").select("event_id", "user_id", "ts", record.alias("record"))
 
 
 @query(

@@ -86,7 +86,7 @@ PAGE_SQL = f"select {select_list(PAGE)} from pages"
 
 def page_events(t: Tables) -> DataFrame:
     """Pages as events: the heading is the title, the language stands for the date."""
-    raw = computed(t("pages"), PAGE)
+    raw = computed(t.heavy("pages"), PAGE)
     return to_event(raw, ["ord"], **{c: C(c) for c in PAGE if c != "ord"})
 
 
@@ -138,7 +138,7 @@ def _(t: Tables):
 
 @query("agg1_group_sizes", f"with d as (select {dedupe_key('text', 'lang')} as key from documents) select key, count(*) as n from d group by key")
 def _(t: Tables):
-    keyed = t("documents").select(text.dedupe_key(C("text"), C("lang")).alias("key"))
+    keyed = t.heavy("documents").select(text.dedupe_key(C("text"), C("lang")).alias("key"))
     return keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -380,7 +380,7 @@ def _(t: Tables):
     records = listed.select("ord", "id", F.lit(1).alias("weight"), F.array("word").alias("keywords"), none.alias("aliases"))
     table = dimensions.term_table(records)
     n = max(len(w.split()) for w in DOC_TERMS)
-    shaped = t("documents").select("doc_id", enrich.phrases(text.normalize_text(C("text")), n).alias("phrases"))
+    shaped = t.heavy("documents").select("doc_id", enrich.phrases(text.normalize_text(C("text")), n).alias("phrases"))
     hits = enrich.term_hits(shaped, "doc_id", table, n)
     return hits.select("term", "doc_id").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_docs"))
 
@@ -487,7 +487,7 @@ s as (select doc_id, list_filter(list_transform(flatten(l), lambda x: regexp_rep
 and regexp_matches(x, '^[a-zA-Z\x{00c0}-\x{00ff}0-9]')) as l from p)
 select doc_id, len(list_distinct(list_transform(l, lambda x: lower(x))))::int as n, coalesce(l[1], '') as first from s""")
 def _(t: Tables):
-    rows = to_event(t("documents"), ["doc_id"], title=C("text"))
+    rows = to_event(t.heavy("documents"), ["doc_id"], title=C("text"))
     found = enrich.with_artists(rows)
     return found.select("doc_id", F.size("artists").alias("n"), F.coalesce(F.get("artists", F.lit(0)), F.lit("")).alias("first"))
 
@@ -577,7 +577,7 @@ def _(t: Tables):
 
 @query("win5_longest_text", "select lang, arg_min(text, (-length(text), doc_id)) as text from documents group by lang")
 def _(t: Tables):
-    return selection.longest_per_key(t("documents").select("lang", "text", "doc_id"), ["lang"], "text", C("doc_id"))
+    return selection.longest_per_key(t.heavy("documents").select("lang", "text", "doc_id"), ["lang"], "text", C("doc_id"))
 
 
 IMAGES = {
@@ -772,7 +772,7 @@ ROUTED_SQL = (
 
 @query("ups5_two_tables", ROUTED_SQL)
 def _(t: Tables):
-    docs = t("documents")
+    docs = t.heavy("documents")
     old = docs.where(C("doc_id") % 4 == 0).selectExpr(
         "concat('e', doc_id) as event_id", "doc_id as row_no", "case when doc_id % 2 = 0 then '2024-02-01' else '2020-01-01' end as date_start"
     ).unionByName(
