@@ -122,13 +122,37 @@ def _(t: Tables):
     return pairs.select("i", "j", F.round("sim", 6).alias("sim"))
 
 
-@query("ddp4_greedy_resolution")
+# the pairs gone through one by one, the removed rows carried along in a list
+GREEDY_SQL = (
+    f"with recursive w as (select *, {norm('title')} as a, {I.PRIORITY} as prio from ({PAGE_SQL}) where status <> 'duplicate'), "
+    "n as (select *, row_number() over (partition by a, date_start order by prio desc, (price is not null)::int desc, ord) as rn from w), "
+    "u as (select * from n where rn = 1), "
+    "q as (select x.ord as i, y.ord as j, x.a as a, y.a as b, case when x.prio >= y.prio then y.event_id else x.event_id end as loser, "
+    "case when x.prio >= y.prio then x.event_id else y.event_id end as winner from u x join u y on x.date_start = y.date_start and x.ord < y.ord), "
+    f"p as (select *, row_number() over (order by i, j) as k from q where {dice('a', 'b')} >= 0.85), "
+    "r as (select 0::bigint as k, []::varchar[] as lost, false as fired, null::varchar as loser, null::varchar as winner, null::bigint as i, null::bigint as j union all "
+    "select p.k, case when list_contains(r.lost, p.loser) or list_contains(r.lost, p.winner) then r.lost else list_append(r.lost, p.loser) end, "
+    "not (list_contains(r.lost, p.loser) or list_contains(r.lost, p.winner)), p.loser, p.winner, p.i, p.j from r join p on p.k = r.k + 1), "
+    "f as (select loser, winner, i, j from r where fired), "
+    "c as (select loser, winner as root, i, j, 0 as depth from f union all select c.loser, f.winner, c.i, c.j, c.depth + 1 from c join f on f.loser = c.root), "
+    "k as (select loser, arg_max(root, depth) as root, any_value(i) as i, any_value(j) as j from c group by loser) "
+)
+
+
+@query("ddp4_greedy_resolution", GREEDY_SQL + "select * from k")
 def _(t: Tables):
     kills = dedupe.fuzzy_kills(dedupe.exact_pass(page_events(t)))
     return kills.select("loser", "root", C("at.i").alias("i"), C("at.j").alias("j"))
 
 
-@query("ddp5_marked_duplicates")
+@query(
+    "ddp5_marked_duplicates",
+    GREEDY_SQL + ", g as (select a, date_start, arg_min(event_id, rn) as event_id, arg_min(price, rn) filter (where price is not null) as price from n group by a, date_start), "
+    "m as (select k.root, arg_min(g.price, (i, j)) filter (where g.price is not null) as price from k join g on g.event_id = k.loser group by k.root), "
+    "alive as (select g.event_id, coalesce(g.price, m.price) as price from g left join m on m.root = g.event_id where g.event_id not in (select loser from k)) "
+    f"select x.event_id, case when alive.event_id is null then 'duplicate' else x.status end as status, case when alive.event_id is null then x.price else alive.price end as price, "
+    f"x.source, x.title from ({PAGE_SQL}) x left join alive on alive.event_id = x.event_id",
+)
 def _(t: Tables):
     return flat(dedupe.deduplicate(page_events(t)).select("event_id", "status", "price", "source", "title"))
 
