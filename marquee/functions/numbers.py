@@ -59,7 +59,8 @@ def number_text(c: Column) -> Column:
 
 def amount_text(c: Column) -> Column:
     """Two decimals, '.00' dropped, decimal comma."""
-    fixed = F.format_string("%.2f", c)
+    # `format_string` writes a null as text
+    fixed = F.when(c.isNotNull(), F.format_string("%.2f", c))
     return F.replace(F.regexp_replace(fixed, r"\.00$", ""), F.lit("."), F.lit(","))
 
 
