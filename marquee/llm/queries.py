@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import packing, token_orc
+from marquee.llm import chat, inner_products, licences, line_templates, mixing, order_minhash, p_stable, packing, token_orc, toxicity
 from marquee.llm.common import table
+from marquee.llm.vectors import finite
 from marquee.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +41,79 @@ def op4_token_orc(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     token_orc.write_tokens(table(spark, folder, "documents"), path, vocabulary_path())
     return token_orc.digests(token_orc.read_tokens(spark, path))
+
+
+@query
+def op10_curriculum_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per document row; copies that training reads are counted in `taken`."""
+    placed = mixing.positions(mixing.plan(table(spark, folder, "documents")))
+    per_item = placed.groupBy("doc_id", "tie", "rows", "size", "source_size", "target").agg(
+        F.sum(F.when(F.col("copy") > 0, F.col("size")).otherwise(0)).alias("taken"), F.min("position").alias("first_position")
+    )
+    each = per_item.withColumn("_row", F.explode(F.sequence(F.lit(1), F.col("rows"))))
+    return each.select("doc_id", "size", "source_size", "target", "taken", "first_position")
+
+
+@query
+def op3_line_templates(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without recurring lines."""
+    cleaned = line_templates.drop_recurring(table(spark, folder, "documents"))
+    return cleaned.select("doc_id", "text", F.col("_lines").alias("n_lines"), F.col("_dropped").alias("n_dropped"))
+
+
+@query
+def op6_chat_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.formatted(table(spark, folder, "conversations"))
+
+
+ORACLES["op6_chat_snapshots"] = chat.FORMATTED_SQL
+
+
+@query
+def op5_multiprobe_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    found = p_stable.nearest(vectors, vectors.where("vec_id % 100 = 0"), 10)
+    return found.withColumnRenamed("distance", "score")
+
+
+@query
+def op7_toxicity_chain(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = toxicity.scored(docs.select("doc_id", "text"), toxicity.fit(docs, table(spark, folder, "labels")))
+    return found.select("doc_id", *[F.col(f"_p_{c}").alias(f"p_{c}") for c in toxicity.CATEGORIES], F.col("_toxic").alias("is_toxic"))
+
+
+def whole_numbers(vectors: DataFrame) -> DataFrame:
+    """vec_id and the vector's components times 64, rounded down."""
+    return vectors.select("vec_id", F.transform("embedding", lambda x: F.floor(64 * x.cast("double")).cast("double")).alias("v"))
+
+
+@query
+def op8_norm_sorted_products(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").where(finite("embedding"))
+    return inner_products.top_products(whole_numbers(vectors), whole_numbers(vectors.where("vec_id % 20 = 0")), 20)
+
+
+@query
+def op9_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per document with the class it is in."""
+    return order_minhash.near_classes(table(spark, folder, "documents")).select("doc_id", "n_words", "class_id")
+
+
+ORACLES["op8_norm_sorted_products"] = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as v from embeddings
+  where vec_id is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+s as (
+  select q.vec_id as query_id, c.vec_id, max(list_dot_product(q.v, c.v))::bigint as score
+  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0 and len(q.v) = len(c.v) group by all)
+select query_id, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank, vec_id, score
+from s qualify rank <= 20
+"""
+
+
+@query
+def op2_licence_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per paragraph that is predicted to be a licence notice."""
+    return licences.scan(table(spark, folder, "documents"))
