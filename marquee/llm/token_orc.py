@@ -62,7 +62,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = 2, s
     )
     (
         ordered.mapInArrow(_encode(vocabulary, end_id), STORED)
-        .write.option("compression", "zstd")
+        .write.option("compression", "snappy")
         .option("orc.bloom.filter.columns", "doc_id")
         .option("orc.bloom.filter.fpp", "0.01")
         .option("orc.row.index.stride", "10000")

@@ -3,18 +3,18 @@
 Byte-level BPE never joins a character with white space that follows it, nor a letter with a punctuation
 mark, so a text can be cut before a space or a line break that follows a character other than white space,
 and after the letters of a word; the ids of the pieces are the ids of the text. Ids of words are kept in a
-dictionary of bounded size. Texts with any other white space are encoded as a whole.
+dictionary of bounded size, from which those go first that were not met for long. Texts with any other white space are encoded as a whole.
 """
 
 from __future__ import annotations
 
 import functools
 import os
-import struct
+from array import array
 
 import numpy as np
 
-KEPT_WORDS = 700_000
+KEPT_WORDS = 250_000
 MARKS = frozenset(",.;:!?")
 
 
@@ -35,6 +35,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.kept_words = kept_words
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.model = self.tokenizer.model
         self.shown = _shown_bytes()
         self.line_break = self.whole("\n")
@@ -51,51 +52,52 @@ class Encoder:
         found = self._by_words(text) if self.cuts else None
         return self.whole(text) if found is None else found
 
-    def _learn(self, pieces: set[str]) -> bool:
-        """Add new pieces. False if one of them is not safe to cut off."""
-        if len(self.words) > self.kept_words:
-            self.words.clear()
-        words, others = self.words, []
-        for p in pieces:
-            core = p[1:]
-            if core.isalpha():
-                words[p] = self._letters(p)
-            elif core[-1:] in MARKS and core[:-1].isalpha():
-                base = p[:-1]
-                ids = words.get(base)
+    def _by_words(self, text: str) -> bytes | None:
+        """None if the text has white space where it cannot be cut."""
+        if "\0" in text:
+            return None
+        first, *pieces = text.replace("\n", "\0\n").replace(" ", "\0 ").split("\0")
+        if len(self.words) > self.kept_words:  # words not met again while as many others were are forgotten
+            self.older, self.words = self.words, {}
+        words = self.words
+        parts = list(map(words.get, pieces))
+        at = -1
+        try:
+            while True:  # until there is no further piece without ids
+                at = parts.index(None, at + 1)
+                piece = pieces[at]
+                ids = words.get(piece) or self.older.get(piece) or self._learned(piece)
                 if ids is None:
-                    ids = words[base] = self._letters(base)
-                words[p] = ids + self.marks[p[-1]]
-            elif len(p.split()) != 1 or p[-1].isspace() or core[:1].isspace():
-                return False
-            else:
-                others.append(p)
-        if others:
-            for p, e in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
-                words[p] = np.array(e.ids, "<u4").tobytes()
-        return True
+                    return None
+                words[piece] = parts[at] = ids
+        except ValueError:
+            pass
+        return (self.whole(first) if first else b"") + b"".join(parts)
+
+    def _learned(self, piece: str) -> bytes | None:
+        """Ids of a new piece, None if it is not safe to cut off."""
+        core = piece[1:]
+        if core.isalpha():
+            return self._letters(piece)
+        if core[-1:] in MARKS and core[:-1].isalpha():
+            base = piece[:-1]
+            return (self.words.get(base) or self._letters(base)) + self.marks[piece[-1]]
+        if len(piece.split()) != 1 or piece[-1].isspace() or core[:1].isspace():
+            return None
+        return self.whole(piece)
 
     def _letters(self, piece: str) -> bytes:
-        """A space or line break and letters: a space and letters are one unit of the model, a line break is its own."""
+        """A space and letters are one unit of the model; a line break is a unit of its own."""
         if piece[0] == "\n":
             return self.line_break + self._unit(piece[1:])
         return self._unit(piece)
 
     def _unit(self, piece: str) -> bytes:
-        found = self.model.tokenize(piece.encode().decode("latin-1").translate(self.shown))
-        return struct.pack(f"<{len(found)}I", *[t.id for t in found])
-
-    def _by_words(self, text: str) -> bytes | None:
-        """None if the text has white space where it cannot be cut."""
-        if "\0" in text:
-            return None
-        first, *pieces = text.replace("\n", "\0\n").replace(" ", "\0 ").split("\0")
-        parts = list(map(self.words.get, pieces))
-        if None in parts:
-            if not self._learn({p for p, ids in zip(pieces, parts) if ids is None}):
-                return None
-            parts = [self.words.get(p) or self.whole(p) for p in pieces]
-        return (self.whole(first) if first else b"") + b"".join(parts)
+        if piece.isascii():
+            shown = "\u0120" + piece[1:] if piece[0] == " " else piece  # U+0120 stands for the space
+        else:
+            shown = piece.encode().decode("latin-1").translate(self.shown)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
 
 
 @functools.lru_cache(maxsize=2)
