@@ -10,8 +10,9 @@ The cell width is fitted to a sample of at most `SAMPLE` vectors (least hash of
 indexed. A bucket is stored as several rows, each with the vectors of one task, so a bucket with a third of
 all vectors is not one row. Vectors that are null, zero, of another length than most, or that hold a null
 or non-finite component take no part; rows with a null vec_id neither. Rows that repeat a vec_id are one
-candidate, at their least distance; as queries, each result is the nearest of their candidates. Fewer than
-k candidates give fewer rows; an empty table gives an empty result. Other columns are not looked at.
+candidate, at their least distance; as queries, each result is the nearest of their candidates. A query that
+meets fewer than k vectors is compared with all; fewer than k candidates give fewer rows. An empty table
+gives an empty result. Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 
 from marquee.llm.common import slices
 from marquee.llm.vectors import Best, common_length, finite, matrix, ranked
+from marquee.session import checkpointed
 
 TABLES = 4
 HASHES = 8
@@ -179,6 +181,15 @@ def _reranked(length: int, k: int):
     return run
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Queries in blocks."""
+    for batch in slices(batches, 512):
+        if batch.num_rows:
+            x = np.asarray(batch.column(1).flatten(), np.float64)
+            ids = np.asarray(batch.column(0), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array([ids.tobytes()], pa.binary()), pa.array([x.tobytes()], pa.binary())], names=["q_ids", "queries"])
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, k: int, **settings) -> DataFrame:
     """query_id, rank, vec_id, distance: the `k` nearest found of each query among all other vectors.
 
@@ -194,9 +205,19 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, **settings) -> DataF
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, distance double")
     own = F.size("v") == index.length
     stored = every.where(own).mapInArrow(_indexed(index), BUCKETS)
-    probes = length_of(queries).where(own).mapInArrow(_probes(index), BUCKETS).select(
-        "tab", "bucket", F.col("ids").alias("q_ids"), F.col("vectors").alias("queries")
-    )
+    asked = length_of(queries).where(own)
+    probes = asked.mapInArrow(_probes(index), BUCKETS).select("tab", "bucket", F.col("ids").alias("q_ids"), F.col("vectors").alias("queries"))
     met = stored.join(probes, ["tab", "bucket"]).select("ids", "vectors", "q_ids", "queries")
-    found = met.mapInArrow(_reranked(index.length, k), "query_id long, vec_id long, rank_by double")
-    return ranked(found, k).select("query_id", "rank", "vec_id", F.col("rank_by").alias("distance"))
+    compared = lambda pairs: ranked(pairs.mapInArrow(_reranked(index.length, k), "query_id long, vec_id long, rank_by double"), k)
+    found = checkpointed(compared(met))
+    # a query far from everything may have met fewer than k vectors: it visits every bucket of one table
+    done = found.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"))
+    short = checkpointed(asked.join(done, "vec_id", "left_anti"))
+    if short.take(1):
+        blocks = short.mapInArrow(_blocks, "q_ids binary, queries binary").withColumn("slot", F.monotonically_increasing_id())
+        blocks = checkpointed(blocks)
+        slots = [r["slot"] for r in blocks.select("slot").collect()]  # one number per block of queries
+        dealt = stored.where("tab = 0").withColumn("slot", F.explode(F.array(*[F.lit(s) for s in slots])))
+        scanned = compared(dealt.join(blocks, "slot").select("ids", "vectors", "q_ids", "queries"))
+        found = found.join(short.select(F.col("vec_id").alias("query_id")).distinct(), "query_id", "left_anti").unionByName(scanned)
+    return found.select("query_id", "rank", "vec_id", F.col("rank_by").alias("distance"))

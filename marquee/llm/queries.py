@@ -84,13 +84,13 @@ def op7_toxicity_chain(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def whole_numbers(vectors: DataFrame) -> DataFrame:
-    """vec_id and the vector's components times 64, rounded down."""
-    return vectors.select("vec_id", F.transform("embedding", lambda x: F.floor(64 * x.cast("double")).cast("double")).alias("v"))
+    """vec_id and the vector's components times 64, rounded down; only of finite vectors."""
+    return vectors.where(finite("embedding")).select("vec_id", F.transform("embedding", lambda x: F.floor(64 * x.cast("double")).cast("double")).alias("v"))
 
 
 @query
 def op8_norm_sorted_products(spark: SparkSession, folder: str) -> DataFrame:
-    vectors = table(spark, folder, "embeddings").where(finite("embedding"))
+    vectors = table(spark, folder, "embeddings")
     return inner_products.top_products(whole_numbers(vectors), whole_numbers(vectors.where("vec_id % 20 = 0")), 20)
 
 
