@@ -12,6 +12,7 @@ at. An empty table gives an empty result.
 from __future__ import annotations
 
 import bisect
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +28,7 @@ DIMENSIONS = 4
 BITS = 12
 HASHED = 256
 PART_TOKENS = 1 << 21
+MOST_PARTS = 10_000  # more documents make larger parts
 PIECES = (
     "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, curve long, ids binary"
 )
@@ -37,11 +39,19 @@ def projection(seed: int = 11) -> np.ndarray:
     return np.random.default_rng(seed).normal(size=(HASHED, DIMENSIONS))
 
 
-def hashed_vector(ids: np.ndarray) -> np.ndarray:
-    """Unit vector of the log counts of the ids' buckets."""
-    buckets = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(56)
-    counts = np.log1p(np.bincount(buckets.astype(np.int64), minlength=HASHED))
-    return counts / (np.linalg.norm(counts) or 1.0)
+@functools.lru_cache(maxsize=1)
+def _bucket_of(ids: int) -> np.ndarray:
+    """Hash bucket of each token id."""
+    return ((np.arange(ids, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(56)).astype(np.int64)
+
+
+def hashed_vectors(rows: list[np.ndarray]) -> np.ndarray:
+    """Per document a unit vector of the log counts of its ids' buckets."""
+    buckets = _bucket_of(1 << 16)[np.concatenate(rows) & 0xFFFF] if rows else np.empty(0, np.int64)
+    owner = np.repeat(np.arange(len(rows)) * HASHED, [len(r) for r in rows])
+    counts = np.log1p(np.bincount(owner + buckets, minlength=len(rows) * HASHED)).reshape(len(rows), HASHED)
+    norms = np.linalg.norm(counts, axis=1, keepdims=True)
+    return counts / np.where(norms > 0, norms, 1.0)
 
 
 def cells(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -88,7 +98,7 @@ def _encode(vocabulary: str, end_id: int):
         small = encode.tokenizer.get_vocab_size() <= 1 << 16
         for batch in slices(batches, 256):
             rows = [np.frombuffer(encode(t) + end, "<u4") for t in batch.column(1).to_pylist()]
-            keys = hilbert_key(cells(np.array([hashed_vector(r[:-1]) for r in rows]).reshape(-1, HASHED) @ directions))
+            keys = hilbert_key(cells(hashed_vectors([r[:-1] for r in rows]) @ directions))
             stored = [(r.astype("<u2") if small else r).tobytes() for r in rows]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(keys), pa.array([len(r) for r in rows], pa.int64()),
@@ -154,7 +164,7 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int = 0, length: int = 1024)
         )
     )
     total = encoded.agg(F.sum("n")).first()[0]
-    parts = pieces_for(total, PART_TOKENS)
+    parts = min(MOST_PARTS, pieces_for(total, PART_TOKENS))
     order = ["curve", "doc_id", "tie"]
     sums = (
         encoded.select(*order, "n")
@@ -173,7 +183,7 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int = 0, length: int = 1024)
         _dealt(starts, bases), "doc_id long, tie long, curve long, n long, ids binary, part int, base long"
     )
     return (
-        dealt.repartitionByRange(max(parts, 1), "part")
+        dealt.repartitionById(max(1, len(sums)), F.col("part"))
         .sortWithinPartitions("part", *order)
         .mapInArrow(_cut(length), PIECES)
     )

@@ -15,7 +15,7 @@ from array import array
 import numpy as np
 
 KEPT_WORDS = 250_000
-MARKS = frozenset(",.;:!?")
+MARKS = ",.;:!?$%&*#+-=/|\\^~@_()[]{}<>\""
 
 
 def _shown_bytes() -> dict[int, int]:
@@ -39,7 +39,7 @@ class Encoder:
         self.model = self.tokenizer.model
         self.shown = _shown_bytes()
         self.line_break = self.whole("\n")
-        self.marks = {m: self.whole(m) for m in MARKS}
+        self.marks: dict[str, bytes] = {}
         probe = "Ab, cd!\nEf ghé. Ij\nkl 12, it's? ßü\nñ"
         self.cuts = self._by_words(probe) == self.whole(probe)
 
@@ -72,16 +72,23 @@ class Encoder:
                 words[piece] = parts[at] = ids
         except ValueError:
             pass
-        return (self.whole(first) if first else b"") + b"".join(parts)
+        start = self._unit(first) if first.isalpha() else self.whole(first) if first else b""
+        return start + b"".join(parts)
 
     def _learned(self, piece: str) -> bytes | None:
         """Ids of a new piece, None if it is not safe to cut off."""
         core = piece[1:]
         if core.isalpha():
             return self._letters(piece)
-        if core[-1:] in MARKS and core[:-1].isalpha():
-            base = piece[:-1]
-            return (self.words.get(base) or self._letters(base)) + self.marks[piece[-1]]
+        base = piece.rstrip(MARKS)
+        if base[1:].isalpha():  # marks that follow letters are a unit of their own
+            tail = piece[len(base) :]
+            marks = self.marks.get(tail)
+            if marks is None:
+                marks = self.whole(tail)
+                if len(self.marks) < 10_000:
+                    self.marks[tail] = marks
+            return (self.words.get(base) or self._letters(base)) + marks
         if len(piece.split()) != 1 or piece[-1].isspace() or core[:1].isspace():
             return None
         return self.whole(piece)
