@@ -53,6 +53,34 @@ def doc_events(t: Tables) -> DataFrame:
     return to_event(raw, ["ord"], **given)
 
 
+# --- orders as events with near copies --------------------------------------------------------------------
+
+# twelve orders share a date; on each date three names stand in four spellings
+_SHOW = (
+    "concat(case o_orderkey % 3 when 0 then 'deep house night at the dock ' when 1 then 'jazz in the park with friends ' "
+    "else 'dub reggae soundsystem live ' end, (o_orderkey - o_orderkey % 36) % 1000)"
+)
+SHOW = {
+    "ord": "o_orderkey",
+    "event_id": "concat('s', o_orderkey)",
+    "date_start": "concat('d', o_orderkey - o_orderkey % 12)",
+    "title": f"case o_orderkey % 4 when 0 then {_SHOW} when 1 then concat({_SHOW}, 's') when 2 then upper({_SHOW}) else concat({_SHOW}, ' ', o_custkey % 100) end",
+    "source": "case o_orderkey % 5 when 0 then 'facebook' when 1 then 'goabase' when 2 then 'funke' when 3 then 'molotov' else 'other' end",
+    "price": "case when o_custkey % 3 = 0 then concat('€ ', o_custkey) end",
+    "going": "case when o_custkey % 4 = 1 then o_custkey end",
+    "aggregator_id": "case when o_orderkey % 5 <> 1 then concat('x', o_orderkey % 7, ', y', o_orderkey) end",
+    "artists": "case when o_custkey % 5 = 2 then array(concat('DJ ', o_custkey), 'B') else array() end",
+    "status": "case when o_orderkey % 40 = 39 then 'duplicate' else 'pending' end",
+}
+SHOW_SQL = f"select {select_list(SHOW)} from orders"
+SHOW_FILLED = "((price is not null)::int + (going is not null)::int + (aggregator_id is not null)::int + (len(artists) > 0)::int)"
+
+
+def show_events(t: Tables) -> DataFrame:
+    raw = computed(t("orders"), SHOW)
+    return to_event(raw, ["ord"], **{c: F.col(c) for c in SHOW if c != "ord"})
+
+
 # --- suppliers as venues -----------------------------------------------------------------------------------
 
 VENUE = {

@@ -35,19 +35,14 @@ def first_of(c: str, filled: str | None = None) -> str:
     return f"(arg_min({c}, rn) filter (where {filled or c + ' is not null'})) as {c}"
 
 
-IDS_SQL = (
-    r"i as (select key, id, min((rn, pos)) as place from (select key, rn, unnest(range(1, 9)) as pos, unnest(string_split(aggregator_id, ', ')) as id from r "
-    "where aggregator_id is not null) where id is not null group by key, id)"
-)
 SURVIVOR_SQL = (
-    f"with {DOC_ACTIVE}, {IDS_SQL}, g as (select key, count(*) as group_size, arg_min(event_id, rn) as event_id, arg_min(source, rn) as source, "
+    f"with {DOC_ACTIVE}, g as (select key, count(*) as group_size, arg_min(event_id, rn) as event_id, arg_min(source, rn) as source, "
     + ", ".join(first_of(c) for c in ("interested", "going", "ticket_url", "price", "hour_start", "genre_raw", "facebook_id"))
     + ", " + ", ".join(first_of(c, f"len({c}) > 0") for c in ("artists", "organizers"))
-    + ", arg_min(aggregator_id, rn) filter (where rn = 1) as own_ids from r group by key), "
-    "j as (select key, string_agg(id, ', ' order by place) as ids from i group by key) "
+    + ", arg_min(aggregator_id, rn) filter (where rn = 1) as aggregator_id from r group by key) "
     "select event_id, source, group_size, interested, going, ticket_url, price, hour_start, genre_raw, facebook_id, "
     "coalesce(array_to_string(artists, '|'), '') as artists, coalesce(array_to_string(organizers, '|'), '') as organizers, "
-    "case when group_size > 1 then coalesce(ids, own_ids) else own_ids end as aggregator_id from g left join j using (key)"
+    "aggregator_id from g"
 )
 SURVIVOR_COLUMNS = [
     "event_id", "source", "group_size", "interested", "going", "ticket_url", "price", "hour_start", "genre_raw",
@@ -65,42 +60,20 @@ def _(t: Tables):
     return I.doc_events(t).select("event_id", dedupe.source_priority(C("source")).alias("prio"))
 
 
-@query("ddp6_merged_ids", f"with {DOC_ACTIVE}, {IDS_SQL} select i.key, id, r.ord from i join r on r.key = i.key and r.rn = place[1]")
-def _(t: Tables):
-    rows = dedupe.ranked(I.doc_events(t).where(filters.is_active()))
-    ids = dedupe.merged_ids(rows, "_key", "_rank")
-    return ids.select(C("_key").alias("key"), "id", C("first_at._rank.ord").alias("ord"))
-
-
-PAGE = {
-    "ord": "page_id",
-    "event_id": "concat('p', page_id)",
-    "title": "regexp_extract(html, '<h1>(.*?)</h1>', 1)",
-    "date_start": "concat('2024-05-0', length(regexp_extract(html, '<html lang=\"([a-z]+)\"', 1)), regexp_extract(html, '<html lang=\"([a-z]+)\"', 1))",
-    "source": "case page_id % 4 when 0 then 'facebook' when 1 then 'goabase' when 2 then 'funke' else 'other' end",
-    "price": "case when page_id % 3 = 0 then concat('€ ', page_id) end",
-    "status": "case when page_id % 40 = 39 then 'duplicate' else 'pending' end",
-}
-PAGE_SQL = f"select {select_list(PAGE)} from pages"
-
-
-def page_events(t: Tables) -> DataFrame:
-    """Pages as events: the heading is the title, the language stands for the date."""
-    raw = computed(t.heavy("pages"), PAGE)
-    return to_event(raw, ["ord"], **{c: C(c) for c in PAGE if c != "ord"})
-
-
-PAIR_SQL = (
-    f"with p as (select ord, date_start, {norm('title')} as a from ({PAGE_SQL}) where status <> 'duplicate'), "
-    "u as (select min(ord) as ord, date_start, a from p group by date_start, a), "
-    "q as (select x.ord as i, y.ord as j, x.a as a, y.a as b from u x join u y on x.date_start = y.date_start and x.ord < y.ord) "
-    f"select i, j, round({dice('a', 'b')}, 6) as sim from q where {dice('a', 'b')} >= 0.85"
+# the duplicates of `show_events`: exact groups, their similar pairs, and the pairs gone through one by one per
+# date, the removed rows carried along in a list
+SHOW_ACTIVE = (
+    f"w as (select *, {norm('title')} as a, {I.PRIORITY} as prio, {I.SHOW_FILLED} as filled from ({I.SHOW_SQL}) where status <> 'duplicate'), "
+    "n as (select *, row_number() over (partition by a, date_start order by prio desc, filled desc, ord) as rn, min(ord) over (partition by a, date_start) as place from w), "
+    "u as (select * from n where rn = 1), "
+    "q as (select x.date_start, x.place as i, y.place as j, x.a as a, y.a as b, case when x.prio >= y.prio then y.event_id else x.event_id end as loser, "
+    "case when x.prio >= y.prio then x.event_id else y.event_id end as winner from u x join u y on x.date_start = y.date_start and x.place < y.place) "
 )
 
 
-@query("ddp3_similar_pairs", PAIR_SQL)
+@query("ddp3_similar_pairs", f"with {SHOW_ACTIVE} select i, j, round({dice('a', 'b')}, 6) as sim from q where {dice('a', 'b')} >= 0.85")
 def _(t: Tables):
-    nodes = page_events(t).where(filters.is_active()).select(
+    nodes = I.show_events(t).where(filters.is_active()).select(
         "ord", "date_start", text.normalize_text(C("title")).alias("text")
     )
     once = nodes.groupBy("date_start", "text").agg(F.min("ord").alias("ord"))
@@ -110,29 +83,24 @@ def _(t: Tables):
 
 @query(
     "join5_same_block_theta",
-    "with n as (select c_custkey, c_nationkey, lower(c_mktsegment) || ' evening with act number ' || ((c_custkey * 7919) % 1000003) as a from customer), "
-    "q as (select x.c_custkey as i, y.c_custkey as j, x.a as a, y.a as b from n x join n y on x.c_nationkey = y.c_nationkey and x.c_custkey < y.c_custkey "
+    "with n as (select c_custkey, c_custkey - c_custkey % 30 as block, lower(c_mktsegment) || ' evening with act number ' || ((c_custkey * 7919) % 1000003) as a from customer), "
+    "q as (select x.c_custkey as i, y.c_custkey as j, x.a as a, y.a as b from n x join n y on x.block = y.block and x.c_custkey < y.c_custkey "
     "and length(x.a) - 1 >= 0.739 * (length(y.a) - 1) and length(y.a) - 1 >= 0.739 * (length(x.a) - 1)), "
     f"s as (select i, j, {dice('a', 'b')} as sim from q) select i, j, round(sim, 6) as sim from s where sim >= 0.85",
 )
 def _(t: Tables):
     name = F.concat(F.lower("c_mktsegment"), F.lit(" evening with act number "), (C("c_custkey") * 7919) % 1000003)
-    nodes = t("customer").select("c_custkey", "c_nationkey", name.alias("text"))
-    pairs = similar_pairs(nodes, "c_custkey", "c_custkey", "c_nationkey", "text")
+    nodes = t("customer").select("c_custkey", (C("c_custkey") - C("c_custkey") % 30).alias("block"), name.alias("text"))
+    pairs = similar_pairs(nodes, "c_custkey", "c_custkey", "block", "text")
     return pairs.select("i", "j", F.round("sim", 6).alias("sim"))
 
 
-# the pairs gone through one by one, the removed rows carried along in a list
 GREEDY_SQL = (
-    f"with recursive w as (select *, {norm('title')} as a, {I.PRIORITY} as prio from ({PAGE_SQL}) where status <> 'duplicate'), "
-    "n as (select *, row_number() over (partition by a, date_start order by prio desc, (price is not null)::int desc, ord) as rn from w), "
-    "u as (select * from n where rn = 1), "
-    "q as (select x.ord as i, y.ord as j, x.a as a, y.a as b, case when x.prio >= y.prio then y.event_id else x.event_id end as loser, "
-    "case when x.prio >= y.prio then x.event_id else y.event_id end as winner from u x join u y on x.date_start = y.date_start and x.ord < y.ord), "
-    f"p as (select *, row_number() over (order by i, j) as k from q where {dice('a', 'b')} >= 0.85), "
-    "r as (select 0::bigint as k, []::varchar[] as lost, false as fired, null::varchar as loser, null::varchar as winner, null::bigint as i, null::bigint as j union all "
-    "select p.k, case when list_contains(r.lost, p.loser) or list_contains(r.lost, p.winner) then r.lost else list_append(r.lost, p.loser) end, "
-    "not (list_contains(r.lost, p.loser) or list_contains(r.lost, p.winner)), p.loser, p.winner, p.i, p.j from r join p on p.k = r.k + 1), "
+    f"with recursive {SHOW_ACTIVE}, "
+    f"p as (select *, row_number() over (partition by date_start order by i, j) as k from q where {dice('a', 'b')} >= 0.85), "
+    "r as (select distinct date_start, 0::bigint as k, []::varchar[] as lost, false as fired, null::varchar as loser, null::varchar as winner, null::bigint as i, null::bigint as j from p union all "
+    "select r.date_start, p.k, case when list_contains(r.lost, p.loser) or list_contains(r.lost, p.winner) then r.lost else list_append(r.lost, p.loser) end, "
+    "not (list_contains(r.lost, p.loser) or list_contains(r.lost, p.winner)), p.loser, p.winner, p.i, p.j from r join p on p.date_start = r.date_start and p.k = r.k + 1), "
     "f as (select loser, winner, i, j from r where fired), "
     "c as (select loser, winner as root, i, j, 0 as depth from f union all select c.loser, f.winner, c.i, c.j, c.depth + 1 from c join f on f.loser = c.root), "
     "k as (select loser, arg_max(root, depth) as root, any_value(i) as i, any_value(j) as j from c group by loser) "
@@ -141,20 +109,42 @@ GREEDY_SQL = (
 
 @query("ddp4_greedy_resolution", GREEDY_SQL + "select * from k")
 def _(t: Tables):
-    kills = dedupe.fuzzy_kills(dedupe.exact_pass(page_events(t)))
+    kills = dedupe.fuzzy_kills(dedupe.exact_pass(I.show_events(t)))
     return kills.select("loser", "root", C("at.i").alias("i"), C("at.j").alias("j"))
 
 
+MERGED = {"price": "price is not null", "going": "going is not null", "artists": "len(artists) > 0"}
+
+
 @query(
     "ddp5_marked_duplicates",
-    GREEDY_SQL + ", g as (select a, date_start, arg_min(event_id, rn) as event_id, arg_min(price, rn) filter (where price is not null) as price from n group by a, date_start), "
-    "m as (select k.root, arg_min(g.price, (i, j)) filter (where g.price is not null) as price from k join g on g.event_id = k.loser group by k.root), "
-    "alive as (select g.event_id, coalesce(g.price, m.price) as price from g left join m on m.root = g.event_id where g.event_id not in (select loser from k)) "
-    f"select x.event_id, case when alive.event_id is null then 'duplicate' else x.status end as status, case when alive.event_id is null then x.price else alive.price end as price, "
-    f"x.source, x.title from ({PAGE_SQL}) x left join alive on alive.event_id = x.event_id",
+    GREEDY_SQL
+    + ", g as (select a, date_start, arg_min(event_id, rn) as event_id, " + ", ".join(f"arg_min({c}, rn) filter (where {ok}) as {c}" for c, ok in MERGED.items()) + " from n group by a, date_start), "
+    "m as (select k.root, " + ", ".join(f"arg_min(g.{c}, (i, j)) filter (where g.{c} is not null) as {c}" for c in MERGED) + " from k join g on g.event_id = k.loser group by k.root), "
+    "alive as (select g.event_id, " + ", ".join(f"coalesce(g.{c}, m.{c}) as {c}" for c in MERGED) + " from g left join m on m.root = g.event_id where g.event_id not in (select loser from k)) "
+    "select x.event_id, case when alive.event_id is null then 'duplicate' else x.status end as status, x.source, x.title, x.date_start, x.aggregator_id, "
+    "case when alive.event_id is null then x.price else alive.price end as price, case when alive.event_id is null then x.going else alive.going end as going, "
+    "coalesce(array_to_string(case when alive.event_id is null then x.artists else alive.artists end, '|'), '') as artists, null::varchar as venue, '' as organizers, '' as support_acts, null::varchar as description "
+    f"from ({I.SHOW_SQL}) x left join alive on alive.event_id = x.event_id",
+)
+def _(t: Tables):
+    done, _links = dedupe.deduplicate(I.show_events(t))
+    return flat(done.select(
+        "event_id", "status", "source", "title", "date_start", "aggregator_id", "price", "going", "artists", "venue", "organizers", "support_acts", "description"
+    ))
+
+
+@query(
+    "ddp6_merged_ids",
+    GREEDY_SQL
+    + ", s as (select a, date_start, event_id as survivor from u), "
+    "e as (select a, date_start, rn, unnest(range(1, 3)) as pos, unnest(string_split(aggregator_id, ', ')) as id from n where aggregator_id is not null), "
+    "l as (select coalesce(k.root, s.survivor) as event_id, e.id, coalesce(k.i, -1) as i, coalesce(k.j, -1) as j from e join s using (a, date_start) left join k on k.loser = s.survivor) "
+    "select event_id, id, min((i, j))[1] as i, min((i, j))[2] as j from l group by event_id, id",
 )
 def _(t: Tables):
-    return flat(dedupe.deduplicate(page_events(t)).select("event_id", "status", "price", "source", "title"))
+    _done, links = dedupe.deduplicate(I.show_events(t))
+    return links.select("event_id", "id", C("place.match.i").alias("i"), C("place.match.j").alias("j"))
 
 
 # --- aggregations --------------------------------------------------------------------------------------------
@@ -298,11 +288,8 @@ def genres(t: Tables) -> DataFrame:
         F.when(C("a") == "hot", 3).otherwise(1).alias("weight"), F.when(C("a") == "red", F.array("a")).otherwise(none).alias("aliases"),
     )
     both = tops.unionByName(subs)
-    place = both.select(C("id").alias("_i"))
-    # place in the list = number of ids up to this one (the list is the bounded set of part names)
-    listed = place.agg(F.array_sort(F.collect_set("_i")).alias("ids")).first()["ids"]
-    order = t.spark.createDataFrame([(x, i + 1) for i, x in enumerate(listed)], "id string, ord int")
-    return both.join(F.broadcast(order), "id")
+    # the id is its own place in the list
+    return both.withColumn("ord", C("id"))
 
 
 STOP = ["dub", "bolt"]

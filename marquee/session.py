@@ -43,8 +43,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/marquee-{uuid.uuid4().hex}/{name}"
+    """A new path in the folder of this application in the shared folder."""
+    return f"{_scratch_root(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/marquee-{spark.sparkContext.applicationId}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove everything this application has written to scratch paths, once its results are read or stored."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -33,29 +33,35 @@ def test_deduplicate(spark):
         ("e", "Another evening", "funke", {}),
         ("f", "Jazz in the park", "funke", {"status": "duplicate"}),
     ]
-    got = {r.event_id: r for r in dedupe.deduplicate(events(spark, rows)).collect()}
+    done, links = dedupe.deduplicate(events(spark, rows))
+    got = {r.event_id: r for r in done.collect()}
     assert len(got) == len(rows)
     assert {k for k, r in got.items() if r.status != "duplicate"} == {"c", "e"}
     # the venue's own listing stays and takes what it lacks from the others, best source first
     assert (got["c"].going, got["c"].price, got["c"].title) == (5, "5", "JAZZ  in thé park")
-    assert got["c"].aggregator_id == "gb_2, gb_1, fb_1"
+    assert got["c"].aggregator_id == "gb_2"
+    assert [r.id for r in links.where("event_id = 'c'").orderBy("place").collect()] == ["gb_2", "gb_1", "fb_1"]
 
 
 def test_deduplicate_twice_changes_nothing(spark):
     rows = [(f"e{i}", f"night {i % 7} with a long common title", "funke", {"ids": f"x_{i}"}) for i in range(40)]
-    once = dedupe.deduplicate(events(spark, rows))
-    twice = dedupe.deduplicate(once)
+    once, _ = dedupe.deduplicate(events(spark, rows))
+    twice, _ = dedupe.deduplicate(once)
     key = lambda df: sorted((r.event_id, r.status, r.aggregator_id or "") for r in df.collect())
     assert key(once) == key(twice)
 
 
-def test_many_ids_are_listed_in_the_link_table(spark):
-    rows = [(f"e{i}", "same title", "funke", {"ids": f"x_{i}"}) for i in range(30)]
-    ranked = dedupe.ranked(events(spark, rows))
-    ids = dedupe.merged_ids(ranked, "_key", "_rank")
-    assert ids.count() == 30
-    assert dedupe.listed_ids(ids, "_key", limit=29).count() == 0
-    assert dedupe.listed_ids(ids, "_key", limit=30).first().aggregator_ids.count(",") == 29
+def test_groups_of_any_size_are_linked_by_one_rule(spark):
+    rows = [(f"e{i}", "same title", "funke", {"ids": f"x_{i}"}) for i in range(300)] + [("z", "alone here", "funke", {"ids": "y"})]
+    done, links = dedupe.deduplicate(events(spark, rows))
+    assert links.where("event_id = 'e0'").count() == 300 and links.where("event_id = 'z'").first().id == "y"
+    assert {r.event_id: r.aggregator_id for r in done.where("status <> 'duplicate'").collect()} == {"e0": "x_0", "z": "y"}
+
+
+def test_a_group_stands_where_its_first_member_stood(spark):
+    rows = [("a", "Jazz in the park", "facebook", {}), ("b", "Jazz in the parks", "funke", {}), ("c", "Jazz in the Park", "funke", {})]
+    done, _ = dedupe.deduplicate(events(spark, rows))
+    assert [r.event_id for r in done.where("status <> 'duplicate'").collect()] == ["c"]
 
 
 def test_merge_is_idempotent(spark):
