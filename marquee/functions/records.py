@@ -21,18 +21,18 @@ def first_key(v: Column, keys: list[str], kind: str = "string") -> Column:
     return F.coalesce(*[value(v, k, kind) for k in keys])
 
 
-def ticket_url(v: Column, text: Column) -> Column:
-    """Known ticket keys first, then any value, also one level down, that looks like a ticket link."""
+def ticket_url(v: Column) -> Column:
+    """Known ticket keys first, then key by key any text, or text one level down, that looks like a ticket link.
+
+    Keys come in the order of their names, the order in which a variant keeps them.
+    """
     direct = first_key(v, K.TICKET_KEYS)
-    top = F.map_values(F.from_json(text, "map<string,string>"))
-    below = F.flatten(
-        F.transform(
-            F.filter(top, lambda x: x.startswith("{")),
-            lambda x: F.map_values(F.from_json(x, "map<string,string>")),
-        )
-    )
+    texts = lambda m: F.map_values(F.try_variant_get(m, "$", "map<string,string>"))
+    is_object = lambda m: F.try_variant_get(m, "$", "map<string,variant>").isNotNull()
+    own = lambda m: F.when(is_object(m), texts(m)).otherwise(F.array(F.try_variant_get(m, "$", "string")))
+    members = F.map_values(F.try_variant_get(v, "$", "map<string,variant>"))
     fits = lambda x: x.startswith("http") & x.rlike(K.TICKET_WORDS)
-    found = F.get(F.filter(F.concat(top, below), fits), F.lit(0))
+    found = F.get(F.filter(F.flatten(F.transform(members, own)), fits), F.lit(0))
     return F.when(direct.startswith("http"), direct).otherwise(found)
 
 

@@ -15,71 +15,46 @@ from pyspark.sql import types as T
 
 from marquee import constants as K
 from marquee.functions import dates, records, text, urls
-from marquee.functions.text import clean, extract, no_match_to_null, strip
+from marquee.functions.markup import after_label, classes, element, inner_text, quoted, unescape
+from marquee.functions.text import clean, extract, let, no_match_to_null, strip
 from marquee.operators import aggregates
 from marquee.operators.selection import first_per_key
+from marquee.session import checkpointed
 
 # --- markup ---------------------------------------------------------------------------------------------
 
 
-# fixed values: named entities, '&amp;' last so that nothing is read twice
-ENTITIES = {
-    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": " ", "&euro;": "€",
-    "&eacute;": "é", "&egrave;": "è", "&euml;": "ë", "&iuml;": "ï", "&ouml;": "ö", "&uuml;": "ü",
-    "&agrave;": "à", "&ccedil;": "ç", "&rsquo;": "’", "&ndash;": "–", "&mdash;": "—", "&hellip;": "…",
-    "&middot;": "·", "&copy;": "©", "&amp;": "&",
-}
-
-
-def unescape(c: Column) -> Column:
-    """Read the named entities."""
-    pairs = F.split(F.lit(" ".join(n + x for n, x in ENTITIES.items() if x != " ")), " ")
-    name = lambda e: F.substring_index(e, ";", 1)
-    read = F.aggregate(
-        pairs, F.replace(c, F.lit("&nbsp;"), F.lit(" ")),
-        lambda acc, e: F.replace(acc, F.concat(name(e), F.lit(";")), F.right(e, F.lit(1))),
-    )
-    return F.when(F.contains(c, F.lit("&")), read).otherwise(c)
-
-
-def inner_text(html: Column) -> Column:
-    """Markup as text: tags out, entities read, white space collapsed."""
-    return clean(unescape(F.regexp_replace(html, r"<[^>]*>", "")))
-
-
 def body_text(html: Column) -> Column:
     """Text of a page without scripts, styles and comments."""
     bare = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1>|<!--.*?-->", " ")
     return clean(unescape(F.regexp_replace(bare, r"<[^>]*>", " ")))
 
 
-def element(html: Column, tag: str) -> Column:
+def element_of_tag(html: Column, tag: str) -> Column:
     """Content of the first element of a tag."""
     return extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>")
 
 
-def elements(html: Column, tag: str) -> Column:
-    """Contents of all elements of a tag that do not nest."""
-    return F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>"), 1)
-
-
 def meta(html: Column, prop: str) -> Column:
     """`content` of a meta property, whichever way round the attributes stand."""
     p = prop.replace(".", r"\.")
-    return F.coalesce(
-        extract(html, rf'(?i)<meta[^>]*property="{p}"[^>]*content="([^"]*)"'),
-        extract(html, rf'(?i)<meta[^>]*content="([^"]*)"[^>]*property="{p}"'),
+    return let(
+        quoted(html),
+        lambda h: unescape(F.coalesce(
+            extract(h, rf'(?i)<meta[^>]*property="{p}"[^>]*content="([^"]*)"'),
+            extract(h, rf'(?i)<meta[^>]*content="([^"]*)"[^>]*property="{p}"'),
+        )),
     )
 
 
 def main_image(html: Column) -> Column:
     """og:image, else the first image of the main part."""
-    in_main = extract(html, r'(?is)<(?:main|article)\b.*?<img[^>]*\bsrc="([^"]*)"')
+    in_main = unescape(extract(quoted(html), r'(?is)<(?:main|article)\b.*?<img[^>]*\bsrc="([^"]*)"'))
     return F.coalesce(meta(html, "og:image"), in_main)
 
 
 def page_description(html: Column, limit: int = 800) -> Column:
-    return no_match_to_null(text.truncate(strip(F.replace(meta(html, "og:description"), F.lit("&amp;"), F.lit("&"))), limit))
+    return no_match_to_null(text.truncate(strip(meta(html, "og:description")), limit))
 
 
 def numbered_items(df: DataFrame, id: str, items: Column, alias: str) -> DataFrame:
@@ -97,11 +72,15 @@ ANCHOR = r'(?is)<a\b[^>]*\bhref="([^"]*)"[^>]*>(.*?)</a>'
 
 def links(pages: DataFrame, id: str = "page_id", html: str = "html") -> DataFrame:
     """(id, pos, href, label) for every link of a page, in order."""
-    hrefs = F.regexp_extract_all(html, F.lit(ANCHOR), 1)
-    labels = F.regexp_extract_all(html, F.lit(ANCHOR), 2)
-    pairs = F.arrays_zip(hrefs.alias("href"), labels.alias("label"))
+    pairs = let(
+        quoted(F.col(html)),
+        lambda h: F.zip_with(
+            F.regexp_extract_all(h, F.lit(ANCHOR), F.lit(1)), F.regexp_extract_all(h, F.lit(ANCHOR), F.lit(2)),
+            lambda href, label: F.struct(href.alias("href"), label.alias("label")),
+        ),
+    )
     return numbered_items(pages, id, pairs, "l").select(
-        id, "pos", F.col("l.href").alias("href"), inner_text(F.col("l.label")).alias("label")
+        id, "pos", unescape(F.col("l.href")).alias("href"), inner_text(F.col("l.label")).alias("label")
     )
 
 
@@ -149,12 +128,8 @@ def description(
 
 def labelled_field(html: Column, label: str) -> Column:
     """Value next to a visible label, ignoring case; null if the label is not there."""
-    value = extract(
-        html,
-        rf'(?is)\bfield__label\b[^>]*>\s*\Q{label}\E\s*</[a-z0-9]+>\s*'
-        r'(?:<div[^>]*\bfield__items\b[^>]*>\s*)?<[a-z]+[^>]*\bfield__item\b[^>]*>(.*?)</(?:div|span|dd|li)>',
-    )
-    return no_match_to_null(inner_text(value))
+    item = let(after_label(quoted(html), label), lambda b: element(b, classes("field__item")))
+    return no_match_to_null(inner_text(item))
 
 
 def blocks(pages: DataFrame, id: str, html: Column, separator: str) -> DataFrame:
@@ -162,8 +137,11 @@ def blocks(pages: DataFrame, id: str, html: Column, separator: str) -> DataFrame
     return numbered_items(pages, id, F.split(html, separator, -1), "block").where(F.col("pos") >= 1)
 
 
+# fixed values: patterns of dates and times in cards and free text
 NL_CARD_DATE = r"(?i)\b(?:ma|di|wo|do|vr|za|zo)\s+(\d{1,2}\s+(?:jan|feb|mrt|apr|mei|jun|jul|aug|sep|okt|nov|dec))\b"
 CARD_TIME = r"\b(\d{2}:\d{2})\b"
+ANCHOR_LINE = r"^(\d{2}/\d{2}/\d{4})\s+at\s+(\d{2}:\d{2})"
+DATE_LINE = r"^\d{2}/\d{2}/\d{4}"
 
 
 def card_fields(card: Column, as_of: Column, date_pattern: str = NL_CARD_DATE, grace_days: int = 0) -> dict[str, Column]:
@@ -181,10 +159,6 @@ def card_fields(card: Column, as_of: Column, date_pattern: str = NL_CARD_DATE, g
     }
 
 
-ANCHOR_LINE = r"^(\d{2}/\d{2}/\d{4})\s+at\s+(\d{2}:\d{2})"
-DATE_LINE = r"^\d{2}/\d{2}/\d{4}"
-
-
 def events_in_text(df: DataFrame, id: str, content: str, n_lines: int = 3, limit: int = 500) -> DataFrame:
     """Free text lines: a 'dd/MM/yyyy at HH:mm' line is an event, the line before it the title, up to
     three lines after it, but not past the next date, the description.
@@ -260,92 +234,85 @@ def json_events(df: DataFrame, id: str, blob: str, as_of: Column) -> DataFrame:
         strip(records.first_key(F.col("v"), K.NAME_KEYS)).alias("title"),
         records.first_key(F.col("v"), K.DATE_KEYS).alias("_day"),
         records.first_key(F.col("v"), ["start_time", "startTime", "time"]).alias("_time"),
-        F.to_json("v").alias("_record"),
     )
     return read.select(
         id, "pos", "title",
         dates.parse_any_date(F.col("_day"), as_of).alias("date_start"),
         dates.parse_clock(F.coalesce("_time", "_day")).alias("hour_start"),
-        records.ticket_url(F.col("v"), F.col("_record")).alias("ticket_url"),
+        records.ticket_url(F.col("v")).alias("ticket_url"),
     ).where((F.col("title") != "") & F.col("date_start").isNotNull())
 
 
-def walk_events(blob: str, depth: int = 12) -> list[str]:
-    """All objects with a title and an ISO start date in a JSON text, as JSON texts (small helper)."""
-    import json
-    import re
-
-    found: list[str] = []
-
-    def start_of(o: dict):
-        scheduling = o.get("scheduling") if isinstance(o.get("scheduling"), dict) else {}
-        config = scheduling.get("config") if isinstance(scheduling.get("config"), dict) else {}
-        for holder, key in ((config, "startDate"), (scheduling, "startDate"), (o, "startDate"), (o, "start")):
-            if holder.get(key) is not None:
-                return holder[key]
-        return None
-
-    def visit(node, level: int) -> None:
-        if level > depth:
-            return
-        if isinstance(node, list):
-            for x in node:
-                visit(x, level + 1)
-        elif isinstance(node, dict):
-            title = node.get("title")
-            named = isinstance(title, str) and len(title.strip()) > 1
-            if named and re.match(r"\d{4}-\d{2}-\d{2}", str(start_of(node) or "")):
-                found.append(json.dumps(node | {"_start": start_of(node)}, ensure_ascii=False))
-                return
-            for x in node.values():
-                visit(x, level + 1)
-
-    visit(json.loads(blob), 0)
-    return found
+START_PATHS = ("$.scheduling.config.startDate", "$.scheduling.startDate", "$.startDate", "$.start")
+END_PATHS = ("$.scheduling.config.endDate", "$.scheduling.endDate", "$.endDate")
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def nested_events(blobs: pd.Series) -> pd.Series:
-    """`walk_events` over an Arrow batch; a text that cannot be read gives null."""
+def _first_of(v: Column, paths: tuple[str, ...]) -> Column:
+    return F.coalesce(*[F.try_variant_get(v, p, "string") for p in paths])
 
-    def safe(blob):
-        try:
-            return walk_events(blob)
-        except (ValueError, TypeError, RecursionError):
-            return None
 
-    return blobs.map(safe)
+def nested_events(df: DataFrame, keys: list[str], v: str, depth: int = 12) -> DataFrame:
+    """All objects with a title and an ISO start date in JSON values: keys, path (places from the top), v.
+
+    Level by level: what is no event is opened, and its members are the next level, until none is left.
+    Members of an object are visited in the order of their names.
+    """
+    level = df.select(*keys, F.array().cast("array<int>").alias("path"), F.col(v).alias("v"))
+    title = F.try_variant_get("v", "$.title", "string")
+    is_text = F.schema_of_variant(F.try_variant_get("v", "$.title", "variant")) == "STRING"
+    named = F.coalesce(is_text & (F.length(strip(title)) > 1) & _first_of(F.col("v"), START_PATHS).rlike(r"^\d{4}-\d{2}-\d{2}"), F.lit(False))
+    members = F.coalesce(
+        F.try_variant_get("v", "$", "array<variant>"), F.map_values(F.try_variant_get("v", "$", "map<string,variant>"))
+    )
+    found = None
+    for step in range(depth + 1):
+        marked = checkpointed(level.withColumn("named", named))
+        events = marked.where("named").drop("named")
+        found = events if found is None else found.unionByName(events)
+        rest = marked.where("not named").withColumn("members", members).where(F.size("members") > 0)
+        if step == depth or rest.isEmpty():
+            break
+        level = rest.select(*keys, "path", F.posexplode("members").alias("_i", "v")).select(*keys, F.array_append("path", F.col("_i")).alias("path"), "v")
+    return found
 
 
 LD_PRICE = "$.offers.price"
 
 
-def structured_events(pages: DataFrame, id: str, html: str = "html") -> DataFrame:
-    """Events from the JSON scripts of pages: objects with title and start, and schema.org events."""
+def structured_events(pages: DataFrame, id: str, html: str = "html", site: str | None = None) -> DataFrame:
+    """Events from the JSON scripts of pages: objects with title and start, and schema.org events.
+
+    With `site`, an event without a link gets one from its slug.
+    """
     blobs = embedded_json(pages, id, html)
-    deep = blobs.select(id, "pos", F.posexplode(nested_events("blob")).alias("n", "e"))
-    deep = deep.withColumn("v", F.try_parse_json("e"))
+    deep = nested_events(blobs, [id, "pos"], "v")
     get = lambda path: F.try_variant_get("v", f"$.{path}", "string")
-    start = get("_start")
+    start, end = _first_of(F.col("v"), START_PATHS), _first_of(F.col("v"), END_PATHS)
+    slug = F.concat(F.lit(f"{site}/event-details/"), get("slug")) if site else F.lit(None).cast("string")
     from_walk = deep.select(
-        id, "pos", F.lit(0).alias("kind"), "n", strip(get("title")).alias("title"),
-        dates.iso_date(start).alias("date_start"), dates.iso_time(start).alias("hour_start"),
-        get("description").alias("description"), get("url").alias("source_url"),
+        id, "pos", F.lit(0).alias("kind"), F.col("path").alias("n"), strip(get("title")).alias("title"),
+        dates.iso_date(start).alias("date_start"), dates.iso_time(start).alias("hour_start"), dates.iso_time(end).alias("hour_end"),
+        get("description").alias("description"), F.coalesce(get("url"), slug).alias("source_url"),
         F.coalesce(get("registration.ticketing.lowestPrice.amount"), get("offers.price")).alias("amount"),
+        get("registration.external.registration").alias("ticket_url"),
+        F.coalesce(get("mainImage.url"), get("mainImage.id"), get("image")).alias("image"),
     )
     many = F.expr("coalesce(try_variant_get(v, '$', 'array<variant>'), array(v))")
     ld = blobs.select(id, "pos", F.posexplode(many).alias("n", "o"))
     of = lambda path: F.try_variant_get("o", path, "string")
     from_ld = ld.where((of("$['@type']") == "Event") & of("$.name").isNotNull() & of("$.startDate").isNotNull()).select(
-        id, "pos", F.lit(1).alias("kind"), "n", strip(of("$.name")).alias("title"),
+        id, "pos", F.lit(1).alias("kind"), F.array("n").alias("n"), strip(of("$.name")).alias("title"),
         dates.iso_date(of("$.startDate")).alias("date_start"), dates.iso_time(of("$.startDate")).alias("hour_start"),
+        dates.iso_time(of("$.endDate")).alias("hour_end"),
         of("$.description").alias("description"), of("$.url").alias("source_url"), of(LD_PRICE).alias("amount"),
+        F.lit(None).cast("string").alias("ticket_url"), of("$.image").alias("image"),
     )
     found = from_walk.unionByName(from_ld).where(F.col("date_start").isNotNull() & (F.col("title") != ""))
     order = F.struct("pos", "kind", "n")
     return first_per_key(found, [id, "title", "date_start"], order).select(
-        id, "title", "date_start", "hour_start", text.truncate(F.col("description"), 800).alias("description"),
-        "source_url", F.concat(F.lit("€ "), "amount").alias("price"),
+        id, "title", "date_start", "hour_start", "hour_end", text.truncate(F.col("description"), 800).alias("description"),
+        "source_url", F.concat(F.lit("€ "), "amount").alias("price"), "ticket_url",
+        F.when(F.col("image").startswith("http"), F.col("image")).alias("image_url"),
     )
 
 
@@ -414,6 +381,9 @@ def calendar_events(files: DataFrame, id: str, ics: str, min_date: str | None =
 # --- extractors in Python ---------------------------------------------------------------------------------------------------
 
 
+MOST_ROWS = 2000
+
+
 def run_extractor(
     pages: DataFrame, id: str, content: str, extractor: Callable[[str], list[dict]], schema: str
 ) -> DataFrame:
@@ -432,6 +402,9 @@ def run_extractor(
                     out += [[key, None, *[row.get(n) for n in names]] for row in extractor(value)]
                 except Exception as e:
                     out.append([key, f"{type(e).__name__}: {e}", *[None] * len(names)])
+                if len(out) >= MOST_ROWS:  # a task holds the rows of few pages
+                    yield pd.DataFrame(out, columns=[id, "_error", *names])
+                    out = []
             yield pd.DataFrame(out, columns=[id, "_error", *names])
 
     return pages.select(id, content).mapInPandas(over_batches, f"{id} {key_type}, _error string, {schema}")

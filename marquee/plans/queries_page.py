@@ -80,17 +80,17 @@ def with_head(t: Tables) -> DataFrame:
         F.when(C("page_id") % 3 == 0, F.concat(F.lit('<meta property="og:image" content="https://i.example/'), "page_id", F.lit('.jpg">')))
         .when(C("page_id") % 3 == 1, F.concat(F.lit('<meta content="https://i.example/'), "page_id", F.lit('.png" property="og:image"/>')))
         .otherwise(F.lit("")),
-        F.when(C("page_id") % 2 == 0, F.concat(F.lit('<meta property="og:description" content=" Rock &amp; roll '), "page_id", F.lit(' ">'))).otherwise(F.lit("")),
+        F.when(C("page_id") % 2 == 0, F.concat(F.lit("<meta property=og:description content=' Rock &amp; r&#111;ll &eacute; "), "page_id", F.lit(" '>"))).otherwise(F.lit("")),
     )
     head = F.replace("html", F.lit("<head>"), F.concat(F.lit("<head>"), tags))
-    image = F.when(C("page_id") % 5 == 0, F.concat(F.lit('<article><img class="p" src="/img/'), "page_id", F.lit('">'))).otherwise(F.lit("<article>"))
+    image = F.when(C("page_id") % 5 == 0, F.concat(F.lit("<article><img class=p src='/img/"), "page_id", F.lit("'>"))).otherwise(F.lit("<article>"))
     return t.heavy("pages").select("page_id", "url", F.replace(head, F.lit("<article>"), image).alias("html"))
 
 
 @query(
     "ext4_meta_tags",
     "select page_id, case page_id % 3 when 0 then 'https://i.example/' || page_id || '.jpg' when 1 then 'https://i.example/' || page_id || '.png' "
-    "else case when page_id % 5 = 0 then '/img/' || page_id end end as image_url, case when page_id % 2 = 0 then 'Rock & roll ' || page_id end as description from pages",
+    "else case when page_id % 5 = 0 then '/img/' || page_id end end as image_url, case when page_id % 2 = 0 then 'Rock & roll é ' || page_id end as description from pages",
 )
 def _(t: Tables):
     h = C("html")
@@ -103,7 +103,7 @@ def _(t: Tables):
     "from pages where page_id % 4 in (1, 2)",
 )
 def _(t: Tables):
-    a = lambda href, label: F.concat(F.lit('<a rel="x" href="'), F.lit(href), "page_id", F.lit(f'">{label}</a>'))
+    a = lambda href, label: F.concat(F.lit("<a rel=x href='"), F.lit(href), "page_id", F.lit(f"'>{label}</a>"))
     more = F.concat(
         a("https://own.example/tickets/", "Tickets"), a("https://other.example/", "Site"),
         F.when(C("page_id") % 4 == 1, a("https://shop.example/x/", "<span>Reserveer</span> nu")).otherwise(F.lit("")),
@@ -181,13 +181,13 @@ def _(t: Tables):
 LABELLED = {
     "event_id": "event_id",
     "html": "concat('<div class=\"field field--price\"><div class=\"field__label\"> PRIJS </div><div class=\"field__items\"><div class=\"field__item\">&euro; <b>', user_id, '</b></div></div></div>', "
-    "case when event_id % 2 = 0 then concat('<div class=\"field\"><h3 class=\"field__label\">Kortingsgroepen</h3> <div class=\"field__item\">kids, ', event_type, '</div></div>') else '' end)",
+    "case when event_id % 2 = 0 then concat('<div class=\"field\"><h3 class=\"field__label\">Kortingsgroepen</h3> <div class=\"field__item\">kids, <span>', event_type, '</span> &#43; <div>more</div></div></div>') else '' end)",
 }
 
 
 @query(
     "ext12_labelled_fields",
-    "select event_id, '€ ' || user_id as price, case when event_id % 2 = 0 then 'kids, ' || event_type end as groups, null::varchar as genre from events",
+    "select event_id, '€ ' || user_id as price, case when event_id % 2 = 0 then 'kids, ' || event_type || ' + more' end as groups, null::varchar as genre from events",
 )
 def _(t: Tables):
     rows = computed(t("events"), LABELLED)
@@ -197,10 +197,11 @@ def _(t: Tables):
     )
 
 
-@query("ext13_script_call", "select page_id, html from pages where not contains(html, chr(92)) union all select -1, null")
+@query("ext13_script_call", "select page_id, html from pages union all select -1, null")
 def _(t: Tables):
-    pages = t.heavy("pages").where(~F.contains("html", F.lit("\\")))
-    escaped = F.replace(F.replace(F.replace("html", F.lit('"'), F.lit('\\"')), F.lit("/"), F.lit("\\/")), F.lit("'"), F.lit("\\'"))
+    pages = t.heavy("pages")
+    slashes = F.replace("html", F.lit("\\"), F.lit("\\\\"))
+    escaped = F.replace(F.replace(F.replace(slashes, F.lit('"'), F.lit('\\"')), F.lit("/"), F.lit("\\/")), F.lit("'"), F.lit("\\'"))
     escaped = F.replace(F.replace(escaped, F.lit("\n"), F.lit("\\n")), F.lit("\t"), F.lit("\\t"))
     script = F.concat(F.lit("$('#agenda').replaceWith('"), escaped, F.lit("'); done()"))
     rows = pages.select("page_id", script.alias("js"))
@@ -259,41 +260,42 @@ def nested_blob() -> Column:
     """A JSON text with events at several depths."""
     start = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
     return F.format_string(
-        '{"app":{"w":[{"x":1},{"list":[{"title":"Deep %s","scheduling":{"config":{"startDate":"%s"}},"url":"https://d.example/%s","registration":{"ticketing":{"lowestPrice":{"amount":"%s"}}}}]}]},'
-        '"flat":{"title":"Flat %s","start":"%s","description":"about %s"},"no":{"title":"No date"}}',
+        '{"app":{"w":[{"x":1},{"list":[{"title":"Deep %s","scheduling":{"config":{"startDate":"%s","endDate":"2024-02-01T23:45:00"}},"slug":"deep-%s","mainImage":{"url":"https://i.example/d.jpg"},"registration":{"external":{"registration":"https://t.example/d"},"ticketing":{"lowestPrice":{"amount":"%s"}}}}]}]},'
+        '"flat":{"title":"Flat %s","start":"%s","description":"about %s","image":"relative.jpg"},"no":{"title":"No date"}}',
         "event_id", start, "event_id", "user_id", "event_id", start, "event_type",
     )
 
 
 @query(
     "jsn4_deep_walk",
-    "select event_id, 0 as n, 'Deep ' || event_id as title, strftime(ts, '%Y-%m-%d') as date_start from events union all select event_id, 1, 'Flat ' || event_id, strftime(ts, '%Y-%m-%d') from events",
+    "select event_id, 5 as depth, 'Deep ' || event_id as title, strftime(ts, '%Y-%m-%d') as date_start from events union all select event_id, 1, 'Flat ' || event_id, strftime(ts, '%Y-%m-%d') from events",
 )
 def _(t: Tables):
-    rows = t.heavy("events").select("event_id", F.posexplode(extract.nested_events(nested_blob())).alias("n", "e"))
-    v = F.try_parse_json("e")
-    return rows.select(
-        "event_id", "n", F.try_variant_get(v, "$.title", "string").alias("title"), dates.iso_date(F.try_variant_get(v, "$._start", "string")).alias("date_start")
+    rows = t.heavy("events").select("event_id", F.try_parse_json(nested_blob()).alias("v"))
+    found = extract.nested_events(rows, ["event_id"], "v")
+    start = F.coalesce(*[F.try_variant_get("v", p, "string") for p in extract.START_PATHS])
+    return found.select(
+        "event_id", F.size("path").alias("depth"), F.try_variant_get("v", "$.title", "string").alias("title"), dates.iso_date(start).alias("date_start")
     )
 
 
 @query(
     "ext5_structured_events",
-    "select event_id, 'Deep ' || event_id as title, strftime(ts, '%Y-%m-%d') as date_start, strftime(ts, '%H:%M') as hour_start, null::varchar as description, "
-    "'https://d.example/' || event_id as source_url, '€ ' || user_id as price from events union all "
-    "select event_id, 'Flat ' || event_id, strftime(ts, '%Y-%m-%d'), strftime(ts, '%H:%M'), 'about ' || event_type, null, null from events union all "
-    "select event_id, 'Linked ' || event_id, strftime(ts, '%Y-%m-%d'), strftime(ts, '%H:%M'), null, 'https://l.example', '€ 7.5' from events where event_id % 3 = 0",
+    "select event_id, 'Deep ' || event_id as title, strftime(ts, '%Y-%m-%d') as date_start, strftime(ts, '%H:%M') as hour_start, '23:45' as hour_end, null::varchar as description, "
+    "'https://s.example/event-details/deep-' || event_id as source_url, '€ ' || user_id as price, 'https://t.example/d' as ticket_url, 'https://i.example/d.jpg' as image_url from events union all "
+    "select event_id, 'Flat ' || event_id, strftime(ts, '%Y-%m-%d'), strftime(ts, '%H:%M'), null, 'about ' || event_type, null, null, null, null from events union all "
+    "select event_id, 'Linked ' || event_id, strftime(ts, '%Y-%m-%d'), strftime(ts, '%H:%M'), '22:00', null, 'https://l.example', '€ 7.5', null, 'https://l.example/i.png' from events where event_id % 3 = 0",
 )
 def _(t: Tables):
     start = F.date_format("ts", "yyyy-MM-dd'T'HH:mm")
     ld = F.format_string(
-        '[{"@type":"Event","name":" Linked %s","startDate":"%s","url":"https://l.example","offers":{"price":7.5}},{"@type":"Place","name":"x"}]', "event_id", start
+        '[{"@type":"Event","name":" Linked %s","startDate":"%s","endDate":"2024-01-09T22:00","image":"https://l.example/i.png","url":"https://l.example","offers":{"price":7.5}},{"@type":"Place","name":"x"}]', "event_id", start
     )
     html = F.concat(
         F.lit('<html><script type="application/json" id="a">'), nested_blob(), F.lit("</script><script>var x = 1</script><script type=\"application/json\">{broken</script>"),
         F.when(C("event_id") % 3 == 0, F.concat(F.lit('<script type="application/ld+json">'), ld, F.lit("</script>"))).otherwise(F.lit("")), F.lit("</html>"),
     )
-    return extract.structured_events(t.heavy("events").select("event_id", html.alias("html")), "event_id")
+    return extract.structured_events(t.heavy("events").select("event_id", html.alias("html")), "event_id", site="https://s.example")
 
 
 class _Links(HTMLParser):
@@ -333,7 +335,8 @@ def _(t: Tables):
 
 @query(
     "udf1_chained_enrichers",
-    B.FULL_GENRE_SQL + "select event_id, lab.genre, title || chr(10) || coalesce(description, '') || chr(10) as combined from best left join lab on lab.id = best.gid",
+    B.FULL_GENRE_SQL + ", c as (select best.*, title || chr(10) || coalesce(description, '') || chr(10) as t from best), "
+    f"s as (select *, {B.NAMES_IN} as l from c) select event_id, lab.genre, array_to_string({B.FIRST_NAMES}, '|') as artists, t as combined from s left join lab on lab.id = s.gid",
 )
 def _(t: Tables):
     from marquee.operators import enrich
@@ -345,7 +348,7 @@ def _(t: Tables):
         .transform(lambda d: enrich.with_genre(d, genres, dims))
         .transform(enrich.with_artists)
     )
-    return done.select("event_id", "genre", F.concat_ws("\n", *parts).alias("combined"))
+    return done.select("event_id", "genre", F.array_join("artists", "|").alias("artists"), F.concat_ws("\n", *parts).alias("combined"))
 
 
 # --- festival pages ------------------------------------------------------------------------------------------------

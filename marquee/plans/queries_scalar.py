@@ -628,4 +628,4 @@ def _(t: Tables):
 )
 def _(t: Tables):
     x = event_records(t).withColumn("v", records.parse(C("record")))
-    return x.select("event_id", records.ticket_url(C("v"), C("record")).alias("ticket_url"))
+    return x.select("event_id", records.ticket_url(C("v")).alias("ticket_url"))

@@ -490,13 +490,21 @@ def _(t: Tables):
     return flat(found.select("event_id", "artists"))
 
 
-@query("enr1_artists_in_documents", r"""
-with c as (select doc_id, text || chr(10) || chr(10) as t from documents),
-p as (select doc_id, list_transform(regexp_split_to_array(t, '(?i)\s+(?:feat\.?|b2b|vs\.?|presents?|&|\+|×|x)\s+'), lambda x: regexp_split_to_array(x, '[•|/\n]+')) as l from c),
-s as (select doc_id, list_filter(list_transform(flatten(l), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: length(x) between 2 and 60 and lower(x) not in
-('live', 'dj set', 'dj', 'all night long', 'doors open', 'presents', 'b2b', 'feat', 'featuring', 'tickets', 'more', '+more', 'and more', 'tba', 'tbc', 'special guest', 'guests')
-and regexp_matches(x, '^[a-zA-Z\x{00c0}-\x{00ff}0-9]')) as l from p)
-select doc_id, len(list_distinct(list_transform(l, lambda x: lower(x))))::int as n, coalesce(l[1], '') as first from s""")
+NOISE = ", ".join(f"'{w}'" for w in K.ARTIST_NOISE)
+# names in a text `t`, in order, and those whose lower-case form was not seen before
+NAMES_IN = (
+    f"list_filter(list_transform(flatten(list_transform(regexp_split_to_array(t, '{CONNECT}'), lambda x: regexp_split_to_array(x, '[•|/\\n]+'))), "
+    "lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: length(x) between 2 and 60 and lower(x) not in (" + NOISE + ") "
+    "and regexp_matches(x, '^[a-zA-Z\\x{00c0}-\\x{00ff}0-9]'))"
+)
+FIRST_NAMES = "list_filter(l, lambda x, i: list_position(list_transform(l, lambda y: lower(y)), lower(x)) = i)"
+
+
+@query(
+    "enr1_artists_in_documents",
+    f"with c as (select doc_id, text || chr(10) || chr(10) as t from documents), s as (select doc_id, {NAMES_IN} as l from c) "
+    "select doc_id, len(list_distinct(list_transform(l, lambda x: lower(x))))::int as n, coalesce(l[1], '') as first from s",
+)
 def _(t: Tables):
     rows = to_event(t.heavy("documents"), ["doc_id"], title=C("text"))
     found = enrich.with_artists(rows)
