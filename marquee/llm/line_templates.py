@@ -15,12 +15,17 @@ other columns are carried along. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import itertools
+import re
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.session import checkpointed
+from marquee.llm.common import slices
+from marquee.session import checkpointed, small
 
 LEAST_TOKENS = 3
 LEADING = 3
@@ -30,61 +35,133 @@ SIMILARITY = 0.8
 LEAF_LINES = 2000
 SEGMENTS = 4
 FIELD = "<*>"
-VARIABLE = "[0-9@]|://"
+VARIABLE = re.compile(r"[0-9@]|://")
 KEY = ["k1", "k2"]
 
 
-def _masked(line: Column) -> Column:
-    tokens = F.split(F.trim(F.regexp_replace(line, "\\s+", " ")), " ")
-    return F.transform(tokens, lambda t: F.when(t.rlike(VARIABLE), F.lit(FIELD)).otherwise(t))
+def masked_tokens(line: str) -> list[str]:
+    """The tokens of a line, variable ones as the field."""
+    tokens = line.split()
+    if VARIABLE.search(line):
+        return [FIELD if VARIABLE.search(t) else t for t in tokens]
+    return tokens
+
+
+def _keys(tokens: list[str]) -> tuple[int, int, int]:
+    """64-bit hashes: leaf of the tree, and two of the whole line."""
+    import xxhash
+
+    whole = xxhash.xxh3_128_digest(" ".join(tokens))
+    leaf = xxhash.xxh3_64_digest(f"{len(tokens)} {' '.join(tokens[:LEADING])}")
+    return tuple(int.from_bytes(x, "little", signed=True) for x in (leaf, whole[:8], whole[8:]))
+
+
+LINES = "doc_id long, tie long, line int, n int, fixed int, leaf long, k1 long, k2 long"
+
+
+def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, 512):
+        out = []
+        for doc, tie, text in zip(*[c.to_pylist() for c in batch.columns]):
+            for i, line in enumerate((text or "").split("\n")):
+                tokens = masked_tokens(line)
+                if len(tokens) >= LEAST_TOKENS:
+                    out.append((doc, tie, i, len(tokens), len(tokens) - tokens.count(FIELD), *_keys(tokens)))
+        yield _batch(out, LINES)
+
+
+def _batch(rows: list[tuple], kinds: str) -> pa.RecordBatch:
+    names = {"long": pa.int64(), "int": pa.int32(), "array<string>": pa.list_(pa.string())}
+    fields = [f.rsplit(" ", 1) for f in kinds.split(", ")]
+    columns = list(zip(*rows)) if rows else [()] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, names[k]) for c, (_, k) in zip(columns, fields)], names=[n for n, _ in fields])
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), "text")
 
 
 def parsed_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, tie, line (place in the text), tokens (masked), n, fixed, leaf, k1, k2."""
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), F.posexplode(F.split("text", "\n")).alias("line", "raw"))
-    tokens = base.where("trim(raw) != ''").select("doc_id", "tie", "line", _masked(F.col("raw")).alias("tokens"))
-    sized = tokens.withColumn("n", F.size("tokens")).where(F.col("n") >= LEAST_TOKENS)
-    whole = F.concat_ws(" ", "tokens")
-    return sized.select(
-        "*",
-        (F.col("n") - F.size(F.filter("tokens", lambda t: t == FIELD))).alias("fixed"),
-        F.xxhash64("n", F.slice("tokens", 1, LEADING)).alias("leaf"),
-        F.xxhash64(F.lit(1), whole).alias("k1"),
-        F.xxhash64(F.lit(2), whole).alias("k2"),
-    )
+    """doc_id, tie (hash of the text), line (place in the text), n (tokens), fixed (of them), leaf, k1, k2."""
+    return _rows(docs).mapInArrow(_parsed, LINES)
+
+
+TOKENS = "leaf long, k1 long, k2 long, tokens array<string>"
+
+
+def _wanted_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, 512):
+        out = []
+        for text, wanted in zip(*[c.to_pylist() for c in batch.columns]):
+            lines = text.split("\n")
+            for i in wanted:
+                tokens = masked_tokens(lines[i])
+                out.append((*_keys(tokens), tokens))
+        yield _batch(out, TOKENS)
+
 
+def line_tokens(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """leaf, k1, k2, tokens of the lines in `wanted` (doc_id, tie, line)."""
+    lists = small(wanted.groupBy("doc_id", "tie").agg(F.collect_set("line").alias("wanted"))).alias("w")
+    d = _rows(docs).alias("d")
+    met = d.join(lists, F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.tie") == F.col("w.tie")))
+    return met.select("text", "wanted").mapInArrow(_wanted_tokens, TOKENS)
 
-def _parse(rows: pd.DataFrame) -> pd.DataFrame:
-    """Put the lines of one leaf (or block of it) into templates, frequent lines first.
 
-    Returns each line's template: the keys of the line that began it, and its tokens.
+def parse(lines: list[list[str]]) -> tuple[list[int], list[list[str]]]:
+    """Put the lines of one leaf (or block of it), frequent ones first, into templates.
+
+    Returns, for each line, the line that began its template, and the templates by that line.
     """
-    rows = rows.sort_values(["n_docs", "k1", "k2"], ascending=[False, True, True])
+    member, templates = [], {}
+    if len(lines) <= 24:
+        for i, line in enumerate(lines):
+            best = max(templates, key=lambda b: (sum(map(str.__eq__, templates[b], line)), -b), default=None)
+            if best is not None and sum(map(str.__eq__, templates[best], line)) >= SIMILARITY * len(line):
+                templates[best] = [t if t == x else FIELD for t, x in zip(templates[best], line)]
+                member.append(best)
+            else:
+                templates[i] = line
+                member.append(i)
+        return member, templates
     names: dict[str, int] = {FIELD: 0}
-    lines = np.array([[names.setdefault(t, len(names)) for t in ts] for ts in rows["tokens"]], np.int32)
-    words = np.array(list(names), object)
-    templates, begun, member = np.empty_like(lines), [], np.empty(len(lines), np.int64)
-    for i, line in enumerate(lines):
+    coded = np.array([[names.setdefault(t, len(names)) for t in line] for line in lines], np.int32)
+    words, begun, forms = list(names), [], np.empty_like(coded)
+    for i, line in enumerate(coded):
         if begun:
-            agree = ((templates[: len(begun)] == line) & (line != 0)).sum(axis=1) + ((templates[: len(begun)] == 0) & (line == 0)).sum(axis=1)
+            agree = (forms[: len(begun)] == line).sum(axis=1)
             best = int(agree.argmax())
             if agree[best] >= SIMILARITY * len(line):
-                templates[best][templates[best] != line] = 0
-                member[i] = best
+                forms[best][forms[best] != line] = 0
+                member.append(begun[best])
                 continue
-        member[i] = len(begun)
-        templates[len(begun)] = line
+        forms[len(begun)] = line
         begun.append(i)
-    first = np.array(begun)[member]
-    out = rows[["leaf", "k1", "k2", "n_docs"]].copy()
-    out["t1"], out["t2"] = rows["k1"].to_numpy()[first], rows["k2"].to_numpy()[first]
-    out["tokens"] = [words[templates[m]].tolist() for m in member]
-    return out
+        member.append(i)
+    return member, {b: [words[t] for t in forms[k]] for k, b in enumerate(begun)}
 
 
 PARSED = "leaf long, k1 long, k2 long, n_docs long, t1 long, t2 long, tokens array<string>"
 
 
+def _parse_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by group, in a group frequent lines first; one group is held at a time."""
+
+    def rows():
+        for batch in batches:
+            yield from zip(*[batch.column(c).to_pylist() for c in ("leaf", "group", "block", "k1", "k2", "n_docs", "tokens")])
+
+    out = []
+    for _, group in itertools.groupby(rows(), key=lambda r: r[:3]):
+        held = list(group)
+        member, forms = parse([r[6] for r in held])
+        out += [(r[0], r[3], r[4], r[5], held[m][3], held[m][4], forms[m]) for r, m in zip(held, member)]
+        if len(out) >= 5000:
+            yield _batch(out, PARSED)
+            out = []
+    yield _batch(out, PARSED)
+
+
 def _blocks(lines: DataFrame, turn: int, most: int) -> DataFrame:
     """Deal the lines of leaves with more than `most` lines to blocks: at first by key, then by the tokens of one
     segment, so that lines that agree in a segment meet; a larger segment group is dealt by key again."""
@@ -109,7 +186,8 @@ def templates(lines: DataFrame, most: int = LEAF_LINES) -> DataFrame:
     found, current = None, lines
     for turn in range(SEGMENTS + 1):
         dealt = _blocks(current, turn, most).select("leaf", "group", "block", *KEY, "n_docs", "tokens")
-        result = checkpointed(dealt.groupBy("leaf", "group", "block").applyInPandas(_parse, PARSED))
+        sorted_ = dealt.repartition("leaf", "group", "block").sortWithinPartitions("leaf", "group", "block", F.col("n_docs").desc(), *KEY)
+        result = checkpointed(sorted_.mapInArrow(_parse_groups, PARSED))
         step = result.select(*KEY, "t1", "t2", "tokens")
         if found is None:
             found = step
@@ -129,7 +207,7 @@ def templates(lines: DataFrame, most: int = LEAF_LINES) -> DataFrame:
 
 def recurring_lines(docs: DataFrame, most: int = LEAF_LINES) -> DataFrame:
     """doc_id, tie, line of every line to drop."""
-    slim = checkpointed(parsed_lines(docs).drop("tokens"))
+    slim = checkpointed(parsed_lines(docs))
     doc = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "tie").alias("doc")
     found = slim.groupBy(*KEY, "leaf", "n", "fixed", "doc_id", "tie").agg(F.lit(1).alias("one"))
     keys = checkpointed(
@@ -138,12 +216,9 @@ def recurring_lines(docs: DataFrame, most: int = LEAF_LINES) -> DataFrame:
     leaves = keys.groupBy("leaf").agg(F.count(F.lit(1)).alias("leaf_keys")).where("leaf_keys > 1").select("leaf")
     shared = checkpointed(keys.join(leaves, "leaf", "left_semi").select(*KEY, "leaf", "n_docs", "first"))
     own = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "tie")
-    words = (
-        parsed_lines(docs).join(shared.select(*KEY, "n_docs", "first"), KEY)
-        .where(own == F.col("first"))
-        .groupBy(*KEY, "leaf", "n_docs")
-        .agg(F.first("tokens").alias("tokens"))
-    )
+    at_first = slim.select("doc_id", "tie", "line", *KEY).join(shared.select(*KEY, "first"), KEY).where(own == F.col("first"))
+    tokens = line_tokens(docs, at_first.groupBy(*KEY).agg(F.min(F.struct("doc_id", "tie", "line")).alias("at")).select("at.*"))
+    words = tokens.dropDuplicates(KEY).join(shared.select(*KEY, "n_docs"), KEY)
     grouped = templates(words, most)
     several = grouped.groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("t1", "t2")
     grouped = checkpointed(grouped.join(several, ["t1", "t2"], "left_semi"))
@@ -168,7 +243,7 @@ def recurring_lines(docs: DataFrame, most: int = LEAF_LINES) -> DataFrame:
 def drop_recurring(docs: DataFrame, most: int = LEAF_LINES) -> DataFrame:
     """The documents without their recurring lines; `_lines` and `_dropped` count lines."""
     dropped = recurring_lines(docs, most).groupBy("doc_id", "tie").agg(F.collect_set("line").alias("_gone"))
-    right = dropped.select(F.col("doc_id").alias("_doc"), F.col("tie").alias("_tie"), "_gone")
+    right = small(dropped.select(F.col("doc_id").alias("_doc"), F.col("tie").alias("_tie"), "_gone"))
     joined = docs.withColumn("_own", F.xxhash64("text")).join(
         right, F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.col("_own") == F.col("_tie")), "left"
     )
