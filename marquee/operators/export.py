@@ -12,7 +12,9 @@ from marquee.schemas import FESTIVAL
 
 
 def by_date_and_hour(df: DataFrame) -> DataFrame:
-    return df.orderBy("date_start", F.col("hour_start").asc_nulls_last())
+    """The id comes last, so equal dates and hours have an order and can be split over tasks."""
+    last = ["event_id"] if "event_id" in df.columns else []
+    return df.orderBy("date_start", F.col("hour_start").asc_nulls_last(), *last)
 
 
 def active_in_order(events: DataFrame) -> DataFrame:

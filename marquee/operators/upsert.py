@@ -10,6 +10,7 @@ from marquee.functions import arrays, numbers
 from marquee.operators import filters
 from marquee.operators.selection import last_filled, last_nonempty
 from marquee.schemas import EVENT
+from marquee.session import checkpointed, is_small
 
 # owned by the collecting side: a fresh value replaces the stored one
 REFRESHED = [
@@ -35,22 +36,47 @@ def fold_fresh(fresh: DataFrame, order: str = "ord") -> DataFrame:
     return folded.select(*columns)
 
 
-def merge_events(stored: DataFrame, fresh: DataFrame, order: str = "ord") -> DataFrame:
-    """New ids are added; of known ids only the refreshed columns move, and only to real values."""
-    new = fold_fresh(fresh, order).alias("n")
-    old = stored.alias("o")
+def merge_events(stored: DataFrame, fresh: DataFrame, order: str = "ord", place: str | None = None) -> DataFrame:
+    """New ids are added; of known ids only the refreshed columns move, and only to real values.
+
+    `order` fixes which fresh row is first and which is last; it must be unique over all of `fresh`. With
+    `place`, a column of that name holds the first `order` of each new id (null for stored ones). A batch of
+    measured small size is broadcast, so the stored table is not shuffled.
+    """
+    folded = fold_fresh(fresh, order)
+    extra = []
+    if place:
+        firsts = fresh.groupBy("event_id").agg(F.min(order).alias(place))
+        folded, extra = folded.join(firsts, "event_id"), [place]
+    folded = checkpointed(folded)
+    new, old = folded.alias("n"), stored.alias("o")
     known = F.col("o.event_id").isNotNull()
-    columns = []
-    for f in EVENT:
-        n, o = F.col(f"n.{f.name}"), F.col(f"o.{f.name}")
-        if f.name == "event_id" or f.name in REFRESHED:
-            c = F.coalesce(o, n) if f.name == "event_id" else F.coalesce(n, o)
-        elif f.name == "support_acts":
-            c = arrays.first_filled(n, o)
-        else:
-            c = F.when(known, o).otherwise(n)
-        columns.append(c.alias(f.name))
-    return old.join(new, F.col("o.event_id") == F.col("n.event_id"), "full_outer").select(*columns)
+
+    def columns(has_old: bool, has_new: bool) -> list[Column]:
+        out = []
+        for f in EVENT:
+            n, o = F.col(f"n.{f.name}"), F.col(f"o.{f.name}")
+            if not has_old:
+                c = n
+            elif not has_new:
+                c = o
+            elif f.name == "event_id" or f.name in REFRESHED:
+                c = F.coalesce(o, n) if f.name == "event_id" else F.coalesce(n, o)
+            elif f.name == "support_acts":
+                c = arrays.first_filled(n, o)
+            else:
+                c = F.when(known, o).otherwise(n)
+            out.append(c.alias(f.name))
+        none = F.lit(None).cast(folded.schema[place].dataType) if place else None
+        return out + [(F.col(f"n.{place}") if not has_old else F.when(~known, F.col(f"n.{place}")) if has_new else none).alias(place) for _ in extra]
+
+    on = F.col("o.event_id") == F.col("n.event_id")
+    if not is_small(folded):
+        return old.join(new, on, "full_outer").select(*columns(True, True))
+    kept = old.join(F.broadcast(new), on, "left").select(*columns(True, True))
+    met = old.join(F.broadcast(new), on).select("n.event_id").distinct()
+    added = new.join(met, "event_id", "left_anti").select(*columns(False, True))
+    return kept.unionByName(added)
 
 
 def replace_rows(stored: DataFrame, fresh: DataFrame, key: str, order: str) -> DataFrame:
@@ -111,17 +137,20 @@ def upsert_cells(
     moved: DataFrame | None = None,
     owned: list[str] | None = None,
     append_without_key: bool = False,
+    human: list[str] = K.HUMAN_COLUMNS,
 ) -> DataFrame:
     """Keyed upsert that only writes owned columns; adds `action`.
 
     stored: text columns plus `row_no`, unique, the place of the row. Of rows with the same key the
-    first is the one that is updated. incoming: unique keys, owned columns, `ord`. Rows without a key
-    are left out unless `append_without_key` (they would be appended again at every run).
+    first is the one that is updated. incoming: owned columns and `ord`, its unique order. Of incoming
+    rows with the same key the last updates the stored row; if none is stored all are appended. Rows
+    without a key are left out unless `append_without_key` (they would be appended again at every run).
+    Missing owned and `human` columns are added to the table.
     With `as_of`, stored keys that do not come in any more and are not past become 'gone', or 'moved'
     where `moved` holds the key.
     """
     owned = owned or [c for c in K.AUTO_COLUMNS if c in incoming.columns]
-    table = with_columns_for(stored, owned)
+    table = with_columns_for(stored, [*owned, *human])
     key_text = F.trim(F.col(key))
     firsts = (
         table.where(key_text != "")
@@ -131,13 +160,14 @@ def upsert_cells(
     fresh = incoming.where(F.coalesce(F.col(key), F.lit("")) != "").select(
         F.col(key).alias("_k"), F.struct(*owned).alias("_new"), "ord"
     )
-    plan = firsts.join(fresh, "_k", "full_outer")
+    latest = fresh.groupBy("_k").agg(F.max_by("_new", "ord").alias("_new"))
+    plan = firsts.join(latest, "_k", "left")
     if moved is not None:
         plan = plan.join(moved.select(F.col(key).alias("_k"), F.lit(True).alias("_moved")), "_k", "left")
     else:
         plan = plan.withColumn("_moved", F.lit(None).cast("boolean"))
 
-    updates = plan.where(F.col("_row").isNotNull()).select("_row", "_new", "_moved")
+    updates = plan.select("_row", "_new", "_moved")
     rows = table.join(updates, table["row_no"] == F.col("_row"), "left")
     hit = F.col("_new").isNotNull()
     absent = F.col("_row").isNotNull() & ~hit
@@ -158,7 +188,7 @@ def upsert_cells(
     kept_rows = rows.select(*columns, action.alias("action"))
 
     last = table.agg(F.coalesce(F.max("row_no"), F.lit(0))).first()[0]
-    new_rows = plan.where(F.col("_row").isNull()).select("_new.*", "ord")
+    new_rows = fresh.join(firsts, "_k", "left_anti").select("_new.*", "ord")
     if append_without_key:
         blank = incoming.where(F.coalesce(F.col(key), F.lit("")) == "")
         new_rows = new_rows.unionByName(blank.select(*owned, "ord"))

@@ -411,7 +411,7 @@ def _(t: Tables):
     raw = {s: I.raw_events(t, s) for s in ("goabase", "beldub", "venue", "agenda")} | {"facebook": I.raw_social(t)}
     stored, _fresh = B.stored_and_fresh(t)
     done = chains.consolidate(raw, stored, I.dimensions(t), B.genres(t), E.geo_cache(t), E.two_tabs(t))
-    return flat(done.drop("overrides"))
+    return flat(done["events"].drop("overrides"))
 
 
 @query(

@@ -18,7 +18,7 @@ from marquee.plans.catalog import Tables, computed, dedupe_key, dice, event_id,
 from marquee.plans.queries_source import flat
 from marquee.session import scratch_path
 from marquee.sources import dimensions, tables
-from marquee.streaming.ingest import ingest
+from marquee.streaming.ingest import BUCKETS, ingest
 
 C = F.col
 
@@ -732,7 +732,8 @@ SHEET = {
 }
 INCOMING = {
     "ord": "c_custkey",
-    "event_id": "case when c_custkey % 100 = 99 then '' else concat('k', c_custkey * 11) end",
+    # every seventh key comes twice
+    "event_id": "case when c_custkey % 100 = 99 then '' when c_custkey % 7 = 0 then concat('k', (c_custkey - 1) * 11) else concat('k', c_custkey * 11) end",
     "title": "c_name",
     "date_start": "'1999-01-01'",
     "status": "'pending'",
@@ -742,12 +743,12 @@ MOVED = "select event_id from (select concat('k', p_partkey) as event_id from pa
 UPS2_SQL = (
     f"with s as (select {select_list(SHEET)} from orders), n as (select {select_list(INCOMING)} from customer), m as ({MOVED}), "
     "f as (select event_id as k, min(row_no) as row_no from s where event_id <> '' group by 1), "
-    "u as (select s.*, f.k as firstkey, n.title as nt, n.date_start as nd, n.price as np, n.event_id as nk, m.event_id as mk from s left join f on f.row_no = s.row_no left join n on n.event_id = f.k left join m on m.event_id = f.k) "
+    "u as (select s.*, f.k as firstkey, n.title as nt, n.date_start as nd, n.price as np, n.event_id as nk, m.event_id as mk from s left join f on f.row_no = s.row_no left join (select event_id, arg_max(title, ord) as title, arg_max(date_start, ord) as date_start, arg_max(price, ord) as price from n group by event_id) n on n.event_id = f.k left join m on m.event_id = f.k) "
     "select row_no, event_id, coalesce(nt, title) as title, coalesce(nd, date_start) as date_start, "
     "case when nk is not null then 'pending' when firstkey is not null and {0} and date_start >= '1998-06-15' then case when mk is not null then 'moved' else 'gone' end else status end as status, "
     "notes, extra, case when nk is not null then np else '' end as price, case when nk is not null then 'updated' when firstkey is not null and {0} and date_start >= '1998-06-15' "
-    "and status <> case when mk is not null then 'moved' else 'gone' end then case when mk is not null then 'moved' else 'gone' end else 'kept' end as action from u "
-    "union all select (select max(row_no) from s) + 1 + ord, event_id, title, date_start, status, '', '', price, 'appended' from n where event_id <> '' and event_id not in (select k from f)"
+    "and status <> case when mk is not null then 'moved' else 'gone' end then case when mk is not null then 'moved' else 'gone' end else 'kept' end as action, '' as seen_by from u "
+    "union all select (select max(row_no) from s) + 1 + ord, event_id, title, date_start, status, '', '', price, 'appended', '' from n where event_id <> '' and event_id not in (select k from f)"
 )
 
 
@@ -761,14 +762,14 @@ OWNED = ["event_id", "title", "date_start", "status", "price"]
 @query("ups2_upsert_columns", UPS2_SQL.format("false"))
 def _(t: Tables):
     sheet, incoming = sheet_and_incoming(t)
-    return upsert.upsert_cells(sheet, incoming, "event_id", owned=OWNED)
+    return upsert.upsert_cells(sheet, incoming, "event_id", owned=OWNED, human=["notes", "seen_by"])
 
 
 @query("ups3_tombstones", UPS2_SQL.format("true"))
 def _(t: Tables):
     sheet, incoming = sheet_and_incoming(t)
     moved = t("part").select(F.concat(F.lit("k"), "p_partkey").alias("event_id")).distinct()
-    return upsert.upsert_cells(sheet, incoming, "event_id", as_of="1998-06-15", moved=moved, owned=OWNED)
+    return upsert.upsert_cells(sheet, incoming, "event_id", as_of="1998-06-15", moved=moved, owned=OWNED, human=["notes", "seen_by"])
 
 
 @query("ups4_header_evolution", "select o_orderkey as row_no, o_orderstatus as extra, '' as event_id, '' as notes, 43 as n_columns from orders")
@@ -802,13 +803,19 @@ def _(t: Tables):
     return both.groupBy("tab", "action").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("ups6_upsert_by_other_key", f"with s as (select {select_list(SHEET)} from orders), n as (select c_custkey as ord, 'f' || c_custkey as facebook_id, c_name as title from customer) "
-       "select s.row_no, 'f' || s.row_no as facebook_id, coalesce(n.title, s.title) as title, s.notes, case when n.ord is not null then 'updated' else 'kept' end as action "
-       "from s left join n on n.ord = s.row_no union all select 999999999::bigint, '', c_name, '', 'appended' from customer where false")
+# the other key is not unique on either side
+@query("ups6_upsert_by_other_key", f"with s as (select row_no, 'f' || (row_no - row_no % 3) as facebook_id, title, notes from (select {select_list(SHEET)} from orders)), "
+       "n as (select c_custkey as ord, 'f' || case when c_custkey % 4 = 0 then c_custkey * 30 - 30 else c_custkey * 30 end as facebook_id, c_name as title from customer), "
+       "f as (select facebook_id, min(row_no) as row_no from s group by 1), l as (select facebook_id, arg_max(title, ord) as title from n group by 1) "
+       "select s.row_no, s.facebook_id, coalesce(l.title, s.title) as title, s.notes, case when l.title is not null then 'updated' else 'kept' end as action "
+       "from s left join f on f.row_no = s.row_no left join l on l.facebook_id = f.facebook_id union all "
+       "select (select max(row_no) from s) + 1 + ord, facebook_id, title, '', 'appended' from n where facebook_id not in (select facebook_id from f)")
 def _(t: Tables):
-    sheet = computed(t("orders"), SHEET).select("row_no", F.concat(F.lit("f"), "row_no").alias("facebook_id"), "title", "notes")
-    incoming = t("customer").select(C("c_custkey").alias("ord"), F.concat(F.lit("f"), "c_custkey").alias("facebook_id"), C("c_name").alias("title"))
-    return upsert.upsert_cells(sheet, incoming, "facebook_id", owned=["facebook_id", "title"])
+    key = C("row_no") - C("row_no") % 3
+    sheet = computed(t("orders"), SHEET).select("row_no", F.concat(F.lit("f"), key).alias("facebook_id"), "title", "notes")
+    theirs = F.when(C("c_custkey") % 4 == 0, C("c_custkey") * 30 - 30).otherwise(C("c_custkey") * 30)
+    incoming = t("customer").select(C("c_custkey").alias("ord"), F.concat(F.lit("f"), theirs).alias("facebook_id"), C("c_name").alias("title"))
+    return upsert.upsert_cells(sheet, incoming, "facebook_id", owned=["facebook_id", "title"], human=["notes"])
 
 
 @query("ups7_override_sync", f"with d as ({I.DOC_SQL}), o as ({E.OVERRIDE_SQL}) select d.event_id, o.venue, o.genre, "
@@ -821,15 +828,16 @@ def _(t: Tables):
     "ups8_mirror_sync",
     "select action, count(*) as n, count(distinct id) as ids from (select coalesce(n.id, o.id) as id, case when o.id is null then 'added' when n.id is null then 'removed' when o.name is distinct from n.name or o.bal is distinct from n.bal "
     "then 'updated' else 'same' end as action from (select s_suppkey as id, s_name as name, s_acctbal as bal from supplier where s_suppkey % 5 > 0) o full join "
-    "(select s_suppkey as id, s_name as name, case when s_suppkey % 3 = 0 then null else s_acctbal end as bal from supplier where s_suppkey % 7 > 0) n on n.id = o.id) where action <> 'removed' group by action",
+    "(select s_suppkey as id, s_name as name, case when s_suppkey % 3 = 0 then null else s_acctbal end as bal from supplier where s_suppkey % 7 > 0) n on n.id = o.id) group by action",
 )
 def _(t: Tables):
     rows = t("supplier").select(C("s_suppkey").alias("id"), C("s_name").alias("name"), C("s_acctbal").alias("bal"))
     local = rows.where(C("id") % 5 > 0)
     sheet = rows.where(C("id") % 7 > 0).withColumn("bal", F.when(C("id") % 3 != 0, C("bal")))
     actions = upsert.mirror_actions(local, sheet)
-    kept = upsert.mirrored(actions).select("id")
-    return actions.join(kept, "id").groupBy("action").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("ids"))
+    removed = actions.join(upsert.mirrored(actions).select("id"), "id", "left_anti")  # what the mirror no longer holds
+    kept = actions.join(upsert.mirrored(actions).select("id"), "id")
+    return kept.unionByName(removed).groupBy("action").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("ids"))
 
 
 @query(
@@ -850,10 +858,10 @@ def _(t: Tables):
 def _(t: Tables):
     stored, fresh = stored_and_fresh(t)
     home = scratch_path(t.spark, "ingest")
-    tables.write_table(stored, f"{home}/table")
+    tables.write_buckets(stored, f"{home}/table", "event_id", BUCKETS)
     fresh.write.parquet(f"{home}/raw")
     # the second run finds nothing new
     for _ in range(2):
         ingest(t.spark, f"{home}/raw", fresh.schema, lambda batch: batch, f"{home}/table", f"{home}/checkpoint")
-    rows = tables.read_table(t.spark, f"{home}/table", stored.schema)
+    rows = tables.read_buckets(t.spark, f"{home}/table", stored.schema)
     return flat(rows.select("event_id", "title", "price", "venue", "description", "support_acts"))

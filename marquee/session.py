@@ -69,16 +69,19 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def is_small(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> bool:
+    """Whether the measured size allows a broadcast."""
+    width = F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(width.cast("long"))).first()
+    return rows <= max_rows and (size or 0) <= max_bytes
+
+
 def small(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> DataFrame:
     """Mark a join side for broadcast if its measured size is small; else leave the join to Spark.
 
     Larger sides are joined by shuffle, where adaptive execution splits hot keys.
     """
-    width = F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
-    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(width.cast("long"))).first()
-    if rows <= max_rows and (size or 0) <= max_bytes:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
 
 
 def spread(df: DataFrame) -> DataFrame:

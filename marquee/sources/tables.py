@@ -24,10 +24,11 @@ def _versions(spark: SparkSession, path: str) -> list:
         return []
 
 
-def write_table(df: DataFrame, path: str) -> None:
+def write_table(df: DataFrame, path: str, retain: int = 2) -> None:
     """Replace a whole table: write the rows to a new folder, then name that folder as the current.
 
-    A plan that still reads the old version is not disturbed, and a failed write changes nothing.
+    A plan that still reads the old version is not disturbed, and a failed write changes nothing. Of the
+    versions, the last `retain` are kept. One writer at a time.
     """
     spark = df.sparkSession
     current = _versions(spark, path)
@@ -35,6 +36,10 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.parquet(f"{path}/data/{version}")
     row = [(version, (current[0]["n"] if current else 0) + 1)]
     spark.createDataFrame(row, VERSION).coalesce(1).write.mode("append").json(f"{path}/versions")
+    old = spark.read.schema(VERSION).json(f"{path}/versions").where(F.col("n") == row[0][1] - retain).collect()
+    for r in old:  # at most one: each write lets one version go
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/data/{r['version']}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -58,3 +63,22 @@ def append_all(df: DataFrame, path: str) -> None:
 
 def existing_keys(table: DataFrame, key: str) -> DataFrame:
     return table.select(key).where(F.coalesce(F.col(key).cast("string"), F.lit("")) != "").distinct()
+
+
+# --- tables in buckets of a key --------------------------------------------------------------------------------
+
+
+def _bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def write_buckets(df: DataFrame, path: str, key: str, buckets: int) -> None:
+    """Replace the buckets that `df` has rows of; the others stay as they are."""
+    marked = df.withColumn("bucket", _bucket(key, buckets)).repartition("bucket")
+    marked.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("bucket").parquet(path)
+
+
+def read_buckets(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table with its column `bucket`; a table that was never written has no rows."""
+    whole = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])
+    return _or_empty(lambda: spark.read.schema(whole).parquet(path), spark, whole)
