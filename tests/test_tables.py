@@ -136,3 +136,32 @@ def test_small_sides_are_measured(spark):
 def test_shared_dir_is_kept(spark):
     assert shared_dir(spark) == shared_dir(spark)
     assert filters.is_active is not None
+
+
+def run_once(spark, names, partitions):
+    from marquee.plans import chains
+    from marquee.plans import inputs as I
+    from marquee.plans import queries_event as E
+    from marquee.plans import queries_table as B
+    from marquee.plans.catalog import Tables
+    from tests.conftest import SMALL
+
+    t = Tables(spark, SMALL)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        raw = {s: I.raw_social(t) if s == "facebook" else I.raw_events(t, s) for s in names}
+        stored, _ = B.stored_and_fresh(t)
+        done = chains.consolidate(raw, stored, I.dimensions(t), B.genres(t), E.geo_cache(t), E.two_tabs(t))
+        return {k: sorted(map(repr, df.collect())) for k, df in done.items()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_the_run_does_not_depend_on_order_or_partitions(spark):
+    names = ["goabase", "beldub", "venue", "agenda", "facebook"]
+    first, second = run_once(spark, names, 8), run_once(spark, names[::-1], 3)
+    assert first == second
+    assert all(first[k] for k in ("events", "rejected", "review"))
+    ids = [r.split("event_id=")[1].split(",")[0] for r in first["events"]]
+    assert len(ids) == len(set(ids))
