@@ -21,6 +21,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,7 +39,7 @@ BEGINNINGS = (4, 5, 6, 7)
 PENALTY = 1.0
 STEPS = 150
 WORD = re.compile(r"\w+")
-KEPT_WORDS = 300_000
+KEPT_WORDS = 150_000
 
 
 def features_of(word: str) -> tuple[str, ...]:
@@ -206,28 +207,33 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int
     return fit_chain(x, np.c_[toxic * insult, toxic * (1 - insult), toxic], np.array([r["fold"] for r in rows]), vocabulary)
 
 
-def _scored(chain: Chain, text_at: int, names: list[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _scorer(chain: Chain):
+    """Chances of the categories and the verdict for a column of texts; only the texts go to Python."""
+    names = [*[f"_p_{c}" for c in CATEGORIES], "_toxic"]
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         vectors = Vectors(chain.vocabulary)
-        for batch in slices(batches, 512):
-            if chain.weights:
-                p = sigmoid(chain.logits(vectors(batch.column(text_at).to_pylist())))
-            else:
-                p = np.tile([0.0, 0.0, chain.share], (batch.num_rows, 1))
-            verdict = p[:, -1] >= chain.threshold if chain.weights else np.zeros(batch.num_rows, bool)
-            yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(c) for c in p.T], pa.array(verdict)], names=names)
+        for texts in batches:
+            parts = []
+            for at in range(0, len(texts), 128):
+                some = texts.iloc[at : at + 128].tolist()
+                if chain.weights:
+                    parts.append(sigmoid(chain.logits(vectors(some))))
+                else:
+                    parts.append(np.tile([0.0, 0.0, chain.share], (len(some), 1)))
+            p = np.concatenate(parts) if parts else np.empty((0, len(CATEGORIES)))
+            verdict = p[:, -1] >= chain.threshold if chain.weights else np.zeros(len(p), bool)
+            yield pd.DataFrame({**{n: p[:, i] for i, n in enumerate(names[:-1])}, "_toxic": verdict})
 
-    return run
+    return F.pandas_udf(run, ", ".join(f"{n} double" for n in names[:-1]) + ", _toxic boolean")
 
 
 def scored(docs: DataFrame, chain: Chain) -> DataFrame:
     """All columns, `_p_<category>` for each category and `_toxic`. Columns of these names are replaced."""
     added = [*[f"_p_{c}" for c in CATEGORIES], "_toxic"]
     base = docs.drop(*added)
-    from pyspark.sql import types as T
-
-    schema = T.StructType([*base.schema.fields, *[T.StructField(c, T.DoubleType()) for c in added[:-1]], T.StructField("_toxic", T.BooleanType())])
-    return base.mapInArrow(_scored(chain, base.columns.index("text"), schema.names), schema)
+    marked = base.withColumn("_scores", _scorer(chain)(F.col("text")))
+    return marked.select(*[F.col(f"`{c}`") for c in base.columns], *[F.col(f"_scores.{c}").alias(c) for c in added])
 
 
 def without_toxic(docs: DataFrame, chain: Chain) -> DataFrame:
