@@ -216,9 +216,9 @@ def truncate(c: Column, n: int) -> Column:
 
 
 def join_until(parts: Column, limit: int, separator: str = " ") -> Column:
-    """Join parts and stop adding once the joined text is longer than the limit; then cut to it."""
+    """Join the parts that are not empty, stop adding once the text is longer than the limit, then cut to it."""
     taken = F.aggregate(
-        parts,
+        F.filter(parts, lambda x: x != ""),
         F.lit(""),
         lambda acc, x: F.when(F.length(acc) > limit, acc)
         .when(acc == "", x)

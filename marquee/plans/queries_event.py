@@ -240,16 +240,20 @@ def _(t: Tables):
     return rows.select("row_no", "event_id", "o.*", C("o").isNull().alias("none"))
 
 
-DOC_CELLS = {
-    "event_id": "event_id", "title": "title", "hour_start": "coalesce(hour_start, '')", "aggregator_id": "coalesce(aggregator_id, '')",
-    "interested": "coalesce(cast(interested as varchar), '')", "artists": "array_to_string(artists, ', ')", "status": "coalesce(status, '')",
-    "latitude": "''", "last_seen": f"'{I.AS_OF}'",
-}
+def _doc_cell(c: str) -> str:
+    """SQL of one text cell; columns that the documents do not give are empty."""
+    if c == "last_seen":
+        return f"'{I.AS_OF}'"
+    if c not in I.DOC:
+        return "''"
+    if I.DOC[c].find("array(") >= 0:
+        return f"array_to_string({c}, ', ')"
+    return f"coalesce(cast({c} as varchar), '')"
 
 
-@query("prj12_text_cells", f"with d as ({I.DOC_SQL}) select " + ", ".join(f"{e} as {n}" for n, e in DOC_CELLS.items()) + " from d")
+@query("prj12_text_cells", f"with d as ({I.DOC_SQL}) select " + ", ".join(f"{_doc_cell(c)} as {c}" for c in K.AUTO_COLUMNS) + " from d")
 def _(t: Tables):
-    return upsert.to_cells(I.doc_events(t), I.AS_OF).select(*DOC_CELLS)
+    return upsert.to_cells(I.doc_events(t), I.AS_OF).select(*K.AUTO_COLUMNS)
 
 
 def overridden(t: Tables) -> DataFrame:

@@ -199,14 +199,13 @@ def _(t: Tables):
     )
 
 
-@query("sort3_truncate", "select doc_id, substr(text, 1, 500) as cut, nullif(substr(array_to_string(list_slice("
-       "string_split(text, chr(10)), 1, (select min(i) from range(1, len(string_split(text, chr(10))) + 1) r(i) "
-       "where length(array_to_string(list_slice(string_split(text, chr(10)), 1, i::bigint), ' ')) > 600 "
-       "or i = len(string_split(text, chr(10))))::bigint), ' '), 1, 600), '') as joined from documents "
-       "where not contains(text, chr(10) || chr(10)) and not text like chr(10) || '%'")
-def _(t: Tables):
-    rows = t.heavy("documents").where(~F.contains("text", F.lit("\n\n")) & ~C("text").startswith("\n"))
-    return rows.select(
+@query("sort3_truncate", "with l as (select doc_id, text, list_filter(string_split(text, chr(10)), lambda x: x <> '') as l from documents) "
+       "select doc_id, substr(text, 1, 500) as cut, nullif(substr(array_to_string(list_slice("
+       "l, 1, (select min(i) from range(1, len(l) + 1) r(i) "
+       "where length(array_to_string(list_slice(l, 1, i::bigint), ' ')) > 600 "
+       "or i = len(l))::bigint), ' '), 1, 600), '') as joined from l")
+def _(t: Tables):
+    return t.heavy("documents").select(
         "doc_id", text.truncate(C("text"), 500).alias("cut"),
         text.join_until(F.split("text", "\n", -1), 600).alias("joined"),
     )
@@ -447,11 +446,11 @@ def _(t: Tables):
 
 @query(
     "dat9_range_start",
-    "select o_orderkey, '20' || lpad(cast(o_orderkey % 30 + 20 as string), 2, '0') || strftime(o_orderdate, '-%m-%d') as date_start "
-    "from orders where not (month(o_orderdate) = 2 and day(o_orderdate) = 29)",
+    "select o_orderkey, case when month(o_orderdate) = 2 and day(o_orderdate) = 29 and (o_orderkey % 30 + 20) % 4 > 0 then null "
+    "else '20' || lpad(cast(o_orderkey % 30 + 20 as string), 2, '0') || strftime(o_orderdate, '-%m-%d') end as date_start from orders",
 )
 def _(t: Tables):
-    x = t("orders").where(~((F.month("o_orderdate") == 2) & (F.day("o_orderdate") == 29)))
+    x = t("orders")
     year = F.lpad((C("o_orderkey") % 30 + 20).cast("string"), 2, "0")
     first = F.date_format("o_orderdate", "dd. MM")
     raw = F.when(C("o_orderkey") % 2 == 0, F.concat(first, F.lit(" > 31. 12. "), year)).otherwise(

@@ -26,11 +26,7 @@ def flat(df: DataFrame, separator: str = "|") -> DataFrame:
     )
 
 
-TYPES = ["click", "error", "purchase", "signup", "view"]
-
-
-@query("src1_raw_arrays", "select event_type as source, event_id, user_id, value from events where event_type in "
-       "('click', 'error', 'purchase', 'signup', 'view')")
+@query("src1_raw_arrays", "select event_type as source, event_id, user_id, value from events")
 def _(t: Tables):
     folder = scratch_path(t.spark, "raw")
     rows = t("events")
@@ -39,7 +35,8 @@ def _(t: Tables):
     arrays = rows.groupBy("event_type", chunk.alias("chunk")).agg(
         F.to_json(F.collect_list(F.struct("event_id", "user_id", "value"))).alias("value")
     ).cache()
-    for kind in TYPES:
+    kinds = [r["event_type"] for r in rows.select("event_type").distinct().collect()]  # one folder each
+    for kind in kinds:
         files = arrays.where(C("event_type") == kind).select("value")
         files.write.option("maxRecordsPerFile", 1).text(f"{folder}/{kind}.json")
     arrays.unpersist()
