@@ -31,6 +31,7 @@ HEAD = 2048
 BLOCK_VECTORS = 4096
 BLOCK_QUERIES = 512
 FIRST_SHARE = 0.5
+DENSE_SHARE = 0.01
 
 
 def _moments(length: int):
@@ -102,16 +103,19 @@ def _starts(length: int, k: int, head_ids: np.ndarray, head: np.ndarray):
 
 
 def block_scores(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, floor: np.ndarray, turn: np.ndarray, first: int):
-    """(query, vector, score) of the pairs that can reach the floors, with the share of pairs computed in full."""
+    """(query, vector, score) of the pairs that reach the floors; whole numbers, so any order of summing is exact."""
     rq, rx = q @ turn, x @ turn
     rest = np.sqrt((rq[:, first:] ** 2).sum(axis=1))[:, None] * np.sqrt((rx[:, first:] ** 2).sum(axis=1))[None, :]
     most = rq[:, :first] @ rx[:, :first].T + rest
     slack = 1e-9 * (1 + np.abs(most).max(initial=0))
-    a, b = np.nonzero((most >= floor[:, None] - slack) & (q_ids[:, None] != ids[None, :]))
-    exact = np.empty(len(a))
-    for at in range(0, len(a), 100_000):
-        cut = slice(at, at + 100_000)
-        exact[cut] = (q[a[cut]] * x[b[cut]]).sum(axis=1)
+    open_ = (most >= floor[:, None] - slack) & (q_ids[:, None] != ids[None, :])
+    if open_.sum() > DENSE_SHARE * open_.size:  # one product of the rows and columns that are open is less work
+        rows, columns = np.flatnonzero(open_.any(axis=1)), np.flatnonzero(open_.any(axis=0))
+        exact = q[rows] @ x[columns].T
+        i, j = np.nonzero(open_[np.ix_(rows, columns)] & (exact >= floor[rows][:, None]))
+        return rows[i], columns[j], exact[i, j]
+    a, b = np.nonzero(open_)
+    exact = (q[a] * x[b]).sum(axis=1)
     keep = exact >= floor[a]
     return a[keep], b[keep], exact[keep]
 
