@@ -85,9 +85,3 @@ def subgenre_counts(genres: DataFrame) -> DataFrame:
         .groupBy("parent")
         .agg(F.count(F.lit(1)).alias("n_subs"), F.sum(n_terms).cast("long").alias("n_terms"))
     )
-
-
-def distinct_members(df: DataFrame, key: str, member: str) -> DataFrame:
-    return df.select(key, member).distinct()
-
-

@@ -72,10 +72,6 @@ def detail_once(listing: DataFrame, details: DataFrame, key: str) -> DataFrame:
     return listing.join(needed, key, "left")
 
 
-def prefer(first: str, *others: str) -> Column:
-    return F.coalesce(first, *others)
-
-
 def unseen(new: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     return new.join(existing.select(key), key, "left_anti")
 

@@ -217,13 +217,6 @@ SHAPES = {
 }
 
 
-def shape_of(source: str) -> str:
-    """Which record shape a source name has."""
-    if source in ("goabase", "beldub", "reggaebe", "facebook"):
-        return source
-    return "agenda" if source in K.AGENDA_SOURCES else "venue"
-
-
 def normalize_all(raw_by_shape: dict[str, DataFrame], dims: Dimensions) -> DataFrame:
     """One branch per record shape, then a bag union."""
     parts = [SHAPES[shape](raw, dims) for shape, raw in raw_by_shape.items()]

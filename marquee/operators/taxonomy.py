@@ -149,7 +149,3 @@ def shared_terms(genres: DataFrame) -> DataFrame:
 
 def records_without_terms(genres: DataFrame) -> DataFrame:
     return genres.where((F.size("keywords") == 0) & (F.size("aliases") == 0))
-
-
-def report_counts(genres: DataFrame) -> DataFrame:
-    return aggregates.subgenre_counts(genres)

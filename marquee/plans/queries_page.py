@@ -357,49 +357,82 @@ BASE = "https://fest.example"
 
 
 def detail_pages(t: Tables) -> DataFrame:
-    """events as festival detail pages."""
+    """events as festival detail pages: any quoting, nested tags, entities, fields without links."""
     e = F.expr
     html = e(
         """concat('<html><body><h1> <span>Act</span>  ', event_type, ' ', event_id, '</h1>',
         '<div class="info"><div class="field field--name-address location-address"><div class="field__item">Office 1</div></div></div>',
-        '<div class="field field--name-gf-event-time"><div class="field__item">10.00 u.</div><div class="field__item">', substr(cast(ts as string), 12, 5), '</div>',
-        case when event_id % 4 = 0 then '<div class="field__item">Hele dag</div>' else '' end, '</div></div>',
-        '<div class="field field--name-organizer"><div class="field__item"><a href="/nl/org/', user_id, '">Org &amp; ', user_id, '</a></div></div>',
-        case when event_id % 3 = 0 then concat('<div class="field field--name-categories"><div class="field__item">Muziek</div><div class="field__item">', event_type, '</div></div></div>') else '' end,
-        '<div class="field"><div class="field__label">Prijs</div><div class="field__item">&euro; ', user_id, '</div></div><div class="field no-label"><div class="field__item">kids gratis</div></div>',
-        '<div class="field"><div class="field__label">Kortingsgroepen</div><div class="field__item">kids, 65+ , </div></div>',
-        '<ul class="field--name-part-of"><li title="t"><span>UitPAS</span></li><li><span>NL</span></li></ul>',
+        '<div class="field field--name-gf-event-time"><div class="field__item">10.00 u.</div><div class="field__item"><b>', substr(cast(ts as string), 12, 5), '</b></div>',
+        case when event_id % 4 = 0 then '<div class="field__item">Hele <i>dag</i></div>' else '' end, '</div></div>',
+        '<div class="field field--name-organizer"><div class=field__item>', case when event_id % 6 = 5 then 'nobody' else concat('<a class=o href=QQ/nl/org/', user_id, 'QQ>Org &amp; <em>caf&eacute;</em> ', user_id, '</a>') end, '</div></div>',
+        case when event_id % 7 = 0 then '' else '<div class="field field--name-website"><div class="field__item"><a href=https://w.example/x>site</a></div></div>' end,
+        case when event_id % 3 = 0 then concat('<div class="field field--name-categories"><div class="field__item">Muziek</div><div class="field__item"><div>', event_type, '</div> <span>live</span></div></div>') else '' end,
+        '<div><div class="field"><div class="field__label">Prijs</div><div class="field__item">&euro; <b>', user_id, '</b> <i>of meer</i></div></div>',
+        case when event_id % 2 = 0 then '<div class="field no-label"><div class="field__item">kids <b>gratis</b> &#43; 65</div></div>' else '' end, '</div>',
+        '<div class="field"><div class="field__label">Kortingsgroepen</div><div class="field__item">kids, <span>65+</span> , </div></div>',
+        case when event_id % 4 = 1 then concat('<div class="field"><div class="field__label">Genre</div><div class="field__item">', event_type, '</div></div>') else '' end,
+        '<ul class="field--name-part-of"><li title="t"><span>UitPAS</span></li><li title=QQVanaf 6 jaarQQ><img src=x></li></ul>',
         '<img src="/sites/styles/medium/public/activity/image/a', event_id % 5, '.jpg?itok=1"><img src="/sites/styles/news_detail_large/public/activity/image/a', event_id % 5, '.jpg?itok=2">',
         '<img src="/sites/styles/large/public/activity/image/b.jpg">',
-        '<section class="group-location-sidebar"><h3 class="location-name">Plein ', user_id, '</h3><div class="field field--name-address location-address"><div class="field__item">Kaai ', user_id, '</div></div>',
+        '<section class=QQgroup-location-sidebarQQ><h3 class="location-name">Plein <b>', user_id, '</b> Oost</h3><div class="field field--name-address location-address"><div class="field__item">Kaai ', user_id, '</div></div>',
         '<div class="field field--name-postalcode location-postalcode">9000</div><div class="field field--name-locality location-locality">Gent</div>',
+        '<div class="field field--name-phone location-phone"><a href="tel:09">tel:09 <b>123</b></a></div><div class="field field--name-email location-email"><i>a@b.example</i></div>',
         case when event_id % 2 = 0 then concat('<div class="gf-google-maps-link"><a href="https://maps.example/?x=1&amp;daddr=51.0', user_id, ',3.7', user_id, '">route</a></div>') else '' end, '</section>',
-        '<div class="group--description"><div class="field__label">Over</div><p>Some <b>bold</b> text ', event_id, '</p></div></main>',
-        case when event_id % 5 = 0 then concat('<a class="btn" href="https://tickets.example/', event_id, '">koop</a>') else '' end,
-        '<a href="/node/', user_id, '/calendar.ics">ics</a></body></html>')"""
+        '<div class="field field--name-url location-url">none here</div><a href="/far/away">far</a>',
+        '<div class="group--description"><div class="field__label">Over</div><div><p>Some <b>bold</b> text ', event_id, '</p></div> end</div></main>',
+        case when event_id % 5 = 0 then concat('<a class="btn" href="https://tickets.example/', event_id, '?a=1&amp;b=2">koop</a>') else '' end,
+        '<script src="https://app-eu.readspeaker.com/cgi-bin/rsent?id=1&amp;lang=nl"></script><a href="/node/', user_id, '/calendar.ics">ics</a></body></html>')""".replace("QQ", "\\'")
     )
     url = F.concat(F.lit(BASE + "/nl/day/17/act-"), "user_id")
     days = F.when(C("event_id") % 3 == 0, F.array(F.day("ts"), F.day("ts") + 2)).otherwise(F.array(F.day("ts")))
     return t.heavy("events").select("event_id", url.alias("url"), days.alias("days"), html.alias("html"))
 
 
-@query(
-    "ext11_festival_details",
-    "select cast(user_id as varchar) as node_id, 'https://fest.example/node/' || user_id || '/calendar.ics' as ics_url, 'Act ' || event_type || ' ' || event_id as title, 'Plein ' || user_id as venue, "
-    "'Kaai ' || user_id || ', 9000 Gent' as address, '2026-07-' || lpad(cast(day(ts) as varchar), 2, '0') as date_start, "
-    "case when event_id % 3 = 0 then '2026-07-' || lpad(cast(day(ts) + 2 as varchar), 2, '0') end as end_date_start, '10:00' as time_start, strftime(ts, '%H:%M') as time_end, event_id % 4 = 0 as all_day, "
-    "case when event_id % 2 = 0 then ('51.0' || user_id)::double end as lat, case when event_id % 2 = 0 then ('3.7' || user_id)::double end as lng, 'Some bold text ' || event_id as description, "
-    "case when event_id % 3 = 0 then 'Muziek|' || event_type else '' end as categories, 'Org & ' || user_id as organizer, 'https://fest.example/nl/org/' || user_id as organizer_url, '€ ' || user_id as price, "
-    "'kids gratis' as price_detail, 'kids|65+' as reduction_groups, 'UitPAS|NL' as accessibility, case when event_id % 5 = 0 then 'https://tickets.example/' || event_id end as ticket_url, "
-    "'https://fest.example/sites/styles/news_detail_large/public/activity/image/a' || event_id % 5 || '.jpg?itok=2' as image_url, "
-    "'https://fest.example/sites/styles/news_detail_large/public/activity/image/a' || event_id % 5 || '.jpg?itok=2|https://fest.example/sites/styles/large/public/activity/image/b.jpg' as gallery from events",
-)
+IMG = "'https://fest.example/sites/styles/news_detail_large/public/activity/image/a' || event_id % 5 || '.jpg?itok=2'"
+DETAIL = {
+    "node_id": "cast(user_id as varchar)",
+    "detail_url": "'https://fest.example/nl/day/17/act-' || user_id",
+    "ics_url": "'https://fest.example/node/' || user_id || '/calendar.ics'",
+    "scraped_at": "'2026-07-01T00:00:00Z'",
+    "title": "'Act ' || event_type || ' ' || event_id",
+    "venue": "'Plein ' || user_id || ' Oost'",
+    "address": "'Kaai ' || user_id || ', 9000 Gent'",
+    "date_start": "'2026-07-' || lpad(cast(day(ts) as varchar), 2, '0')",
+    "time_start": "'10:00'",
+    "lat": "case when event_id % 2 = 0 then ('51.0' || user_id)::double end",
+    "lng": "case when event_id % 2 = 0 then ('3.7' || user_id)::double end",
+    "description": "'Some bold text ' || event_id || ' end'",
+    "website": "case when event_id % 7 > 0 then 'https://w.example/x' end",
+    "categories": "case when event_id % 3 = 0 then 'Muziek|' || event_type || ' live' else '' end",
+    "organizer": "case when event_id % 6 < 5 then 'Org & café ' || user_id end",
+    "price": "'€ ' || user_id || ' of meer'",
+    "image_url": IMG,
+    "source": "'feesten'",
+    "end_date_start": "case when event_id % 3 = 0 then '2026-07-' || lpad(cast(day(ts) + 2 as varchar), 2, '0') end",
+    "time_end": "strftime(ts, '%H:%M')",
+    "all_times": "'10:00|' || strftime(ts, '%H:%M')",
+    "all_day": "event_id % 4 = 0",
+    "price_detail": "case when event_id % 2 = 0 then 'kids gratis + 65' end",
+    "reduction_groups": "'kids|65+'",
+    "accessibility": "'UitPAS|Vanaf 6 jaar'",
+    "genre": "case when event_id % 4 = 1 then event_type end",
+    "raw_categories": "case when event_id % 3 = 0 then 'Muziek|' || event_type || ' live' else '' end",
+    "organizer_url": "case when event_id % 6 < 5 then 'https://fest.example/nl/org/' || user_id end",
+    "organizer_address": "null::varchar",
+    "organizer_phone": "null::varchar",
+    "organizer_email": "null::varchar",
+    "venue_phone": "'09 123'",
+    "venue_email": "'a@b.example'",
+    "venue_url": "null::varchar",
+    "ticket_url": "case when event_id % 5 = 0 then 'https://tickets.example/' || event_id || '?a=1&b=2' end",
+    "readspeaker_url": "'https://app-eu.readspeaker.com/cgi-bin/rsent?id=1&lang=nl'",
+    "gallery": IMG + " || '|https://fest.example/sites/styles/large/public/activity/image/b.jpg'",
+}
+
+
+@query("ext11_festival_details", "select " + ", ".join(f"{e} as {n}" for n, e in DETAIL.items()) + " from events")
 def _(t: Tables):
-    parsed = festival.parse_details(detail_pages(t), BASE, "2026-07", F.lit("2026-07-01T00:00:00Z"))
-    return flat(parsed.select(
-        "node_id", "ics_url", "title", "venue", "address", "date_start", "end_date_start", "time_start", "time_end", "all_day", "lat", "lng", "description", "categories",
-        "organizer", "organizer_url", "price", "price_detail", "reduction_groups", "accessibility", "ticket_url", "image_url", "gallery",
-    ))
+    return flat(festival.parse_details(detail_pages(t), BASE, "2026-07", F.lit("2026-07-01T00:00:00Z")))
 
 
 # --- whole runs ---------------------------------------------------------------------------------------------------------
@@ -414,15 +447,7 @@ def _(t: Tables):
     return flat(done["events"].drop("overrides"))
 
 
-@query(
-    "run_festival",
-    "with n as (select user_id, min(day(ts)) as lo, max(day(ts)) as hi, arg_min(day(ts), (day(ts), event_id)) as d0 from events group by user_id), "
-    "p as (select n.*, 'https://fest.example/nl/day/' || d0 || '/act-' || user_id as url from n) "
-    "select cast(user_id as varchar) as node_id, url as detail_url, '2026-07-' || lpad(cast(lo as varchar), 2, '0') as date_start, "
-    "case when hi > lo then '2026-07-' || lpad(cast(hi as varchar), 2, '0') end as end_date_start, "
-    "case when user_id % 3 = 0 then 51.05018::double when user_id % 3 = 1 then 51.05::double end as lat, case when user_id % 3 = 0 then 'already' when user_id % 3 = 1 then 'filled' else 'todo' end as located from p",
-)
-def _(t: Tables):
+def festival_parts(t: Tables) -> dict[str, DataFrame]:
     listing = listing_pages(t)
     links = extract.links(listing).join(listing.select("page_id", "day"), "page_id")
     nodes = extract.node_days(links, NODE_LINK, "day", F.struct("day", "page_id", "pos"))
@@ -439,8 +464,36 @@ def _(t: Tables):
         F.concat(F.lit("Kaai "), user % 3, F.lit(" "), user % 7).alias("address"), F.lit(51.05).alias("lat"), F.lit(3.72).alias("lng")
     ).distinct()
     fixes = t.spark.createDataFrame(K.COORD_FIXES, "venue_key string, lat double, lng double, address string")
-    done = chains.festival_run(listing, details, fixes, cache, BASE, "2026-07", F.lit("2026-07-01"))
-    return done.select("node_id", "detail_url", "date_start", "end_date_start", "lat", "located")
+    return chains.festival_run(listing, details, fixes, cache, BASE, "2026-07", F.lit("2026-07-01"))
+
+
+@query(
+    "run_festival",
+    "with n as (select user_id, min(day(ts)) as lo, max(day(ts)) as hi, arg_min(day(ts), (day(ts), event_id)) as d0 from events group by user_id), "
+    "p as (select n.*, 'https://fest.example/nl/day/' || d0 || '/act-' || user_id as url from n) "
+    "select cast(user_id as varchar) as node_id, url as detail_url, '2026-07-' || lpad(cast(lo as varchar), 2, '0') as date_start, "
+    "case when hi > lo then '2026-07-' || lpad(cast(hi as varchar), 2, '0') end as end_date_start, "
+    "case when user_id % 3 = 0 then 51.05018::double when user_id % 3 = 1 then 51.05::double end as lat, case when user_id % 3 = 0 then 'already' when user_id % 3 = 1 then 'filled' else 'todo' end as located from p",
+)
+def _(t: Tables):
+    return festival_parts(t)["records"].select("node_id", "detail_url", "date_start", "end_date_start", "lat", "located")
+
+
+@query(
+    "run_festival_work_list",
+    "with u as (select distinct user_id % 7 as k from events where user_id % 3 = 2) "
+    "select 'Kaai 2 ' || k || ', Gent, Belgium' as query, 0 as rank from u union all select 'Kaai 2, Gent, Belgium', 1 from u group by 1",
+)
+def _(t: Tables):
+    return festival_parts(t)["work_list"].select("query", "rank")
+
+
+@query(
+    "run_festival_counts",
+    "select case user_id % 3 when 0 then 'already' when 1 then 'filled' else 'todo' end as located, count(distinct user_id) as n from events group by 1",
+)
+def _(t: Tables):
+    return festival_parts(t)["counts"]
 
 
 @query(

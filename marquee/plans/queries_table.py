@@ -295,6 +295,35 @@ def genres(t: Tables) -> DataFrame:
 STOP = ["dub", "bolt"]
 
 
+@query(
+    "src6_other_registries",
+    f"with {GENRE_SQL} select 'genre' as kind, id, (row_number() over (order by id) - 1)::int as ord, len(keywords)::int as n from genre "
+    "union all select 'organizer', 'o' || n_nationkey, (row_number() over (order by n_nationkey) - 1)::int, 1 from nation "
+    "union all select 'stop word', 'w ' || r_regionkey, null, null from region",
+)
+def _(t: Tables):
+    """The genre, organizer and stop-word files are written and read back."""
+    home = scratch_path(t.spark, "registries")
+
+    def one_file(rows: DataFrame, key: str, order: str) -> None:
+        """A registry is one small JSON file."""
+        records = F.array_sort(F.collect_list(F.struct(order, *[c for c in rows.columns if c != order])))
+        rows.agg(F.to_json(F.struct(records.alias(key))).alias("value")).write.text(f"{home}/{key}.json")
+
+    one_file(genres(t).drop("ord"), "genres", "id")
+    nation = t("nation").select("n_nationkey", F.concat(F.lit("o"), "n_nationkey").alias("id"), C("n_name").alias("name"), F.array("n_name").alias("aliases"))
+    one_file(nation, "organizers", "n_nationkey")
+    words = F.collect_list(F.concat(F.lit("  W, "), "r_regionkey")).alias("stopwords")
+    t("region").agg(F.to_json(F.struct(words)).alias("value")).write.text(f"{home}/stopwords.json")
+    listed = dimensions.read_genres(t.spark, f"{home}/genres.json").select(F.lit("genre").alias("kind"), "id", "ord", F.size("keywords").alias("n"))
+    organizers = dimensions.read_organizers(t.spark, f"{home}/organizers.json").select(F.lit("organizer").alias("kind"), "id", "ord", F.size("aliases").alias("n"))
+    stop = dimensions.read_stopwords(t.spark, f"{home}/stopwords.json").select(
+        F.lit("stop word").alias("kind"), C("word").alias("id"), F.lit(None).cast("int").alias("ord"), F.lit(None).cast("int").alias("n")
+    )
+    return listed.unionByName(organizers).unionByName(stop)
+
+
+
 def terms(t: Tables) -> DataFrame:
     return dimensions.term_table(genres(t), STOP)
 
