@@ -7,9 +7,10 @@ longer length, found by a bit-parallel alignment within the band that the thresh
 Links are closed to classes.
 
 Equal word sequences are one node from the start, so copies cost one row each. Inside a bucket every
-member is compared with a hub; members that are linked already are not compared, the others go on with
-more hubs, twice as many each round, until each pair of the bucket is linked, compared or joined by other
-links. So no link between candidates is lost, and a large group of near copies costs about its size.
+member is compared with a hub, then with two more; members that are joined by links already are not
+compared, so a large group of near copies costs about its size. Buckets that still hold several components
+are compared whole, in blocks: a task gets the words of two blocks and gives links only, so every pair of a
+bucket is linked, compared or joined by other links, and no pair is a row. No link between candidates is lost.
 
 Words are runs of letters, digits and underscores in lower case. A text of under five words is one
 shingle; texts without words (null and empty ones too) are equal to each other. Nodes are known by 64 bits
@@ -20,13 +21,14 @@ class, null if it has none. Repeated rows are in one class. An empty table gives
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.llm.common import slices
@@ -36,6 +38,7 @@ SHINGLE = 5
 PICKED = 3
 SKETCHES = 32
 SIMILARITY = 0.8
+MOST_HUBS = 2
 WORD = re.compile(r"\w+")
 KEPT_WORDS = 500_000
 
@@ -266,17 +269,140 @@ def _merged(roots: DataFrame | None, links: DataFrame) -> DataFrame | None:
 
 
 def _members(nodes: DataFrame) -> DataFrame:
-    """(bucket, node): picks shared by several nodes, split by length so that only nodes whose lengths differ by
-    less than the threshold allows meet: each node is in the bucket of its length class and of the next."""
+    """(bucket, turn, node, n_words): picks that several nodes share."""
     picks = nodes.select("node", "n_words", F.posexplode("sketch").alias("turn", "pick")).select(
-        "node", "n_words", F.xxhash64("turn", "pick").alias("pick")
+        F.xxhash64("turn", "pick").alias("bucket"), "turn", "node", "n_words"
     )
-    shared = picks.groupBy("pick").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("pick")
-    length = F.floor(F.log(F.col("n_words").cast("double")) / F.log(F.lit(1 / SIMILARITY)))
-    split = picks.join(shared, "pick", "left_semi").withColumn("part", F.explode(F.array(length, length + 1)))
-    rows = checkpointed(split.select(F.xxhash64("pick", "part").alias("bucket"), "node"))
-    several = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("bucket")
-    return checkpointed(rows.join(several, "bucket", "left_semi"))
+    several = picks.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("bucket")
+    return checkpointed(picks.join(several, "bucket", "left_semi"))
+
+
+def _meetings(members: DataFrame, hubs: DataFrame) -> DataFrame:
+    """(node, hub) of each bucket whose lengths allow the threshold, but pairs that are joined already; two hubs
+    meet once."""
+    fits = F.least("n_words", "_n") >= SIMILARITY * F.greatest("n_words", "_n") - 1e-9
+    if "_root" not in members.columns:
+        return members.join(hubs.select("bucket", "hub", "_n"), "bucket").where((F.col("node") != F.col("hub")) & fits)
+    met = members.select("bucket", "node", "n_words", "_root", "weight").join(hubs.select("bucket", "hub", "_n", "_hub_root", F.col("weight").alias("_w")), "bucket")
+    later = F.struct("weight", "_root", "node") > F.struct("_w", "_hub_root", "hub")
+    return met.where((F.col("_root") != F.col("_hub_root")) & later & fits)
+
+
+# --- buckets that hold several components after the first hubs ------------------------------------------------
+
+BLOCK = 512
+PROFILE = "node long, words binary, sketch binary"
+PACKED = "bucket long, block int, turn int, nodes array<long>, roots array<long>, words array<binary>, sketches array<binary>"
+
+
+def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words as 32-bit numbers, and the sketch. Different words with one number can only bring texts closer."""
+    known = _Words()
+    for batch in slices(batches, 512):
+        words, found = [], []
+        for text in batch.column(1).to_pylist():
+            hashes = np.fromiter(map(known.__getitem__, word_list(text)), np.uint64)
+            words.append((hashes >> np.uint64(32)).astype("<u4").tobytes())
+            found.append(sketch(labelled_shingles(hashes)).tobytes())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(words, pa.binary()), pa.array(found, pa.binary())], names=["node", "words", "sketch"]
+        )
+
+
+def _packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (bucket, block) to one row per block; one block is held at a time."""
+    names = ("bucket", "block", "turn", "node", "_root", "words", "sketch")
+
+    def rows():
+        for batch in batches:
+            yield from zip(*[batch.column(c).to_pylist() for c in names])
+
+    kinds = [pa.int64(), *[pa.int32()] * 2, *[pa.list_(pa.int64())] * 2, *[pa.list_(pa.binary())] * 2]
+    columns = [f.split(" ")[0] for f in PACKED.split(", ")]
+    out, held = [], 0
+    for _, group in itertools.groupby(rows(), key=lambda r: r[:2]):
+        members = list(group)
+        out.append((*members[0][:3], *[list(c) for c in zip(*[m[3:] for m in members])]))
+        held += len(members)
+        if held >= 4 * BLOCK:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=columns)
+            out, held = [], 0
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=columns)
+
+
+def _spread_counts(words: np.ndarray) -> np.ndarray:
+    return np.minimum(np.bincount(words & np.uint32(2047), minlength=2048), 255).astype(np.int16)
+
+
+def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between different components that two blocks of a bucket hold.
+
+    A pair is looked at only in the first bucket its nodes share, not if its nodes are joined by the links of
+    this task, and aligned only if its word counts allow the threshold.
+    """
+    for batch in slices(batches, 1):
+        row = {n: batch.column(n)[0].as_py() for n in batch.schema.names}
+        sides = []
+        for s in ("", "_2"):
+            words = [np.frombuffer(w, "<u4") for w in row[f"words{s}"]]
+            sides.append({
+                "node": row[f"nodes{s}"], "root": row[f"roots{s}"], "words": words,
+                "n": np.array([len(w) for w in words]), "counts": np.array([_spread_counts(w) for w in words]),
+                "sketch": np.array([np.frombuffer(k, np.uint64) for k in row[f"sketches{s}"]]),
+            })
+        a, b = sides
+        joined: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while joined.get(x, x) != x:
+                x = joined[x]
+            return x
+
+        out, lists, same = [], {}, row["block"] == row["block_2"]
+        roots_b = np.array(b["root"])
+        for i, node in enumerate(a["node"]):
+            equal = b["sketch"] == a["sketch"][i]
+            most = ((1 - SIMILARITY) * np.maximum(a["n"][i], b["n"]) + 1e-9).astype(int)
+            fits = equal[:, row["turn"]] & (equal.argmax(axis=1) == row["turn"])
+            fits &= (np.abs(a["n"][i] - b["n"]) <= most) & (roots_b != a["root"][i])
+            if same:
+                fits[: i + 1] = False
+            for j in np.flatnonzero(fits).tolist():
+                if find(a["root"][i]) == find(b["root"][j]):
+                    continue
+                apart = a["counts"][i] - b["counts"][j]
+                if max(int(apart[apart > 0].sum()), -int(apart[apart < 0].sum())) > most[j]:
+                    continue
+                left = lists.setdefault(node, a["words"][i].tolist())
+                right = lists.setdefault(b["node"][j], b["words"][j].tolist())
+                if bag_distance(Counter(left), Counter(right)) <= most[j] and banded_distance(left, right, int(most[j])) is not None:
+                    joined[find(a["root"][i])] = find(b["root"][j])
+                    out.append((max(node, b["node"][j]), min(node, b["node"][j])))
+        x, y = zip(*out) if out else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["a", "b"])
+
+
+def block_links(members: DataFrame, roots: DataFrame | None, texts: DataFrame) -> DataFrame:
+    """(a, b): links that join the components a bucket still holds, without a row per pair.
+
+    Buckets are dealt in blocks of about 512 nodes, and every two blocks of a bucket are compared at once. The join
+    is of blocks, so a large bucket is many rows, which adaptive execution splits over tasks.
+    """
+    needed = texts.join(members.select("node").distinct(), "node", "left_semi")
+    profiles = needed.select("node", "text").mapInArrow(_profiles, PROFILE)
+    sizes = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    dealt = (
+        _with_roots(members, roots, "node", "_root").join(sizes, "bucket")
+        .withColumn("block", F.pmod(F.xxhash64("node", F.lit(17)), F.col("blocks")).cast("int"))
+        .join(profiles, "node")
+        .select("bucket", "block", "turn", "node", "_root", "words", "sketch")
+    )
+    packed = checkpointed(dealt.repartition("bucket", "block").sortWithinPartitions("bucket", "block").mapInArrow(_packs, PACKED))
+    other = packed.drop("turn")
+    other = other.select("bucket", *[F.col(c).alias(f"{c}_2") for c in other.columns if c != "bucket"])
+    both = packed.join(other, "bucket").where("block <= block_2")
+    return both.mapInArrow(_compare_blocks, "a long, b long").distinct()
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
@@ -301,12 +427,17 @@ def near_classes(docs: DataFrame) -> DataFrame:
     roots, tested, hubs = None, None, 1
     while members.take(1):
         if hubs == 1:
-            chosen = members.groupBy("bucket").agg(F.min("node").alias("hub"))
+            chosen = members.groupBy("bucket").agg(F.min("node").alias("hub"), F.min_by("n_words", "node").alias("_n"))
+            weighed = members
         else:
-            rank = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
-            chosen = members.withColumn("_rank", rank).where(F.col("_rank") <= hubs).select("bucket", F.col("node").alias("hub"))
+            # nodes of the bucket's small components first: they meet the large ones, whose nodes need not meet each other
+            rooted = _with_roots(members, roots, "node", "_root")
+            sizes = rooted.groupBy("bucket", "_root").agg(F.count(F.lit(1)).alias("weight"))
+            weighed = checkpointed(rooted.join(sizes, ["bucket", "_root"]))
+            rank = F.row_number().over(Window.partitionBy("bucket").orderBy("weight", "_root", "node"))
+            chosen = weighed.withColumn("_rank", rank).where(F.col("_rank") <= hubs).select("bucket", F.col("node").alias("hub"), F.col("n_words").alias("_n"), "weight", F.col("_root").alias("_hub_root"))
         pairs = (
-            members.join(chosen, "bucket").where("node > hub").groupBy(F.col("node").alias("a"), F.col("hub").alias("b"))
+            _meetings(weighed, chosen).groupBy(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b"))
             .agg(F.count(F.lit(1)).alias("votes"))
         )
         if tested is not None:
@@ -323,11 +454,16 @@ def near_classes(docs: DataFrame) -> DataFrame:
             roots = _merged(roots, checkpointed(linked(pairs.select("a", "b"), texts)))
             seen = pairs.select("a", "b")
         tested = checkpointed(seen if tested is None else tested.unionByName(seen))
-        rest = members.join(chosen.withColumnRenamed("hub", "node"), ["bucket", "node"], "left_anti")
-        rooted = _with_roots(rest, roots, "node", "_root")
+        rooted = _with_roots(members, roots, "node", "_root")
         mixed = rooted.groupBy("bucket").agg(F.min("_root").alias("lo"), F.max("_root").alias("hi")).where("lo != hi").select("bucket")
-        members = checkpointed(rest.join(mixed, "bucket", "left_semi"))
+        open_ = members.join(mixed, "bucket", "left_semi")  # the others are one component each
+        members = checkpointed(open_.join(chosen.select("bucket", F.col("hub").alias("node")), ["bucket", "node"], "left_anti"))
         hubs *= 2
+        if hubs > MOST_HUBS:
+            if members.take(1):
+                found = checkpointed(block_links(members, roots, texts))
+                roots = _merged(roots, checkpointed(linked(found, texts)))
+            break
     classes = _with_roots(nodes.select("node", "first"), roots, "node", "root")
     least = classes.groupBy("root").agg(F.min("first").alias("head"))
     named = classes.join(least, "root").select("node", "head.doc_id", "head.tie").toDF("node", "class_id", "class_tie")
