@@ -10,7 +10,8 @@ goes through its vector blocks from long to short.
 
 Vectors that are null, empty, of another length than most, or hold a null or non-finite component take no
 part; rows with a null vec_id neither. Zero vectors do. Rows that repeat a vec_id are one candidate, with
-the greatest of their scores. Ties go to the smaller vec_id. An empty table gives an empty result. Products
+the greatest of their scores: equal rows are dropped first, and thresholds are k-th best scores over distinct
+vec_ids. Ties go to the smaller vec_id. An empty table gives an empty result. Products
 are exact as long as they stay below 2^53. Other columns are not looked at.
 """
 
@@ -82,7 +83,9 @@ def _blocks(length: int, size: int):
 
 
 def _starts(length: int, k: int, head_ids: np.ndarray, head: np.ndarray):
-    """Adds to a query block each query's k-th best score among the longest vectors (or minus infinity)."""
+    """Adds to a query block each query's k-th best score among the vec_ids of the longest vectors (or minus infinity)."""
+    order = np.argsort(head_ids, kind="stable")
+    head_ids, head = head_ids[order], head[order]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -90,6 +93,7 @@ def _starts(length: int, k: int, head_ids: np.ndarray, head: np.ndarray):
             for ids, vectors in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 ids, q = np.frombuffer(ids, np.int64), np.frombuffer(vectors).reshape(-1, length)
                 scores = np.where(ids[:, None] == head_ids[None, :], -np.inf, q @ head.T)
+                scores = np.maximum.reduceat(scores, np.flatnonzero(np.r_[True, head_ids[1:] != head_ids[:-1]]), axis=1)  # one column per vec_id
                 low = np.partition(scores, -k, axis=1)[:, -k] if scores.shape[1] >= k else np.full(len(q), -np.inf)
                 floors.append(low.tobytes())
                 norms = np.sqrt((q * q).sum(axis=1))
@@ -135,6 +139,10 @@ def _products(length: int, k: int, turn: np.ndarray, first: int):
                     a, b, score = block_scores(q, q_ids, x[at : at + 1024], ids[at : at + 1024], floor, turn, first)
                     if not len(a):
                         continue
+                    order = np.lexsort((-score, ids[at + b], a))
+                    a, b, score = a[order], b[order], score[order]
+                    fresh = np.r_[True, (a[1:] != a[:-1]) | (ids[at + b[1:]] != ids[at + b[:-1]])]  # the best row of each vec_id
+                    a, b, score = a[fresh], b[fresh], score[fresh]
                     order = np.lexsort((ids[at + b], -score, a))
                     a, b, score = a[order], b[order], score[order]
                     begins = np.flatnonzero(np.r_[True, a[1:] != a[:-1]])
@@ -163,8 +171,8 @@ def top_products(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     if not length:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     square = F.aggregate("v", F.lit(0.0), lambda s, c: s + c * c)
-    every = checkpointed(every.where(F.size("v") == length).withColumn("square", square))
-    asked = valid(queries).where(F.size("v") == length)
+    every = checkpointed(every.where(F.size("v") == length).dropDuplicates(["vec_id", "v"]).withColumn("square", square))
+    asked = valid(queries).where(F.size("v") == length).dropDuplicates(["vec_id", "v"])
     turn = rotation(every, length)
     first = max(1, int(length * FIRST_SHARE))
     head = every.orderBy(F.col("square").desc(), "vec_id").limit(HEAD).collect()  # at most HEAD

@@ -47,10 +47,12 @@ class Best:
         if not self.parts:
             return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, self.kind)
         q, v, r = (np.concatenate(c) for c in zip(*self.parts))
-        order = np.lexsort((v, r, q))
+        order = np.lexsort((r, v, q))
         q, v, r = q[order], v[order], r[order]
-        fresh = np.r_[True, (q[1:] != q[:-1]) | (v[1:] != v[:-1])]
+        fresh = np.r_[True, (q[1:] != q[:-1]) | (v[1:] != v[:-1])]  # the least rank of each match
         q, v, r = q[fresh], v[fresh], r[fresh]
+        order = np.lexsort((v, r, q))
+        q, v, r = q[order], v[order], r[order]
         starts = np.flatnonzero(np.r_[True, q[1:] != q[:-1]])
         place = np.arange(len(q)) - np.repeat(starts, np.diff(np.r_[starts, len(q)]))
         kept = place < self.k

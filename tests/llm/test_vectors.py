@@ -89,3 +89,25 @@ def test_blocks_and_bounds(spark, monkeypatch):
         score[q] = -np.inf
         order = np.lexsort((np.arange(800), -score))[:9]
         assert sorted(got[q]) == [(n + 1, int(i), int(score[i])) for n, i in enumerate(order)]
+
+
+def test_repeated_ids_by_product(spark, monkeypatch):
+    """vec_ids that repeat, as copies and with other vectors, in a table much larger than k: as brute force over distinct ids."""
+    rng = np.random.default_rng(2)
+    x = np.floor(rng.normal(size=(3000, 6)) * 20)
+    x[0] *= 40
+    ids = np.r_[np.arange(3000), np.zeros(30, int), np.full(40, 5), np.repeat(np.arange(100, 400), 3)]
+    x = np.r_[x, np.repeat(x[:1], 30, axis=0), np.floor(rng.normal(size=(40, 6)) * 300), np.floor(rng.normal(size=(900, 6)) * 60)]
+    rows = [(int(i), v.tolist()) for i, v in zip(ids, x)]
+    vectors = spark.createDataFrame(rows, "vec_id long, v array<double>")
+    for head in (2048, 60):
+        monkeypatch.setattr(inner_products, "HEAD", head)
+        got = {}
+        for r in inner_products.top_products(vectors, vectors.where("vec_id % 60 = 0"), 20).collect():
+            got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+        for q in range(0, 3000, 60):
+            best = np.full(3000, -np.inf)
+            np.maximum.at(best, ids, (x @ x[ids == q].T).max(axis=1))
+            best[q] = -np.inf
+            order = np.lexsort((np.arange(3000), -best))[:20]
+            assert sorted(got[q]) == [(n + 1, int(i), int(best[i])) for n, i in enumerate(order)]
