@@ -7,10 +7,10 @@ the distance of its k-th neighbour in a sample of the vectors, which is never to
 tables are merged and ranked by exact distance.
 
 The cell width is fitted to a sample of at most `SAMPLE` vectors (least hash of vec_id); every vector is
-indexed. A bucket is stored as several rows, each with the vectors of one task, so a bucket with a third of
+indexed, equal rows once. A bucket is stored as several rows, each with the vectors of one task, so a bucket with a third of
 all vectors is not one row. Vectors that are null, zero, of another length than most, or that hold a null
 or non-finite component take no part; rows with a null vec_id neither. Rows that repeat a vec_id are one
-candidate, at their least distance; as queries, each result is the nearest of their candidates. A query that
+candidate, at their least distance, and take one of the k places; as queries, each result is the nearest of their candidates. A query that
 meets fewer than k vectors is compared with all; fewer than k candidates give fewer rows. An empty table
 gives an empty result. Other columns are not looked at.
 """
@@ -39,6 +39,12 @@ REACH = 2
 BUCKETS = "tab int, bucket long, ids binary, vectors binary"
 
 
+def _least(distances: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Per row the least distance of each vec_id; equal ids lie side by side."""
+    starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+    return distances if len(starts) == len(ids) else np.minimum.reduceat(distances, starts, axis=-1)
+
+
 @dataclass
 class Index:
     """Random projections, cell width and the sample that distances are estimated from."""
@@ -141,7 +147,9 @@ def _probes(index: Index):
             ids, x = np.asarray(batch.column(0), np.int64), matrix(batch.column(1), index.length)
             reach = []
             for i, v in zip(ids, x):
-                others = np.sqrt(((index.sample[index.sample_ids != i] - v) ** 2).sum(axis=1))
+                other = index.sample_ids != i
+                others = np.sqrt(((index.sample[other] - v) ** 2).sum(axis=1))
+                others = _least(others, index.sample_ids[other]) if len(others) else others
                 kth = np.sort(others)[min(index.k, len(others)) - 1] if len(others) else 0.0
                 reach.append(max(float(kth), 1e-6 * index.width))
             for t in range(len(index.directions)):
@@ -168,8 +176,9 @@ def _reranked(length: int, k: int):
                     own = q[at : at + 512]
                     rough = (own * own).sum(axis=1)[:, None] + squares[None, :] - 2 * own @ x.T
                     rough[q_ids[at : at + 512][:, None] == ids[None, :]] = np.inf
-                    if len(ids) > k:
-                        limit = np.partition(rough, k - 1, axis=1)[:, k - 1]
+                    each = _least(rough, ids)  # a stored row is sorted by id
+                    if each.shape[1] > k:
+                        limit = np.partition(each, k - 1, axis=1)[:, k - 1]
                     else:
                         limit = np.full(len(own), np.finfo(float).max)
                     slack = 1e-9 * ((own * own).sum(axis=1) + squares.max())
@@ -199,7 +208,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, **settings) -> DataF
     length_of = lambda df: df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("v")).where(
         F.col("vec_id").isNotNull() & finite("v") & F.exists("v", lambda c: c != 0)
     ).withColumn("v", F.col("v").cast("array<double>"))
-    every = length_of(vectors)
+    every = checkpointed(length_of(vectors.dropDuplicates(["vec_id", "embedding"])))
     index = fit(every, k, **settings)
     if index is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, distance double")

@@ -111,3 +111,25 @@ def test_repeated_ids_by_product(spark, monkeypatch):
             best[q] = -np.inf
             order = np.lexsort((np.arange(3000), -best))[:20]
             assert sorted(got[q]) == [(n + 1, int(i), int(best[i])) for n, i in enumerate(order)]
+
+
+def test_repeated_ids_near(spark):
+    """A vec_id stored many times, as copies and with other vectors, takes one place: in a bucket and in the comparison with all."""
+    rng = np.random.default_rng(3)
+    x = np.r_[rng.normal(size=(40, 4)) * 0.01 + 5, rng.normal(size=(400, 4)) * 3 - 5]
+    ids = np.r_[np.arange(440), np.full(30, 1), np.full(30, 2), np.repeat(np.arange(3, 30), 12)]
+    x = np.r_[x, np.repeat(x[1:2], 30, axis=0), x[0] + rng.normal(size=(30, 4)) * 0.001, x[np.repeat(np.arange(3, 30), 12)] + rng.normal(size=(324, 4)) * 0.001]
+    x = np.r_[x, [[400.0, 400, 400, 400]]]
+    ids = np.r_[ids, 999]  # far from everything
+    x = np.asarray(x, np.float32).astype(float)
+    vectors = spark.createDataFrame([(int(i), v.tolist(), 0) for i, v in zip(ids, x)], ROWS)
+    got = {}
+    for r in p_stable.nearest(vectors, vectors.where("vec_id in (0, 35, 999)"), 10).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.distance))
+    for q in (0, 35, 999):
+        best = np.full(1000, np.inf)
+        np.minimum.at(best, ids, np.sqrt(((x - x[ids == q][0]) ** 2).sum(axis=1)))
+        best[q] = np.inf
+        order = np.lexsort((np.arange(1000), best))[:10]
+        assert [g[1] for g in sorted(got[q])] == order.tolist()
+        assert [g[2] for g in sorted(got[q])] == pytest.approx(best[order].tolist())
