@@ -1,8 +1,10 @@
 """Near-duplicate documents by Order MinHash and banded alignment.
 
-Five-word shingles, labelled with their occurrence number, are hashed by 32 functions; each function picks
-the three least and keeps them in text order. Documents that share such a pick, and whose lengths allow it,
-are candidates; a candidate pair is linked if the edit similarity of the word sequences (1 - distance /
+Five-word shingles, labelled with their occurrence number, are hashed by 64 functions; each function picks
+the two least and keeps them in text order. Documents that share such a pick, and whose lengths allow it,
+are candidates. Texts of up to 14 words also meet by what is left of them without as many words as the
+threshold lets differ, so no pair of these is missed; longer ones are missed with the chance that the README
+gives. A candidate pair is linked if the edit similarity of the word sequences (1 - distance /
 longer length, found by a bit-parallel alignment within the band that the threshold leaves) is 0.8 or more.
 Links are closed to classes.
 
@@ -35,8 +37,9 @@ from marquee.llm.common import slices
 from marquee.session import checkpointed, small
 
 SHINGLE = 5
-PICKED = 3
-SKETCHES = 32
+PICKED = 2
+SKETCHES = 64
+SHORT_WORDS = 14
 SIMILARITY = 0.8
 MOST_HUBS = 2
 WORD = re.compile(r"\w+")
@@ -96,9 +99,15 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
     """One number per hash function: its least shingles, in text order."""
     _, factors, salts = _constants()
     if len(shingles) > PICKED:
-        ranks = (shingles[None, :] ^ salts[:, None]) * factors[:, None]
-        where = np.sort(np.argpartition(ranks, PICKED - 1, axis=1)[:, :PICKED], axis=1)
-        picked = shingles[where]
+        where = np.empty((SKETCHES, PICKED), np.int64)
+        for at in range(0, SKETCHES, 16):  # so many functions at once, as texts can be long
+            cut = slice(at, at + 16)
+            ranks = (shingles[None, :] ^ salts[cut, None]) * factors[cut, None]
+            rows = np.arange(len(ranks))
+            for j in range(PICKED):
+                where[cut, j] = found = ranks.argmin(axis=1)
+                ranks[rows, found] = np.iinfo(np.uint64).max
+        picked = shingles[np.sort(where, axis=1)]
     else:
         picked = np.tile(shingles, (SKETCHES, 1))
     out = salts.copy()
@@ -107,6 +116,22 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
+def short_keys(hashes: np.ndarray) -> list[int]:
+    """Of a text of up to `SHORT_WORDS` words, one number for each way to leave out as many words as may differ.
+
+    Two texts within the threshold have a common part that either gives by leaving out words, so they share a key.
+    """
+    import xxhash
+
+    n = len(hashes)
+    if not 0 < n <= SHORT_WORDS:
+        return []
+    parts = {tuple(hashes.tolist())}
+    for _ in range(int((1 - SIMILARITY) * n + 1e-9)):
+        parts |= {p[:i] + p[i + 1 :] for p in parts for i in range(len(p))}
+    return sorted(xxhash.xxh3_64_intdigest(np.array(p, np.uint64).tobytes()) for p in parts)
+
+
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import xxhash
 
@@ -120,9 +145,10 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             nodes.append(int.from_bytes(whole[:8], "little", signed=True))
             seconds.append(int.from_bytes(whole[8:], "little", signed=True))
             sizes.append(len(words))
-            found.append(sketch(labelled_shingles(hashes)) if words else np.zeros(SKETCHES, np.uint64))
+            picks = sketch(labelled_shingles(hashes)) if words else np.zeros(SKETCHES, np.uint64)
+            found.append(np.r_[picks, np.array(short_keys(hashes), np.uint64)])
         flat = np.concatenate(found).astype(np.int64) if found else np.empty(0, np.int64)
-        offsets = np.arange(len(found) + 1, dtype=np.int32) * SKETCHES
+        offsets = np.cumsum([0, *map(len, found)], dtype=np.int32)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(seconds, pa.int64()),
              pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
@@ -269,8 +295,9 @@ def _merged(roots: DataFrame | None, links: DataFrame) -> DataFrame | None:
 
 
 def _members(nodes: DataFrame) -> DataFrame:
-    """(bucket, turn, node, n_words): picks that several nodes share."""
-    picks = nodes.select("node", "n_words", F.posexplode("sketch").alias("turn", "pick")).select(
+    """(bucket, turn, node, n_words): picks that several nodes share; the keys of short texts have turn -1."""
+    turn = F.when(F.col("place") < SKETCHES, F.col("place")).otherwise(F.lit(-1)).alias("turn")
+    picks = nodes.select("node", "n_words", F.posexplode("sketch").alias("place", "pick")).select("node", "n_words", turn, "pick").select(
         F.xxhash64("turn", "pick").alias("bucket"), "turn", "node", "n_words"
     )
     several = picks.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("bucket")
@@ -338,7 +365,7 @@ def _spread_counts(words: np.ndarray) -> np.ndarray:
 def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links between different components that two blocks of a bucket hold.
 
-    A pair is looked at only in the first bucket its nodes share, not if its nodes are joined by the links of
+    A pair is looked at only in the first bucket its nodes share (and in those of short texts), not if its nodes are joined by the links of
     this task, and aligned only if its word counts allow the threshold.
     """
     for batch in slices(batches, 1):
@@ -364,7 +391,7 @@ def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         for i, node in enumerate(a["node"]):
             equal = b["sketch"] == a["sketch"][i]
             most = ((1 - SIMILARITY) * np.maximum(a["n"][i], b["n"]) + 1e-9).astype(int)
-            fits = equal[:, row["turn"]] & (equal.argmax(axis=1) == row["turn"])
+            fits = equal[:, row["turn"]] & (equal.argmax(axis=1) == row["turn"]) if row["turn"] >= 0 else np.ones(len(equal), bool)
             fits &= (np.abs(a["n"][i] - b["n"]) <= most) & (roots_b != a["root"][i])
             if same:
                 fits[: i + 1] = False

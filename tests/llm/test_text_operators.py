@@ -96,6 +96,50 @@ def test_near_copies_of_odd_rows(spark, odd_docs, no_docs):
     assert order_minhash.near_classes(no_docs).count() == 0 and order_minhash.keep_first(no_docs).count() == 0
 
 
+def test_short_near_copies_meet(spark):
+    """Texts of up to 14 words: every pair of similarity 0.8 or more is linked, also prefixes and words changed in the middle."""
+    rng = random.Random(6)
+    rows, pairs = [], []
+    for n in range(4, 15):
+        for edits in range(1, int(0.2 * n + 1e-9) + 1):
+            for kind in ("cut", "change", "put", "mixed"):
+                base = [f"g{len(rows)}w{i}" for i in range(n)]
+                copy = list(base)
+                for e in range(edits):
+                    at = rng.randrange(len(copy))
+                    if kind == "cut":
+                        copy.pop()
+                    elif kind == "put" or (kind == "mixed" and e % 2):
+                        copy.insert(at, f"new{e}")
+                    else:
+                        copy[at] = f"other{e}"
+                if len(copy) <= 14 and order_minhash.similarity(base, copy) is not None:
+                    pairs.append((len(rows), len(rows) + 1))
+                rows += [" ".join(base), " ".join(copy)]
+    got = {r.doc_id: r.class_id for r in order_minhash.near_classes(line_docs(spark, rows)).collect()}
+    assert len(pairs) > 40 and all(got[a] == got[b] for a, b in pairs)
+    members = [f"same four words then {'abcdefghij'[i % 10]}{i}" for i in range(600)]  # each pair at 0.8 in one large bucket
+    got = {r.class_id for r in order_minhash.near_classes(line_docs(spark, members)).collect()}
+    assert got == {0}
+
+
+def planted_recall(similarity, n=300, pairs=400):
+    """Share of planted pairs, words changed at random places, that share a pick."""
+    rng = np.random.default_rng(7)
+    hits = 0
+    for _ in range(pairs):
+        a = rng.integers(1, 1 << 62, n).astype(np.uint64)
+        b = a.copy()
+        b[rng.choice(n, round((1 - similarity) * n), replace=False)] = rng.integers(1, 1 << 62, round((1 - similarity) * n))
+        one, two = (order_minhash.sketch(order_minhash.labelled_shingles(x)) for x in (a, b))
+        hits += bool((one == two).any())
+    return hits / pairs
+
+
+def test_planted_pairs_meet():
+    assert planted_recall(0.80) >= 0.85 and planted_recall(0.85) >= 0.98 and planted_recall(0.90) >= 0.99
+
+
 # --- line templates ---------------------------------------------------------------------------------------
 
 
