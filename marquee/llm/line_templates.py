@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.common import slices
@@ -33,7 +33,6 @@ LONG_TOKENS = 10
 LONG_DOCS, SHORT_DOCS = 2, 4
 SIMILARITY = 0.8
 LEAF_LINES = 2000
-SEGMENTS = 4
 FIELD = "<*>"
 VARIABLE = re.compile(r"[0-9@]|://")
 KEY = ["k1", "k2"]
@@ -164,27 +163,32 @@ def _parse_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _blocks(lines: DataFrame, turn: int, most: int) -> DataFrame:
     """Deal the lines of leaves with more than `most` lines to blocks: at first by key, then by the tokens of one
-    segment, so that lines that agree in a segment meet; a larger segment group is dealt by key again."""
-    by_key = lambda size: F.when(F.col(size) > most, F.pmod("k1", F.ceil(F.col(size) / most))).otherwise(F.lit(0)).cast("long")
+    segment after the leading ones, so that lines that agree in a segment meet; such a group stays whole."""
     sizes = lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("leaf_lines"))
     sized = lines.join(sizes, "leaf")
+    by_key = F.when(F.col("leaf_lines") > most, F.pmod("k1", F.ceil(F.col("leaf_lines") / most))).otherwise(F.lit(0)).cast("long")
     if not turn:
-        return sized.withColumn("group", F.lit(0).cast("long")).withColumn("block", by_key("leaf_lines"))
-    width = F.ceil(F.size("tokens") / SEGMENTS).cast("int")
-    segment = F.xxhash64(F.expr(f"slice(tokens, {turn - 1} * w + 1, w)"))
-    grouped = sized.withColumn("w", width).withColumn("group", F.when(F.col("leaf_lines") > most, segment).otherwise(F.lit(0).cast("long"))).drop("w")
-    groups = grouped.groupBy("leaf", "group").agg(F.count(F.lit(1)).alias("group_lines"))
-    return grouped.join(groups, ["leaf", "group"]).withColumn("block", by_key("group_lines"))
+        return sized.withColumn("group", F.lit(0).cast("long")).withColumn("block", by_key)
+    at = lambda t: (F.floor(F.lit(t) * (F.size("tokens") - LEADING) / _segments("tokens")) + LEADING).cast("int")
+    segment = F.xxhash64(F.slice("tokens", at(turn - 1) + 1, at(turn) - at(turn - 1)))
+    grouped = sized.withColumn("group", F.when(F.col("leaf_lines") > most, segment).otherwise(F.lit(0).cast("long")))
+    return grouped.withColumn("block", F.lit(0).cast("long"))
+
+
+def _segments(tokens: str) -> Column:
+    """One more than the places in which a line may differ from its template, so one segment is the same."""
+    return F.floor(F.size(tokens) * F.lit(1 - SIMILARITY) + F.lit(1e-9)).cast("int") + 1
 
 
 def templates(lines: DataFrame, most: int = LEAF_LINES) -> DataFrame:
     """(k1, k2) of distinct lines -> (t1, t2) of their template and its number of fixed places.
 
     A leaf of up to `most` distinct lines is parsed at once. A larger one is parsed in blocks, and the
-    templates of the blocks are parsed again, dealt by each of four segments of their tokens in turn.
+    templates of the blocks are parsed again, dealt by each segment of their tokens in turn. There are more
+    segments than places that may differ, so any two that the threshold joins meet.
     """
     found, current = None, lines
-    for turn in range(SEGMENTS + 1):
+    for turn in itertools.count():
         dealt = _blocks(current, turn, most).select("leaf", "group", "block", *KEY, "n_docs", "tokens")
         sorted_ = dealt.repartition("leaf", "group", "block").sortWithinPartitions("leaf", "group", "block", F.col("n_docs").desc(), *KEY)
         result = checkpointed(sorted_.mapInArrow(_parse_groups, PARSED))
@@ -196,8 +200,9 @@ def templates(lines: DataFrame, most: int = LEAF_LINES) -> DataFrame:
             found = found.join(moved, ["t1", "t2"], "left").select(
                 *KEY, F.coalesce("u1", "t1").alias("t1"), F.coalesce("u2", "t2").alias("t2"), F.coalesce("later", "tokens").alias("tokens")
             )
-        large = result.groupBy("leaf").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > most).select("leaf")
-        if turn == SEGMENTS or not large.take(1):
+        counted = result.groupBy("leaf").agg(F.count(F.lit(1)).alias("c"), F.max(_segments("tokens")).alias("turns"))
+        large = counted.where((F.col("c") > most) & (F.col("turns") > turn)).select("leaf")
+        if not large.take(1):
             break
         begun = result.where("k1 = t1 and k2 = t2").select("leaf", *KEY, "n_docs", "tokens")
         current = checkpointed(begun.join(large, "leaf", "left_semi"))

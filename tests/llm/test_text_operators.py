@@ -211,6 +211,25 @@ def test_blocks_of_a_large_leaf(spark):
     assert {(i, 0) for i in range(301, 306)} <= small
 
 
+@pytest.mark.parametrize("n", [12, 20])
+def test_size_of_a_leaf_changes_nothing(spark, n):
+    """Fields in as many segments as the threshold allows, in a leaf whose lines all share some further tokens too."""
+    rng = random.Random(n)
+    lead = ["one", "two", "three"]
+    texts = [" ".join([*lead, "four", *[rng.choice("abcdefghij") * 3 for _ in range(n - 4)]]) for _ in range(300)]
+    places = range(4, n, 4)[: n // 5]
+    for family in range(12):
+        words = [f"{chr(97 + family)}{chr(97 + i)}q" for i in range(n - 4)]
+        for i in range(2):
+            line = [*lead, "four", *words]
+            for p in places:
+                line[p] = f"field{chr(97 + i)}"
+            texts.append(" ".join(line))
+    docs = line_docs(spark, texts)
+    whole, blocks = ({(r.doc_id, r.line) for r in line_templates.recurring_lines(docs, most=m).collect()} for m in (2000, 10))
+    assert whole == blocks and {(301 + 2 * f, 0) for f in range(12)} <= whole
+
+
 def test_lines_of_odd_rows(spark, odd_docs, no_docs):
     rows = line_templates.drop_recurring(odd_docs).collect()
     assert len(rows) == odd_docs.count() and line_templates.drop_recurring(no_docs).count() == 0
