@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import chat, inner_products, licences, line_templates, mixing, order_minhash, p_stable, packing, token_orc, toxicity
+from marquee.llm import chat, hard_negatives, inner_products, licences, line_templates, mixing, order_minhash, p_stable, packing, token_orc, toxicity
 from marquee.llm.common import table
 from marquee.llm.vectors import finite
 from marquee.session import scratch_path
@@ -117,3 +117,34 @@ from s qualify rank <= 20
 def op2_licence_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
     """One row per paragraph that is predicted to be a licence notice."""
     return licences.scan(table(spark, folder, "documents"))
+
+
+@query
+def op13_strassen_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels of ids divisible by 7 move on by one; components are multiplied by 256 and rounded down."""
+    vectors = table(spark, folder, "embeddings").where(finite("embedding"))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    v = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")).cast("long"))
+    return hard_negatives.hard_negatives(vectors.select("vec_id", label.alias("label"), v.alias("v")), F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op13_strassen_negatives"] = """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where vec_id is not null and label is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+s as (
+  select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same, list_dot_product(a.v, c.v)::bigint as score
+  from v a join v c on a.vec_id <> c.vec_id where a.vec_id % 50 = 0),
+p as (
+  select anchor_id, vec_id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select p.anchor_id, p.positive_id,
+       row_number() over (partition by p.anchor_id, p.positive_id order by n.score desc, n.vec_id)::integer as rank,
+       n.vec_id as negative_id, p.positive_score, n.score as negative_score
+from p join s n on n.anchor_id = p.anchor_id and not n.same
+ and 50 * p.positive_score <= 100 * n.score and 100 * n.score <= 95 * p.positive_score
+qualify rank <= 3
+"""
