@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import chat, hard_negatives, inner_products, licences, line_templates, mixing, order_minhash, p_stable, packing, token_orc, toxicity
+from marquee.llm import chat, hard_negatives, inner_products, licences, line_templates, mixing, order_minhash, p_stable, packing, spelling, token_orc, toxicity
 from marquee.llm.common import table
 from marquee.llm.vectors import finite
 from marquee.session import scratch_path
@@ -148,3 +148,44 @@ from p join s n on n.anchor_id = p.anchor_id and not n.same
  and 50 * p.positive_score <= 100 * n.score and 100 * n.score <= 95 * p.positive_score
 qualify rank <= 3
 """
+
+
+@query
+def op11_permuterm_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+ORACLES["op11_permuterm_variants"] = """
+with recursive crcs as (
+  select list_transform(range(256), lambda b: list_reduce(range(8),
+    lambda c, i: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, b)) as t),
+r as (
+  select coalesce(doc_id::varchar, '') as id,
+         unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[a-z\u00C0-\u00FF]+')) as run
+  from documents),
+g as (select id, run, count(*) as times from r where length(run) >= 7 group by all),
+h as (
+  select run, times, xor(list_reduce(
+    list_transform(range(strlen(id || ':' || run)), lambda i: ('0x' || substr(hex(encode(id || ':' || run)), 2 * i + 1, 2))::bigint),
+    lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)]), 4294967295::bigint), 4294967295) as h
+  from g, crcs),
+c as (
+  select case when h % 31 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end as word, times from h),
+w as (select word, sum(times)::bigint as n from c where length(word) >= 7 group by 1 having sum(times) >= 2),
+d as (select word, n, i, substr(word, 1, i) || substr(word, i + 2) as cut from w, unnest(range(length(word))) as u(i)),
+near as (
+  select a.word, b.word as other, b.n as other_n from d a join d b on a.i = b.i and a.cut = b.cut and a.word <> b.word
+  union select a.word, b.word, b.n from d a join w b on a.cut = b.word
+  union select b.word, a.word, a.n from d a join w b on a.cut = b.word),
+best as (
+  select word, count(*) as n_near, max(other_n) as best_n, arg_min(other, (-other_n, other)) as best from near group by word),
+f as (
+  select w.word, w.n, coalesce(n_near, 0) as n_near, case when best_n >= 10 * w.n then best end as form,
+         case when best_n >= 10 * w.n then best_n end as form_n
+  from w left join best using (word)),
+steps as (
+  select word, word as place, 0 as depth from f
+  union all select s.word, f.form, depth + 1 from steps s join f on f.word = s.place where f.form is not null)
+select f.word, form, arg_max(place, depth) as root, n, n_near, form_n from f join steps s on s.word = f.word group by all
+"""
