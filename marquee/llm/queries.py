@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import chat, hard_negatives, inner_products, licences, line_templates, mixing, order_minhash, p_stable, packing, spelling, token_orc, toxicity
+from marquee.llm import chat, hard_negatives, inner_products, lattice, licences, line_templates, mixing, order_minhash, p_stable, packing, spelling, token_orc, toxicity
 from marquee.llm.common import table
 from marquee.llm.vectors import finite
 from marquee.session import scratch_path
@@ -189,3 +189,17 @@ steps as (
   union all select s.word, f.form, depth + 1 from steps s join f on f.word = s.place where f.form is not null)
 select f.word, form, arg_max(place, depth) as root, n, n_near, form_n from f join steps s on s.word = f.word group by all
 """
+
+
+def subword_path() -> str:
+    """The subword vocabulary with scores."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query
+def op12_subword_lattice(spark: SparkSession, folder: str) -> DataFrame:
+    """Learns from the documents whose remainder of the crc32 of their id by 10 is not 0."""
+    held_out = F.crc32(F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "utf-8")) % 10 == 0
+    return lattice.likelihoods(table(spark, folder, "documents").select("doc_id", "text", "lang"), subword_path(), held_out)
