@@ -13,7 +13,8 @@ the lattice. A document is drawn from one of the classes and ends by an end toke
 classes, so the class of a document is not looked at where it is scored. Chances of all documents sum to one.
 
 Distinct words are counted, taken through the lattice and scored once each, whatever the number of documents.
-The most frequent words (a bounded number of bounded length) are broadcast, the others are joined.
+Words of bounded length that make up at least one of `HEAD_WORDS` of all words, so at most that many, are
+broadcast; the others, none of them frequent, are joined.
 
 Null texts are empty: an end token alone. Rows that repeat each have their score, and each count in training. A
 null doc_id counts as the empty text where documents are held out. An empty table gives an empty result. Texts and
@@ -35,14 +36,13 @@ from marquee.llm.common import slices
 from marquee.session import checkpointed
 
 CLASSES = 8
-HEAD_WORDS = 100_000
+HEAD_WORDS = 1_000_000
 HEAD_BYTES = 64
+HELD_WORDS = 200_000
 ROUNDS = 2
 PRIOR = 1_000.0
 BYTE_SHARE = 0.001
 CELLS = 2_000_000
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-SPACES = r"[\x20\x09-\x0D]+"
 
 
 def vocabulary(path: str) -> tuple[list[bytes], np.ndarray]:
@@ -221,6 +221,29 @@ def _scored(pieces: list[bytes], logs, every: Counts, classes: list[Counts], bas
     return run
 
 
+def words_of(text: bytes | None) -> list[bytes]:
+    """Runs of other bytes than blanks and U+0009 to U+000D, with A-Z in lower case (of bytes, these methods see ASCII only)."""
+    return (text or b"").lower().split()
+
+
+def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """word, z, n: counts of a task's documents, passed on whenever many different words have come together."""
+    held: dict[int, Counter] = {}
+
+    def out(z: int) -> pa.RecordBatch:
+        counts = held.pop(z)
+        columns = [pa.array(list(counts), pa.binary()).cast(pa.string()), pa.array(np.full(len(counts), z, np.int32)), pa.array(list(counts.values()), pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, names=["word", "z", "n"])
+
+    for batch in slices(batches, 64):
+        for z, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
+            held.setdefault(z, Counter()).update(words_of(text))
+        if sum(map(len, held.values())) > HELD_WORDS:
+            yield out(max(held, key=lambda z: len(held[z])))
+    for z in list(held):
+        yield out(z)
+
+
 def _counted(head, k: int, ids: pa.DataType):
     """A row for each document with what its frequent words sum to, and one for each other distinct word."""
     names = ["doc_id", "tie", "held_out", "word", "times", "n_tokens", "n_known", "base", "lp"]
@@ -232,7 +255,7 @@ def _counted(head, k: int, ids: pa.DataType):
             out: list[list] = [[] for _ in names]
             doc_ids, ties, held, texts = (c.to_pylist() for c in (batch.column(0), batch.column(1), batch.column(2), batch.column(3).cast(pa.binary())))
             for doc_id, tie, held_out, text in zip(doc_ids, ties, held, texts):
-                counts = Counter((text or b"").lower().split())
+                counts = Counter(words_of(text))
                 at, times, rest = [], [], []
                 for w, n in counts.items():
                     i = place.get(w)
@@ -281,17 +304,17 @@ def likelihoods(docs: DataFrame, path: str, held_out: Column, column: str | None
     spark = docs.sparkSession
     kind, sizes = _classes(docs, held_out, column)
     k, train_docs = len(sizes), sum(sizes)
-    text = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), UPPER, LOWER)
-    tokens = docs.select(F.when(~held_out, kind).alias("z"), F.explode(F.split(text, SPACES)).alias("word")).where("word <> ''")
-    sums = [F.count_if(F.col("z") == z).alias(f"c{z}") for z in range(k)]
-    words = checkpointed(tokens.groupBy("word").agg(F.count(F.lit(1)).alias("times"), *sums))
+    parts = docs.select(F.when(~held_out, kind).otherwise(-1).cast("int").alias("z"), F.col("text").cast("string").alias("text"))
+    parts = parts.mapInArrow(_occurrences, "word string, z int, n long")
+    sums = [F.sum(F.when(F.col("z") == z, F.col("n")).otherwise(0)).alias(f"c{z}") for z in range(k)]
+    words = checkpointed(parts.groupBy("word").agg(F.sum("n").alias("times"), *sums))
 
     every = sum(F.col(f"c{z}") for z in range(k))
     in_classes = sum((F.col(f"c{z}") > 0).cast("long") for z in range(k))
     facts = lambda c, name: [
         F.sum(c).alias(f"{name}_words"), F.count_if(c > 0).alias(f"{name}_distinct"), F.count_if(c == 1).alias(f"{name}_once"), F.count_if(c == 2).alias(f"{name}_twice")
     ]
-    found = words.agg(F.sum(every).alias("all"), *facts(in_classes, "in"), *[f for z in range(k) for f in facts(F.col(f"c{z}"), f"c{z}")]).first().asDict()
+    found = words.agg(F.sum("times").alias("times"), F.sum(every).alias("all"), *facts(in_classes, "in"), *[f for z in range(k) for f in facts(F.col(f"c{z}"), f"c{z}")]).first().asDict()
     number = lambda name: [found[f"{name}_{x}"] or 0 for x in ("words", "distinct", "once", "twice")]
     low = Counts(*number("in"), sum(s > 0 for s in sizes), None)
     classes = [Counts(*number(f"c{z}"), sizes[z], low.end) for z in range(k)]
@@ -303,7 +326,8 @@ def likelihoods(docs: DataFrame, path: str, held_out: Column, column: str | None
     scored = words.mapInArrow(_scored(pieces, sent, low, classes, base_total), "word string, times long, known boolean, base double, lp array<double>")
     scored = checkpointed(scored)
 
-    top = scored.where(F.octet_length("word") <= HEAD_BYTES).orderBy(F.col("times").desc(), "word").limit(HEAD_WORDS).collect()  # bounded
+    frequent = (F.col("times") * HEAD_WORDS >= (found["times"] or 0)) & (F.octet_length("word") <= HEAD_BYTES)
+    top = scored.where(frequent).collect()  # at most HEAD_WORDS, as their shares sum to one at most
     head = spark.sparkContext.broadcast((
         [r["word"].encode() for r in top],
         np.array([r["known"] for r in top], np.float64),
