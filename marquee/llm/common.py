@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -13,6 +16,33 @@ def table(spark, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def free(docs: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores in front until no column of `docs` has them (column names ignore case)."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def returned(run):
+    """The same Arrow function, giving free memory back to the system when it ends: a worker lives on and serves other stages."""
+
+    @functools.wraps(run)
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # not this C library
+            pass
+
+    return wrapped
+
+
 def row_key(*columns: str) -> Column:
     """64 bits of the whole row's content, to tell rows with one id apart."""
     return F.xxhash64(*[F.col(f"`{c}`") for c in columns])

@@ -8,7 +8,7 @@ every other document loses them.
 
 Recurring means two documents for lines of 10 tokens and more, and four for shorter ones; lines under three
 tokens and templates with less than half of their places fixed are left alone. Lines are compared without
-white space at their ends; empty ones always stay. Null text stays null. Rows that repeat a whole document
+white space at their ends; empty ones always stay. Texts of any length are read whole, line by line. Null text stays null. Rows that repeat a whole document
 row (doc_id and text) count as one document; an equal text under another doc_id is another document. All
 other columns are carried along. An empty table gives an empty result.
 """
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import slices
+from marquee.llm.common import free, returned, slices
 from marquee.session import checkpointed, small
 
 LEAST_TOKENS = 3
@@ -58,6 +58,7 @@ def _keys(tokens: list[str]) -> tuple[int, int, int]:
 LINES = "doc_id long, tie long, line int, n int, fixed int, leaf long, k1 long, k2 long"
 
 
+@returned
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, 512):
         out = []
@@ -88,6 +89,7 @@ def parsed_lines(docs: DataFrame) -> DataFrame:
 TOKENS = "leaf long, k1 long, k2 long, tokens array<string>"
 
 
+@returned
 def _wanted_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, 512):
         out = []
@@ -143,6 +145,7 @@ def parse(lines: list[list[str]]) -> tuple[list[int], list[list[str]]]:
 PARSED = "leaf long, k1 long, k2 long, n_docs long, t1 long, t2 long, tokens array<string>"
 
 
+@returned
 def _parse_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by group, in a group frequent lines first; one group is held at a time."""
 
@@ -246,17 +249,19 @@ def recurring_lines(docs: DataFrame, most: int = LEAF_LINES) -> DataFrame:
 
 
 def drop_recurring(docs: DataFrame, most: int = LEAF_LINES) -> DataFrame:
-    """The documents without their recurring lines; `_lines` and `_dropped` count lines."""
-    dropped = recurring_lines(docs, most).groupBy("doc_id", "tie").agg(F.collect_set("line").alias("_gone"))
-    right = small(dropped.select(F.col("doc_id").alias("_doc"), F.col("tie").alias("_tie"), "_gone"))
-    joined = docs.withColumn("_own", F.xxhash64("text")).join(
-        right, F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.col("_own") == F.col("_tie")), "left"
+    """The documents without their recurring lines, all other columns as they are. Two more columns at the end count
+    lines: `_lines` and `_dropped`, with underscores in front where the documents have columns of these names."""
+    own, doc, tie, gone, n_lines, n_dropped = free(docs, "_own", "_doc", "_tie", "_gone", "_lines", "_dropped")
+    dropped = recurring_lines(docs, most).groupBy("doc_id", "tie").agg(F.collect_set("line").alias(gone))
+    right = small(dropped.select(F.col("doc_id").alias(doc), F.col("tie").alias(tie), gone))
+    joined = docs.withColumn(own, F.xxhash64("text")).join(
+        right, F.col("doc_id").cast("long").eqNullSafe(F.col(doc)) & (F.col(own) == F.col(tie)), "left"
     )
     lines = F.split("text", "\n")
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("_gone"), i)), "\n")
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept)
+    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col(gone), i)), "\n")
+    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(kept)
     return joined.select(
         *[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns],
-        F.coalesce(F.size(lines), F.lit(0)).alias("_lines"),
-        F.coalesce(F.size("_gone"), F.lit(0)).alias("_dropped"),
+        F.coalesce(F.size(lines), F.lit(0)).alias(n_lines),
+        F.coalesce(F.size(gone), F.lit(0)).alias(n_dropped),
     )

@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.common import row_key
+from marquee.llm.common import free, row_key
 from marquee.session import checkpointed
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -141,12 +141,12 @@ def positions(planned: DataFrame, schedules=SCHEDULES) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, schedules=SCHEDULES, most: int = MOST_EPOCHS) -> DataFrame:
-    """The documents as training reads them: each as often as it is taken, range-sorted by `position`."""
+    """The documents as training reads them: each as often as it is taken, range-sorted by position. All columns stay as
+    they are; `_copy` and `_position` follow, with underscores in front where the documents have columns of these names."""
+    doc, tie, own, own_tie, copy, position = free(docs, "_doc", "_tie", "_own", "_own_tie", "_copy", "_position")
     chosen = positions(plan(docs, weights, most), schedules).where("copy > 0").select(
-        F.col("doc_id").alias("_doc"), F.col("tie").alias("_tie"), "copy", "position"
-    )
-    keyed = docs.withColumn("_doc", F.col("doc_id").cast("long")).withColumn("_tie", row_key(*docs.columns))
-    joined = keyed.join(chosen, keyed["_doc"].eqNullSafe(chosen["_doc"]) & (keyed["_tie"] == chosen["_tie"]))
-    return joined.select(*[keyed[f"`{c}`"] for c in docs.columns], chosen["copy"].alias("_copy"), chosen["position"].alias("_position")).orderBy(
-        "_position", "doc_id", "_copy"
+        F.col("doc_id").alias(doc), F.col("tie").alias(tie), F.col("copy").alias(copy), F.col("position").alias(position)
     )
+    keyed = docs.withColumn(own, F.col("doc_id").cast("long")).withColumn(own_tie, row_key(*docs.columns))
+    joined = keyed.join(chosen, F.col(own).eqNullSafe(F.col(doc)) & (F.col(own_tie) == F.col(tie)))
+    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], copy, position).orderBy(position, "doc_id", copy)

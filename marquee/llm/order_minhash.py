@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.common import slices
+from marquee.llm.common import free, returned, slices
 from marquee.session import checkpointed, small
 
 SHINGLE = 5
@@ -43,7 +43,7 @@ SHORT_WORDS = 14
 SIMILARITY = 0.8
 MOST_HUBS = 2
 WORD = re.compile(r"\w+")
-KEPT_WORDS = 500_000
+KEPT_WORDS = 200_000
 
 
 def word_list(text: str | None) -> list[str]:
@@ -132,6 +132,7 @@ def short_keys(hashes: np.ndarray) -> list[int]:
     return sorted(xxhash.xxh3_64_intdigest(np.array(p, np.uint64).tobytes()) for p in parts)
 
 
+@returned
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import xxhash
 
@@ -222,6 +223,7 @@ def similarity(a: list[str], b: list[str], least: float = SIMILARITY) -> float |
     return None if found is None else 1 - found / longer
 
 
+@returned
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     last, words = None, []
     for batch in slices(batches, 512):
@@ -322,6 +324,7 @@ PROFILE = "node long, words binary, sketch binary"
 PACKED = "bucket long, block int, turn int, nodes array<long>, roots array<long>, words array<binary>, sketches array<binary>"
 
 
+@returned
 def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words as 32-bit numbers, and the sketch. Different words with one number can only bring texts closer."""
     known = _Words()
@@ -362,6 +365,7 @@ def _spread_counts(words: np.ndarray) -> np.ndarray:
     return np.minimum(np.bincount(words & np.uint32(2047), minlength=2048), 255).astype(np.int16)
 
 
+@returned
 def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links between different components that two blocks of a bucket hold.
 
@@ -498,8 +502,10 @@ def near_classes(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """One document row of each class stays: the least doc_id, of equal ones the least text hash."""
+    """One document row of each class stays: the least doc_id, of equal ones the least text hash. All its
+    columns stay as they are."""
     heads = near_classes(docs).where("doc_id <=> class_id and tie = class_tie").select("doc_id", "tie").distinct().alias("h")
-    d = docs.withColumn("_tie", F.xxhash64("text")).alias("d")
-    kept = d.join(heads, F.col("d.doc_id").cast("long").eqNullSafe(F.col("h.doc_id")) & (F.col("d._tie") == F.col("h.tie")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_tie"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    (own,) = free(docs, "_tie")
+    d = docs.withColumn(own, F.xxhash64("text")).alias("d")
+    kept = d.join(heads, F.col("d.doc_id").cast("long").eqNullSafe(F.col("h.doc_id")) & (F.col(f"d.{own}") == F.col("h.tie")), "left_semi")
+    return kept.dropDuplicates(["doc_id", own]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import slices
+from marquee.llm.common import free, returned, slices
 from marquee.session import checkpointed
 
 #: Common English insults that name the category `insult`.
@@ -225,16 +225,20 @@ def _scorer(chain: Chain):
             verdict = p[:, -1] >= chain.threshold if chain.weights else np.zeros(len(p), bool)
             yield pd.DataFrame({**{n: p[:, i] for i, n in enumerate(names[:-1])}, "_toxic": verdict})
 
-    return F.pandas_udf(run, ", ".join(f"{n} double" for n in names[:-1]) + ", _toxic boolean")
+    return F.pandas_udf(returned(run), ", ".join(f"{n} double" for n in names[:-1]) + ", _toxic boolean")
 
 
 def scored(docs: DataFrame, chain: Chain) -> DataFrame:
     """All columns, `_p_<category>` for each category and `_toxic`. Columns of these names are replaced."""
     added = [*[f"_p_{c}" for c in CATEGORIES], "_toxic"]
     base = docs.drop(*added)
-    marked = base.withColumn("_scores", _scorer(chain)(F.col("text")))
-    return marked.select(*[F.col(f"`{c}`") for c in base.columns], *[F.col(f"_scores.{c}").alias(c) for c in added])
+    (found,) = free(base, "_scores")
+    marked = base.withColumn(found, _scorer(chain)(F.col("text")))
+    return marked.select(*[F.col(f"`{c}`") for c in base.columns], *[F.col(f"{found}.{c}").alias(c) for c in added])
 
 
 def without_toxic(docs: DataFrame, chain: Chain) -> DataFrame:
-    return scored(docs, chain).where(~F.col("_toxic")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents that the chain does not find toxic; all columns stay as they are."""
+    (found,) = free(docs, "_scores")
+    marked = docs.withColumn(found, _scorer(chain)(F.col("text")))
+    return marked.where(~F.col(f"{found}._toxic")).select(*[F.col(f"`{c}`") for c in docs.columns])

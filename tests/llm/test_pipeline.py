@@ -41,3 +41,18 @@ def test_stages(spark):
 def test_run(spark):
     rows = corpus_pipeline.run(spark, SMALL)
     assert rows.count() > 0 and rows.columns[:3] == ["doc_id", "start", "length"]
+
+
+def test_own_columns_come_through(spark):
+    """Columns named like the stages' own helpers keep their values in every stage but the last."""
+    names = "_own _doc _tie _gone _lines _dropped _toxic _scores _p_toxic _copy _position _own_tie tie doc node word copy position line size rows".split()
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    wide = docs.select("*", *[F.concat(F.lit(f"{n} "), F.col("doc_id").cast("string")).alias(n) for n in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, wide, SMALL)
+        assert after.columns == wide.columns, name
+        rows = after.collect()
+        assert rows and all(r[n] == f"{n} {r.doc_id}" for r in rows for n in names), name
+    assert corpus_pipeline.STAGES[-1][1](spark, wide, SMALL).count() > 0
+    counted = line_templates.drop_recurring(wide)
+    assert counted.columns[-2:] == ["__lines", "__dropped"] and counted.where("__lines > 0").count() > 0
