@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 
 from marquee import constants as K
 from marquee.functions import dates, records, text, urls
-from marquee.functions.markup import after_label, classes, element, inner_text, quoted, unescape
+from marquee.functions.markup import inner_text, quoted, unescape
+from marquee.functions.pages import of_class, of_label, paragraphs, parts
 from marquee.functions.text import clean, extract, let, no_match_to_null, strip
 from marquee.operators import aggregates
 from marquee.operators.selection import first_per_key
@@ -109,27 +110,27 @@ def first_ticket_link(found: DataFrame, id: str, own_host: str, pattern: str = r
 
 # --- texts ----------------------------------------------------------------------------------------------------
 
+# fixed values: parts of a page that hold no description
+OUTSIDE = ("nav", "footer", "header")
+
 
 def description(
     html: Column, min_length: int = 25, skip: str | None = None, stop: str | None = None, limit: int = 600
 ) -> Column:
-    """Paragraphs after the heading: short ones and those that fit `skip` are left out, the first that
-    fits `stop` ends it, and so does passing the limit; cut to the limit."""
-    after = F.coalesce(extract(html, r"(?is)</h1>(.*)$"), html)
-    parts = F.transform(F.regexp_extract_all(after, F.lit(r"(?is)<p\b[^>]*>(.*?)</p>"), F.lit(1)), inner_text)
+    """Paragraphs after the heading that do not lie in `OUTSIDE`: short ones and those that fit `skip` are left out,
+    the first that fits `stop` ends it, and so does passing the limit; cut to the limit."""
+    found = F.transform(paragraphs(html, OUTSIDE), inner_text)
     if stop:
         # place of the first paragraph that ends the text
-        hits = F.transform(parts, lambda p: p.rlike(stop))
-        at = F.array_position(hits, True)
-        parts = F.when(at > 0, F.slice(parts, F.lit(1), F.greatest((at - 1).cast("int"), F.lit(0)))).otherwise(parts)
+        until = lambda p, at: F.when(at > 0, F.slice(p, F.lit(1), F.greatest((at - 1).cast("int"), F.lit(0)))).otherwise(p)
+        found = let(found, lambda p: until(p, F.array_position(F.transform(p, lambda x: x.rlike(stop)), True)))
     keep = lambda p: (F.length(p) >= min_length) & (~p.rlike(skip) if skip else F.lit(True))
-    return text.join_until(F.filter(parts, keep), limit)
+    return text.join_until(F.filter(found, keep), limit)
 
 
 def labelled_field(html: Column, label: str) -> Column:
     """Value next to a visible label, ignoring case; null if the label is not there."""
-    item = let(after_label(quoted(html), label), lambda b: element(b, classes("field__item")))
-    return no_match_to_null(inner_text(item))
+    return no_match_to_null(inner_text(F.get(parts(html, [(of_label(label), of_class("field__item"))]), F.lit(1))))
 
 
 def blocks(pages: DataFrame, id: str, html: Column, separator: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from marquee import constants as K
 from marquee.functions import dates
+from marquee.functions.pages import BLOCKS
 from marquee.operators import extract, festival
 from marquee.plans import chains
 from marquee.plans import inputs as I
@@ -123,8 +124,10 @@ PLAIN = (
 
 @query(
     "ext7_descriptions",
-    r"""with p as (select page_id, unnest(regexp_extract_all(regexp_extract(html, '(?s)</h1>(.*)$', 1), '(?is)<p\b[^>]*>(.*?)</p>', 1)) as raw,
-    unnest(range(0, len(regexp_extract_all(regexp_extract(html, '(?s)</h1>(.*)$', 1), '(?is)<p\b[^>]*>(.*?)</p>', 1)))) as pos from pages), """
+    # a paragraph ends where the next block begins, or the block around it ends
+    rf"""with h as (select page_id, regexp_replace(regexp_extract(html, '(?s)</h1>(.*)$', 1), '(?i)(</?(?:{"|".join(sorted(BLOCKS))})\b)', '</p>\1', 'g') as html from pages),
+    p as (select page_id, unnest(regexp_extract_all(html, '(?is)<p\b[^>]*>(.*?)</p>', 1)) as raw,
+    unnest(range(0, len(regexp_extract_all(html, '(?is)<p\b[^>]*>(.*?)</p>', 1)))) as pos from h), """
     f"x as (select page_id, pos, {PLAIN.format('raw')} as txt from p), "
     "s as (select page_id, coalesce(min(pos) filter (where regexp_matches(txt, '(?i)zzz|thsh ')), 1000000) as stop from x group by page_id), "
     "k as (select x.* from x join s on s.page_id = x.page_id where pos < stop and length(txt) >= 25 and not regexp_matches(txt, '(?i)^(the|la) ')), "
@@ -132,7 +135,11 @@ PLAIN = (
     "select pages.page_id, substr(string_agg(txt, ' ' order by pos), 1, 600) as description from pages left join c on c.page_id = pages.page_id and before <= 600 group by pages.page_id",
 )
 def _(t: Tables):
-    text_of = extract.description(C("html"), 25, skip="(?i)^(the|la) ", stop="(?i)zzz|thsh ", limit=600)
+    """Pages with paragraphs in a header, a menu and a footer too, which are no part of the description."""
+    beside = "<header class=x><div><p>A paragraph of the header, long enough to count</p></div></header>"
+    below = "<nav><p>A menu with a paragraph of many words, zzz</nav><footer><footer>a</footer><p>Our address and many other things"
+    html = F.replace(F.replace(C("html"), F.lit("</h1>"), F.lit(f"</h1>{beside}")), F.lit("</body>"), F.lit(f"{below}</body>"))
+    text_of = extract.description(html, 25, skip="(?i)^(the|la) ", stop="(?i)zzz|thsh ", limit=600)
     return t.heavy("pages").select("page_id", text_of.alias("description"))
 
 
