@@ -30,16 +30,14 @@ def flat(df: DataFrame, separator: str = "|") -> DataFrame:
 def _(t: Tables):
     folder = scratch_path(t.spark, "raw")
     rows = t("events")
-    # files of at most 5,000 records, one JSON array each, in one folder per source
+    # files of at most 5,000 records, one JSON array each; the braces and quotes in a note are no borders
     chunk = F.floor(C("event_id") / 5000)
+    note = F.lit('} , {"a": [1}\\')
     arrays = rows.groupBy("event_type", chunk.alias("chunk")).agg(
-        F.to_json(F.collect_list(F.struct("event_id", "user_id", "value"))).alias("value")
-    ).cache()
-    kinds = [r["event_type"] for r in rows.select("event_type").distinct().collect()]  # one folder each
-    for kind in kinds:
-        files = arrays.where(C("event_type") == kind).select("value")
-        files.write.option("maxRecordsPerFile", 1).text(f"{folder}/{kind}.json")
-    arrays.unpersist()
+        F.to_json(F.collect_list(F.struct("event_id", "user_id", "value", note.alias("note"), F.array(F.struct("value")).alias("more")))).alias("value")
+    )
+    arrays = arrays.select("value", F.concat("event_type", F.lit(".json")).alias("source"))
+    arrays.write.option("maxRecordsPerFile", 1).partitionBy("source").text(folder)
     schema = T.StructType(
         [T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()), T.StructField("value", T.DoubleType())]
     )
