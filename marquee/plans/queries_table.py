@@ -17,8 +17,8 @@ from marquee.plans import queries_event as E
 from marquee.plans.catalog import Tables, computed, dedupe_key, dice, event_id, norm, query, select_list
 from marquee.plans.queries_source import flat
 from marquee.session import scratch_path
-from marquee.sources import dimensions, tables
-from marquee.streaming.ingest import BUCKETS, ingest
+from marquee.sources import dimensions, keyed
+from marquee.streaming.ingest import ingest
 
 C = F.col
 
@@ -887,10 +887,10 @@ def _(t: Tables):
 def _(t: Tables):
     stored, fresh = stored_and_fresh(t)
     home = scratch_path(t.spark, "ingest")
-    tables.write_buckets(stored, f"{home}/table", "event_id", BUCKETS)
+    keyed.change(t.spark, f"{home}/table", "event_id", stored, lambda _, rows: rows, rows_each=5_000)
     fresh.write.parquet(f"{home}/raw")
     # the second run finds nothing new
     for _ in range(2):
-        ingest(t.spark, f"{home}/raw", fresh.schema, lambda batch: batch, f"{home}/table", f"{home}/checkpoint")
-    rows = tables.read_buckets(t.spark, f"{home}/table", stored.schema)
+        ingest(t.spark, f"{home}/raw", fresh.schema, lambda batch: batch, f"{home}/table", f"{home}/checkpoint", rows_each=5_000)
+    rows = keyed.read(t.spark, f"{home}/table", stored.schema)
     return flat(rows.select("event_id", "title", "price", "venue", "description", "support_acts"))

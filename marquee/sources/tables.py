@@ -4,50 +4,49 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.operators.upsert import append_unseen
+from marquee.sources.commits import CommitLog, Conflict
 from marquee.sources.raw import _or_empty
 
-VERSION = T.StructType([T.StructField("version", T.StringType()), T.StructField("n", T.LongType())])
+TRIES = 20
 
 
-def _versions(spark: SparkSession, path: str) -> list:
-    try:
-        return spark.read.schema(VERSION).json(f"{path}/versions").orderBy(F.col("n").desc()).take(1)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return []
+def write_table(df: DataFrame, path: str, retain: int = 2, expected: int | None = None) -> int:
+    """Replace a whole table: write the rows to a new folder, then commit that folder as the current.
 
-
-def write_table(df: DataFrame, path: str, retain: int = 2) -> None:
-    """Replace a whole table: write the rows to a new folder, then name that folder as the current.
-
-    A plan that still reads the old version is not disturbed, and a failed write changes nothing. Of the
-    versions, the last `retain` are kept. One writer at a time.
+    A plan that still reads the old version is not disturbed, and a failed write changes nothing. Writers may work at
+    once: each gets a number of its own, which is returned, and the last one holds. With `expected`, the number the new
+    rows were made from, the write is refused (Conflict) if another came between. The last `retain` versions are kept.
     """
-    spark = df.sparkSession
-    current = _versions(spark, path)
+    log = CommitLog(df.sparkSession, path)
     version = uuid.uuid4().hex
     df.write.parquet(f"{path}/data/{version}")
-    row = [(version, (current[0]["n"] if current else 0) + 1)]
-    spark.createDataFrame(row, VERSION).coalesce(1).write.mode("append").json(f"{path}/versions")
-    old = spark.read.schema(VERSION).json(f"{path}/versions").where(F.col("n") == row[0][1] - retain).collect()
-    for r in old:  # at most one: each write lets one version go
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/data/{r['version']}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    for _ in range(TRIES):
+        number, state = log.latest()
+        if expected is not None and number != expected:
+            break
+        versions = [*state.get("versions", []), version]
+        if log.commit(number + 1, {"versions": versions[-retain:]}):
+            for old in versions[:-retain]:
+                log.drop(f"data/{old}")
+            return number + 1
+    log.drop(f"data/{version}")
+    raise Conflict(f"{path}: another writer came first")
+
+
+def current_version(spark: SparkSession, path: str) -> int:
+    """Number of the newest version, 0 before the first."""
+    return CommitLog(spark, path).latest()[0]
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The current version; a table that was never written has no rows."""
-    current = _versions(spark, path)
-    if not current:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/data/{current[0]['version']}")
+    versions = CommitLog(spark, path).latest()[1].get("versions")
+    return spark.read.schema(schema).parquet(f"{path}/data/{versions[-1]}") if versions else spark.createDataFrame([], schema)
 
 
 def append_new(df: DataFrame, path: str, key: str, order: Column) -> None:
@@ -63,22 +62,3 @@ def append_all(df: DataFrame, path: str) -> None:
 
 def existing_keys(table: DataFrame, key: str) -> DataFrame:
     return table.select(key).where(F.coalesce(F.col(key).cast("string"), F.lit("")) != "").distinct()
-
-
-# --- tables in buckets of a key --------------------------------------------------------------------------------
-
-
-def _bucket(key: str, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-
-
-def write_buckets(df: DataFrame, path: str, key: str, buckets: int) -> None:
-    """Replace the buckets that `df` has rows of; the others stay as they are."""
-    marked = df.withColumn("bucket", _bucket(key, buckets)).repartition("bucket")
-    marked.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("bucket").parquet(path)
-
-
-def read_buckets(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table with its column `bucket`; a table that was never written has no rows."""
-    whole = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])
-    return _or_empty(lambda: spark.read.schema(whole).parquet(path), spark, whole)

@@ -5,15 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.operators.upsert import merge_events
 from marquee.schemas import EVENT
-from marquee.session import checkpointed
-from marquee.sources.tables import _bucket, read_buckets, write_buckets
-
-BUCKETS = 64
+from marquee.sources import keyed
 
 
 def ingest(
@@ -24,26 +20,21 @@ def ingest(
     table: str,
     checkpoint: str,
     max_files: int | None = None,
-    buckets: int = BUCKETS,
+    rows_each: int = keyed.BUCKET_ROWS,
 ) -> None:
     """Merge all files that have not been merged yet, then stop.
 
-    The stored table lies in buckets of the event id; a batch reads and rewrites only the buckets it has
-    ids of. The number of buckets belongs to the table: choose it so that one bucket is quickly rewritten.
+    The stored table lies in buckets of the event id (`sources.keyed`); a batch reads and rewrites only the buckets it
+    has ids of, in one commit that also names the batch, so a batch that a restart sends again is left out.
 
-    to_events: raw rows to canonical rows with `ord`. Merging a batch twice changes nothing, because
-    ids are content hashes and fresh values replace equal ones, so a restart after a lost driver is safe.
+    to_events: raw rows to canonical rows with `ord`.
     """
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
 
-    def merge(batch: DataFrame, _: int) -> None:
-        session = batch.sparkSession
-        fresh = checkpointed(to_events(batch))
-        touched = [r["b"] for r in fresh.select(_bucket("event_id", buckets).alias("b")).distinct().collect()]  # at most `buckets`
-        stored = read_buckets(session, table, EVENT).where(F.col("bucket").isin(touched)).drop("bucket")
-        write_buckets(checkpointed(merge_events(stored, fresh)), table, "event_id", buckets)
+    def merge(batch: DataFrame, number: int) -> None:
+        keyed.change(batch.sparkSession, table, "event_id", to_events(batch), merge_events, (checkpoint, number), rows_each)
 
     query = (
         reader.parquet(raw_path)
