@@ -108,6 +108,11 @@ TICKET_KEYS = [
     "tickets_url", "ticketsUrl", "buy_tickets_url", "ticket_link",
     "payment_url", "booking_url", "website_url", "website", "url", "link",
 ]
+ID_KEYS = ["id", "event_id", "eventId"]
+DESCRIPTION_KEYS = ["description", "body", "content", "summary"]
+IMAGE_KEYS = ["image", "image_url", "imageUrl", "cover", "banner", "thumbnail", "media_url", "picture"]
+START_TIME_KEYS = ["start_time", "startTime", "time"]
+END_TIME_KEYS = ["end_time", "endTime", "end_date", "ends_at"]
 TICKET_WORDS = r"(?i)ticket|shop|koop|kassa|register|booking|bestel|pay|checkout"
 LIST_KEYS = ["events", "data", "items", "results", "list", "records"]
 NESTED_LIST_KEYS = ["events", "items", "results"]

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from marquee import constants as K
+from marquee.functions.text import let
 
 
 def parse(text: Column) -> Column:
@@ -21,19 +22,27 @@ def first_key(v: Column, keys: list[str], kind: str = "string") -> Column:
     return F.coalesce(*[value(v, k, kind) for k in keys])
 
 
-def ticket_url(v: Column) -> Column:
-    """Known ticket keys first, then key by key any text, or text one level down, that looks like a ticket link.
+def members(record: Column) -> Column:
+    """Key, text and kind of the members of a JSON object given as text, in the order they are written in.
 
-    Keys come in the order of their names, the order in which a variant keeps them.
+    A variant keeps members by name; a map read from the text keeps their order. Objects and arrays are texts in JSON.
     """
-    direct = first_key(v, K.TICKET_KEYS)
-    texts = lambda m: F.map_values(F.try_variant_get(m, "$", "map<string,string>"))
-    is_object = lambda m: F.try_variant_get(m, "$", "map<string,variant>").isNotNull()
-    own = lambda m: F.when(is_object(m), texts(m)).otherwise(F.array(F.try_variant_get(m, "$", "string")))
-    members = F.map_values(F.try_variant_get(v, "$", "map<string,variant>"))
-    fits = lambda x: x.startswith("http") & x.rlike(K.TICKET_WORDS)
-    found = F.get(F.filter(F.flatten(F.transform(members, own)), fits), F.lit(0))
-    return F.when(direct.startswith("http"), direct).otherwise(found)
+    entries = lambda text, kinds: F.transform(
+        F.map_entries(text), lambda e: F.struct(e["key"].alias("key"), e["value"].alias("text"), F.schema_of_variant(kinds[e["key"]]).alias("kind"))
+    )
+    both = F.struct(F.from_json(record, "map<string,string>").alias("m"), F.try_variant_get(parse(record), "$", "map<string,variant>").alias("v"))
+    return let(both, lambda b: F.when(b["v"].isNotNull(), entries(b["m"], b["v"])))
+
+
+def ticket_url(record: Column) -> Column:
+    """Of a record given as text: known ticket keys first, then member by member, as written, any text, or text one
+    level down, that looks like a ticket link."""
+    direct = first_key(parse(record), K.TICKET_KEYS)
+    texts = lambda m: F.transform(F.filter(m, lambda e: e["kind"] == "STRING"), lambda e: e["text"])
+    own = lambda e: F.when(e["kind"].startswith("OBJECT"), F.coalesce(texts(members(e["text"])), F.array().cast("array<string>"))).otherwise(F.array(e["text"]))
+    fits = lambda x: x.startswith("http") & x.rlike(K.TICKET_WORDS)
+    found = F.get(F.filter(F.flatten(F.transform(members(record), own)), fits), F.lit(0))
+    return let(direct, lambda d: F.when(d.startswith("http"), d).otherwise(found))
 
 
 def is_event(v: Column, names=tuple(K.NAME_KEYS), dates=tuple(K.DATE_KEYS)) -> Column:
@@ -41,10 +50,19 @@ def is_event(v: Column, names=tuple(K.NAME_KEYS), dates=tuple(K.DATE_KEYS)) -> C
     return first_key(v, list(names), "variant").isNotNull() & first_key(v, list(dates), "variant").isNotNull()
 
 
-def event_array(v: Column) -> Column:
-    """The array of event records: the value itself, a known key, or a known key under data."""
-    looks = lambda a: F.when(is_event(F.try_variant_get(a, "$[0]", "variant")), a)
-    places = [v]
-    places += [value(v, k, "variant") for k in K.LIST_KEYS]
-    places += [value(v, f"data.{k}", "variant") for k in K.NESTED_LIST_KEYS]
-    return F.coalesce(*[looks(p) for p in places])
+def event_array(text: Column) -> Column:
+    """The event records of a JSON text, each as text: the value itself, a known key, or a known key under data."""
+    places = ["", *[f".{k}" for k in K.LIST_KEYS], *[f".data.{k}" for k in K.NESTED_LIST_KEYS]]
+
+    def first_place(v: Column) -> Column:
+        looks = lambda p: is_event(F.try_variant_get(v, f"${p}[0]", "variant"))
+        return F.coalesce(*[F.when(looks(p), F.get_json_object(text, f"${p}")) for p in places])
+
+    return F.from_json(let(parse(text), first_place), "array<string>")
+
+
+def price(v: Column) -> Column:
+    """A number with its currency and two places; other values as text."""
+    kind = F.schema_of_variant(value(v, "price", "variant"))
+    number = kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|INT|SMALLINT|TINYINT)")
+    return F.when(number, F.format_string("EUR%.2f", value(v, "price", "double"))).otherwise(value(v, "price"))

@@ -6,6 +6,8 @@ pages are grouped.
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -225,25 +227,33 @@ def embedded_json(pages: DataFrame, id: str, html: str = "html") -> DataFrame:
     return found.withColumn("v", F.try_parse_json("blob")).where(F.col("v").isNotNull())
 
 
-def json_events(df: DataFrame, id: str, blob: str, as_of: Column) -> DataFrame:
-    """Records of the event array in a JSON text, with the field names the known APIs use."""
-    v = records.parse(F.col(blob))
-    arrays = df.select(id, records.event_array(v).alias("_events")).where(F.col("_events").isNotNull())
-    rows = arrays.select(id, F.posexplode(F.expr("try_variant_get(_events, '$', 'array<variant>')")).alias("pos", "v"))
+def json_events(df: DataFrame, id: str, blob: str, as_of: Column, site: str, list_url: str) -> DataFrame:
+    """Records of the event array in a JSON text, with the field names the known APIs use.
+
+    A record links to its page on `site`, one without an id to `list_url`.
+    """
+    arrays = df.select(id, records.event_array(F.col(blob)).alias("_events")).where(F.col("_events").isNotNull())
+    rows = arrays.select(id, F.posexplode("_events").alias("pos", "record")).withColumn("v", records.parse(F.col("record")))
+    first = lambda keys: records.first_key(F.col("v"), keys)
     read = rows.select(
-        id, "pos", "v",
-        strip(records.first_key(F.col("v"), K.NAME_KEYS)).alias("title"),
-        records.first_key(F.col("v"), K.DATE_KEYS).alias("_day"),
-        records.first_key(F.col("v"), ["start_time", "startTime", "time"]).alias("_time"),
+        id, "pos", "v", "record",
+        strip(first(K.NAME_KEYS)).alias("title"), first(K.DATE_KEYS).alias("_day"), first(K.START_TIME_KEYS).alias("_time"),
+        no_match_to_null(first(K.ID_KEYS)).alias("_id"), first(K.IMAGE_KEYS).alias("_image"),
     )
     return read.select(
         id, "pos", "title",
         dates.parse_any_date(F.col("_day"), as_of).alias("date_start"),
         dates.parse_clock(F.coalesce("_time", "_day")).alias("hour_start"),
-        records.ticket_url(F.col("v")).alias("ticket_url"),
+        dates.parse_clock(first(K.END_TIME_KEYS)).alias("hour_end"),
+        F.coalesce(F.concat(F.lit(f"{site}/#/events/"), F.nullif("_id", F.lit("0"))), F.lit(list_url)).alias("source_url"),
+        no_match_to_null(text.truncate(first(K.DESCRIPTION_KEYS), 500)).alias("description"),
+        records.price(F.col("v")).alias("price"),
+        F.when(F.col("_image").rlike("^https?:"), F.col("_image")).alias("image_url"),
+        records.ticket_url(F.col("record")).alias("ticket_url"),
     ).where((F.col("title") != "") & F.col("date_start").isNotNull())
 
 
+# fixed values: where the known sites keep the start and the end of an event
 START_PATHS = ("$.scheduling.config.startDate", "$.scheduling.startDate", "$.startDate", "$.start")
 END_PATHS = ("$.scheduling.config.endDate", "$.scheduling.endDate", "$.endDate")
 
@@ -252,31 +262,57 @@ def _first_of(v: Column, paths: tuple[str, ...]) -> Column:
     return F.coalesce(*[F.try_variant_get(v, p, "string") for p in paths])
 
 
-def nested_events(df: DataFrame, keys: list[str], v: str, depth: int = 12) -> DataFrame:
-    """All objects with a title and an ISO start date in JSON values: keys, path (places from the top), v.
+DEPTH = 12
 
-    Level by level: what is no event is opened, and its members are the next level, until none is left.
-    Members of an object are visited in the order of their names.
-    """
-    level = df.select(*keys, F.array().cast("array<int>").alias("path"), F.col(v).alias("v"))
-    title = F.try_variant_get("v", "$.title", "string")
-    is_text = F.schema_of_variant(F.try_variant_get("v", "$.title", "variant")) == "STRING"
-    named = F.coalesce(is_text & (F.length(strip(title)) > 1) & _first_of(F.col("v"), START_PATHS).rlike(r"^\d{4}-\d{2}-\d{2}"), F.lit(False))
-    members = F.coalesce(
-        F.try_variant_get("v", "$", "array<variant>"), F.map_values(F.try_variant_get("v", "$", "map<string,variant>"))
-    )
-    found = None
-    for step in range(depth + 1):
-        marked = checkpointed(level.withColumn("named", named))
-        events = marked.where("named").drop("named")
-        found = events if found is None else found.unionByName(events)
-        rest = marked.where("not named").withColumn("members", members).where(F.size("members") > 0)
-        if step == depth or rest.isEmpty():
-            break
-        level = rest.select(*keys, "path", F.posexplode("members").alias("_i", "v")).select(*keys, F.array_append("path", F.col("_i")).alias("path"), "v")
+
+def _start_of(node: dict):
+    for path in START_PATHS:
+        at = node
+        for key in path[2:].split("."):
+            at = at.get(key) if isinstance(at, dict) else None
+        if at is not None:
+            return at
+    return None
+
+
+def _is_event(node: dict) -> bool:
+    title = node.get("title")
+    return isinstance(title, str) and len(title.strip()) > 1 and re.match(r"\d{4}-\d{2}-\d{2}", str(_start_of(node) or "")) is not None
+
+
+def _events_below(text: str | None) -> list[str]:
+    """Places from the top and JSON text of the events in a JSON text, in the order they are written in."""
+    try:
+        waiting, found = [((), json.loads(text or "null"))], []
+    except (ValueError, RecursionError):
+        return []
+    while waiting:
+        path, node = waiting.pop()
+        if isinstance(node, dict) and _is_event(node):
+            found.append(f"{','.join(map(str, path))} {json.dumps(node, ensure_ascii=False)}")
+        elif isinstance(node, (dict, list)) and len(path) < DEPTH:
+            below = list(node.values() if isinstance(node, dict) else node)
+            waiting += [((*path, i), below[i]) for i in range(len(below) - 1, -1, -1)]
     return found
 
 
+def nested_events(df: DataFrame, keys: list[str], blob: str) -> DataFrame:
+    """All objects with a title and an ISO start date in JSON texts: keys, path (places from the top), v.
+
+    One walk through each text, members in the order they are written in; what is an event is not opened.
+    """
+
+    def walk(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield texts.map(_events_below)
+
+    found = numbered_items(df.withColumn("_key", F.struct(*keys)), "_key", F.pandas_udf(walk, "array<string>")(F.col(blob)), "e")
+    places = F.substring_index("e", " ", 1)
+    path = F.when(places == "", F.array().cast("array<int>")).otherwise(F.split(places, ",").cast("array<int>"))
+    v = F.try_parse_json(F.substring("e", F.length(places) + 2, F.lit(2147483647)))
+    return found.select(*[F.col(f"_key.{k}").alias(k) for k in keys], path.alias("path"), v.alias("v"))
+
+
 LD_PRICE = "$.offers.price"
 
 
@@ -286,7 +322,7 @@ def structured_events(pages: DataFrame, id: str, html: str = "html", site: str |
     With `site`, an event without a link gets one from its slug.
     """
     blobs = embedded_json(pages, id, html)
-    deep = nested_events(blobs, [id, "pos"], "v")
+    deep = nested_events(blobs, [id, "pos"], "blob")
     get = lambda path: F.try_variant_get("v", f"$.{path}", "string")
     start, end = _first_of(F.col("v"), START_PATHS), _first_of(F.col("v"), END_PATHS)
     slug = F.concat(F.lit(f"{site}/event-details/"), get("slug")) if site else F.lit(None).cast("string")

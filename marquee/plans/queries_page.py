@@ -249,7 +249,10 @@ def _(t: Tables):
 @query(
     "jsn3_event_arrays",
     "select event_id, event_type || ' ' || user_id as title, strftime(ts, '%Y-%m-%d') as date_start, strftime(ts, '%H:%M') as hour_start, "
-    "case event_id % 3 when 0 then 'https://pay.example/' || event_id when 1 then 'https://x.example/ticket/' || event_id end as ticket_url from events where event_id % 5 < 4",
+    "case event_id % 3 when 0 then 'https://pay.example/' || event_id when 1 then 'https://x.example/ticket/' || event_id end as ticket_url, "
+    "case when event_id % 4 = 0 then 'https://api.example/#/events' else 'https://api.example/#/events/r' || event_id end as source_url, case when event_id % 4 = 1 then '23:30' end as hour_end, "
+    "case event_id % 3 when 0 then 'About ' || user_id when 1 then substr(repeat('long ', 200), 1, 500) end as description, case event_id % 3 when 0 then 'EUR' || user_id || '.50' when 1 then 'free' end as price, "
+    "case when event_id % 4 = 2 then 'https://i.example/' || event_id end as image_url from events where event_id % 5 < 4",
 )
 def _(t: Tables):
     r = F.concat(F.lit("["), "record", F.lit("]"))
@@ -260,7 +263,7 @@ def _(t: Tables):
         .otherwise(F.concat(F.lit('{"other":'), r, F.lit("}")))
     )
     rows = S.event_records(t).select("event_id", blob.alias("blob"))
-    return extract.json_events(rows, "event_id", "blob", F.lit("2024-01-01").cast("date")).drop("pos")
+    return extract.json_events(rows, "event_id", "blob", F.lit("2024-01-01").cast("date"), "https://api.example", "https://api.example/#/events").drop("pos")
 
 
 def nested_blob() -> Column:
@@ -278,8 +281,8 @@ def nested_blob() -> Column:
     "select event_id, 5 as depth, 'Deep ' || event_id as title, strftime(ts, '%Y-%m-%d') as date_start from events union all select event_id, 1, 'Flat ' || event_id, strftime(ts, '%Y-%m-%d') from events",
 )
 def _(t: Tables):
-    rows = t.heavy("events").select("event_id", F.try_parse_json(nested_blob()).alias("v"))
-    found = extract.nested_events(rows, ["event_id"], "v")
+    rows = t.heavy("events").select("event_id", nested_blob().alias("blob"))
+    found = extract.nested_events(rows, ["event_id"], "blob")
     start = F.coalesce(*[F.try_variant_get("v", p, "string") for p in extract.START_PATHS])
     return found.select(
         "event_id", F.size("path").alias("depth"), F.try_variant_get("v", "$.title", "string").alias("title"), dates.iso_date(start).alias("date_start")

@@ -599,11 +599,20 @@ def event_records(t: Tables):
             F.when(third == 1, day).alias("begins_at"),
             F.when(third == 2, day).alias("datetime"),
             F.when(third == 0, F.concat(F.lit("https://pay.example/"), "event_id")).alias("tickets_url"),
-            F.when(third == 1, F.struct(F.concat(F.lit("https://x.example/ticket/"), "event_id").alias("buy"))).alias("links"),
+            # two links that fit, not in the order of their names
+            F.when(third == 1, F.struct(F.concat(F.lit("https://x.example/ticket/"), "event_id").alias("way"), F.lit("https://x.example/shop").alias("buy"))).alias("links"),
+            F.when(third == 1, F.lit("https://a.example/tickets")).alias("also"),
             F.when(third == 2, F.concat(F.lit("ftp://ticket/"), "event_id")).alias("url"),
             F.from_json("props", "k int").alias("props"),
+            F.when(C("event_id") % 4 != 0, F.concat(F.lit("r"), "event_id")).alias("id"),
+            F.when(C("event_id") % 4 == 1, F.lit("11:30 PM")).alias("endTime"),
+            F.when(C("event_id") % 4 == 2, F.concat(F.lit("https://i.example/"), "event_id")).otherwise(F.lit("/local.jpg")).alias("cover"),
+            F.when(third == 0, F.concat(F.lit("About "), "user_id")).alias("description"),
+            F.when(third == 1, F.repeat(F.lit("long "), F.lit(200))).alias("body"),
+            F.when(third == 0, C("user_id") + F.lit(0.5)).alias("price"),
         )
     )
+    record = F.when(third == 1, F.regexp_replace(record, r"\}$", ',"price":"free"}')).otherwise(record)
     return t.heavy("events").select("event_id", "user_id", "ts", record.alias("record"))
 
 
@@ -626,5 +635,4 @@ def _(t: Tables):
     "when 1 then 'https://x.example/ticket/' || event_id end as ticket_url from events",
 )
 def _(t: Tables):
-    x = event_records(t).withColumn("v", records.parse(C("record")))
-    return x.select("event_id", records.ticket_url(C("v")).alias("ticket_url"))
+    return event_records(t).select("event_id", records.ticket_url(C("record")).alias("ticket_url"))
