@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from marquee import constants as K
 from marquee.operators import export, extract, filters, joins, normalize, overrides, upsert, validate
 from marquee.plans import inputs as I
-from marquee.plans.catalog import Tables, computed, event_id, names, norm, query, select_list
+from marquee.plans.catalog import ORACLES, Tables, computed, event_id, names, norm, query, select_list
 from marquee.plans.queries_source import flat
 from marquee.schemas import EVENT
 from marquee.session import small
@@ -141,20 +141,14 @@ def _(t: Tables):
     return shown(normalize.from_facebook(I.raw_social(t), I.dimensions(t)))
 
 
-@query(
-    "prj8_all_shapes",
-    f"with r as (select * from ({I.RAW_SQL}) where date_start is not null and date_start <> ''), s as ({I.SOCIAL_SQL}) "
-    "select source, count(*) as n, count(distinct key) as n_ids from ("
-    + " union all ".join(
-        f"select '{s}' as source, {event_id(who, 'title', 'date_start')} as key from r"
-        for s, who in (("goabase", "'goabase'"), ("beldub", "'beldub'"), ("reggaebe", "'reggaebe'"), ("funke", "venue_id"), ("minusOne", "venue_id"))
-    )
-    + f" union all select 'facebook', {event_id(chr(39) + 'facebook' + chr(39), 'title', 'date_start')} from s) group by source",
-)
+ONE_SHAPE = {"goabase": "prj2_goabase", "beldub": "prj3_beldub", "reggaebe": "prj4_reggaebe", "venue": "prj5_venue_site", "agenda": "prj6_agenda", "facebook": "prj7_social"}
+
+
+@query("prj8_all_shapes", " union all ".join(f"select * exclude (ord) from ({ORACLES[q]})" for q in ONE_SHAPE.values()))
 def _(t: Tables):
-    raw = {s: I.raw_events(t, s) for s in ("goabase", "beldub", "reggaebe", "venue", "agenda")} | {"facebook": I.raw_social(t)}
-    rows = normalize.normalize_all(raw, I.dimensions(t))
-    return rows.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("n_ids"))
+    """Every record of the union."""
+    raw = {s: I.raw_social(t) if s == "facebook" else I.raw_events(t, s) for s in ONE_SHAPE}
+    return shown(normalize.normalize_all(raw, I.dimensions(t))).drop("ord")
 
 
 APPROVED = {
