@@ -136,7 +136,7 @@ def upsert_cells(
     as_of: str | None = None,
     moved: DataFrame | None = None,
     owned: list[str] | None = None,
-    append_without_key: bool = False,
+    append_without_key: bool = True,
     human: list[str] = K.HUMAN_COLUMNS,
 ) -> DataFrame:
     """Keyed upsert that only writes owned columns; adds `action`.
@@ -144,7 +144,8 @@ def upsert_cells(
     stored: text columns plus `row_no`, unique, the place of the row. Of rows with the same key the
     first is the one that is updated. incoming: owned columns and `ord`, its unique order. Of incoming
     rows with the same key the last updates the stored row; if none is stored all are appended. Rows
-    without a key are left out unless `append_without_key` (they would be appended again at every run).
+    without a key are appended (again at every run that brings them), or left out without `append_without_key`.
+    A batch of measured size is broadcast: the stored rows are then not shuffled, unless `as_of` asks for all keys.
     Missing owned and `human` columns are added to the table.
     With `as_of`, stored keys that do not come in any more and are not past become 'gone', or 'moved'
     where `moved` holds the key.
@@ -152,15 +153,15 @@ def upsert_cells(
     owned = owned or [c for c in K.AUTO_COLUMNS if c in incoming.columns]
     table = with_columns_for(stored, [*owned, *human])
     key_text = F.trim(F.col(key))
-    firsts = (
-        table.where(key_text != "")
-        .groupBy(key_text.alias("_k"))
-        .agg(F.min("row_no").alias("_row"))
-    )
     fresh = incoming.where(F.coalesce(F.col(key), F.lit("")) != "").select(
         F.col(key).alias("_k"), F.struct(*owned).alias("_new"), "ord"
     )
     latest = fresh.groupBy("_k").agg(F.max_by("_new", "ord").alias("_new"))
+    keyed = table.where(key_text != "").select(key_text.alias("_k"), "row_no")
+    few = as_of is None and is_small(incoming.select(key, *owned))
+    if few:
+        keyed = keyed.join(F.broadcast(fresh.select("_k").distinct()), "_k", "left_semi")
+    firsts = keyed.groupBy("_k").agg(F.min("row_no").alias("_row"))
     plan = firsts.join(latest, "_k", "left")
     if moved is not None:
         plan = plan.join(moved.select(F.col(key).alias("_k"), F.lit(True).alias("_moved")), "_k", "left")
@@ -168,6 +169,8 @@ def upsert_cells(
         plan = plan.withColumn("_moved", F.lit(None).cast("boolean"))
 
     updates = plan.select("_row", "_new", "_moved")
+    if few:
+        updates = F.broadcast(updates)  # a row for each key of the batch at most
     rows = table.join(updates, table["row_no"] == F.col("_row"), "left")
     hit = F.col("_new").isNotNull()
     absent = F.col("_row").isNotNull() & ~hit

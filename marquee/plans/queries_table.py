@@ -777,7 +777,7 @@ UPS2_SQL = (
     "case when nk is not null then 'pending' when firstkey is not null and {0} and date_start >= '1998-06-15' then case when mk is not null then 'moved' else 'gone' end else status end as status, "
     "notes, extra, case when nk is not null then np else '' end as price, case when nk is not null then 'updated' when firstkey is not null and {0} and date_start >= '1998-06-15' "
     "and status <> case when mk is not null then 'moved' else 'gone' end then case when mk is not null then 'moved' else 'gone' end else 'kept' end as action, '' as seen_by from u "
-    "union all select (select max(row_no) from s) + 1 + ord, event_id, title, date_start, status, '', '', price, 'appended', '' from n where event_id <> '' and event_id not in (select k from f)"
+    "union all select (select max(row_no) from s) + 1 + ord, event_id, title, date_start, status, '', '', price, 'appended', '' from n where event_id not in (select k from f)"
 )
 
 

@@ -87,8 +87,8 @@ def test_human_columns_survive_two_runs(spark):
     twice = upsert.upsert_cells(once.drop("action"), cells, "event_id", as_of="2026-01-01")
     assert {r.event_id: r.action for r in twice.collect()} == {"a": "updated", "z": "kept", "y": "kept", "n": "updated"}
     blank = cells.withColumn("event_id", F.lit(""))
-    assert upsert.upsert_cells(sheet, blank, "event_id").count() == 3
-    assert upsert.upsert_cells(sheet, blank, "event_id", append_without_key=True).count() == 5
+    assert upsert.upsert_cells(sheet, blank, "event_id").count() == 5
+    assert upsert.upsert_cells(sheet, blank, "event_id", append_without_key=False).count() == 3
 
 
 def test_override_cells(spark):
@@ -165,3 +165,18 @@ def test_the_run_does_not_depend_on_order_or_partitions(spark):
     assert all(first[k] for k in ("events", "rejected", "review"))
     ids = [r.split("event_id=")[1].split(",")[0] for r in first["events"]]
     assert len(ids) == len(set(ids))
+
+
+def test_a_small_batch_does_not_shuffle_the_stored_rows(spark, tmp_path):
+    sheet = spark.range(5000).selectExpr("id as row_no", "concat('k', id % 4900) as event_id", "concat('t', id) as title", "'n' as notes")
+    sheet.write.parquet(str(tmp_path / "sheet"))
+    stored = spark.read.parquet(str(tmp_path / "sheet"))
+    batch = spark.createDataFrame([(1, "k7", "new"), (2, "k7", "newer"), (3, "new key", "x"), (4, None, "no key")], "ord long, event_id string, title string")
+    done = upsert.upsert_cells(stored, batch, "event_id", owned=["event_id", "title"], human=["notes"])
+    done.collect()
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.split("Final Plan")[-1].split("Initial Plan")[0].splitlines() if "SortMergeJoin" in line or "ShuffledHashJoin" in line]
+    got = {(r.row_no, r.event_id): (r.title, r.action) for r in done.collect()}
+    assert not joins and len(got) == 5002
+    assert got[7, "k7"] == ("newer", "updated") and got[4907, "k7"] == ("t4907", "kept") and got[8, "k8"] == ("t8", "kept")
+    assert sorted(v for k, v in got.items() if k[0] > 4999) == [("no key", "appended"), ("x", "appended")]
