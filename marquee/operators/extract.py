@@ -11,7 +11,7 @@ import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -445,3 +445,21 @@ def run_extractor(
             yield pd.DataFrame(out, columns=[id, "_error", *names])
 
     return pages.select(id, content).mapInPandas(over_batches, f"{id} {key_type}, _error string, {schema}")
+
+
+def register_extractor(spark: SparkSession, name: str, extractor: Callable[[str], list[dict]], schema: str) -> None:
+    """Make an extractor a table function of SQL: `from pages, lateral <name>(html)`.
+
+    Its rows have `_error` and the columns of the schema, as in `run_extractor`; batches go to Python as Arrow.
+    """
+    names = [f.name for f in T.StructType.fromDDL(schema)]
+
+    class Extractor:
+        def eval(self, content: str):
+            try:
+                rows = [(None, *[row.get(n) for n in names]) for row in extractor(content)]
+            except Exception as e:
+                rows = [(f"{type(e).__name__}: {e}", *[None] * len(names))]
+            yield from rows
+
+    spark.udtf.register(name, F.udtf(Extractor, returnType=f"_error string, {schema}", useArrow=True))

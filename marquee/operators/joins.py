@@ -22,6 +22,52 @@ def area_of(lat: Column, lng: Column, boxes: list[tuple] = K.AREA_BOXES) -> Colu
     return chain
 
 
+# cells are squares with a side of 2**level degrees; larger boxes lie in the coarsest, points and slivers in the finest
+FINEST, COARSEST = -20, 9
+
+
+def _cell(x: Column, level: Column) -> Column:
+    bounded = F.greatest(F.least(x, F.lit(2.0**COARSEST)), F.lit(-(2.0**COARSEST)))
+    return F.floor(bounded / F.pow(F.lit(2.0), level)).cast("long")
+
+
+def areas_by_cell(points: DataFrame, boxes: DataFrame, lat: str = "latitude", lng: str = "longitude", area: str = "area") -> DataFrame:
+    """`area_of` for a table of boxes (name, low_lat, high_lat, low_lng, high_lng, position): adds the name of the
+    first box by position (ties: by name) that holds the point, bounds included, or null.
+
+    A range join as an equi-join: each box lies in the cells, at most two by two, of a grid as coarse as its longer
+    side, and a point in one cell per level that has boxes (30 at most). Cells of the power of two are exact, so no
+    box is missed at a border. Each position is looked up once, however many rows stand there. Positions or bounds
+    that are null or NaN meet nothing.
+    """
+    at = points.select(F.col(lat).cast("double").alias("_lat"), F.col(lng).cast("double").alias("_lng"))
+    at = at.where(~F.isnan("_lat") & ~F.isnan("_lng")).distinct()
+    longer = F.greatest(F.col("high_lat") - F.col("low_lat"), F.col("high_lng") - F.col("low_lng"))
+    level = F.when(longer > 0, F.ceil(F.log2(longer))).otherwise(FINEST)
+    level = F.greatest(F.least(level, F.lit(COARSEST)), F.lit(FINEST)).cast("int")
+    ordered = (F.col("low_lat") <= F.col("high_lat")) & (F.col("low_lng") <= F.col("high_lng"))
+    known = boxes.where(ordered & ~F.isnan("high_lat") & ~F.isnan("high_lng")).withColumn("_level", level)
+    levels = [r[0] for r in known.select("_level").distinct().collect()]  # 30 at most
+    if not levels:
+        return points.withColumn(area, F.lit(None).cast("string"))
+    span = lambda side: F.explode(F.sequence(_cell(F.col(f"low_{side}"), F.col("_level")), _cell(F.col(f"high_{side}"), F.col("_level"))))
+    cells = known.withColumn("_x", span("lat")).withColumn("_y", span("lng")).select(
+        "_level", "_x", "_y", "name", "position", "low_lat", "high_lat", "low_lng", "high_lng"
+    )
+    placed = at.withColumn("_level", F.explode(F.array(*[F.lit(n) for n in sorted(levels)])))
+    placed = placed.withColumn("_x", _cell(F.col("_lat"), F.col("_level"))).withColumn("_y", _cell(F.col("_lng"), F.col("_level")))
+    inside = F.col("_lat").between(F.col("low_lat"), F.col("high_lat")) & F.col("_lng").between(F.col("low_lng"), F.col("high_lng"))
+    found = (
+        placed.join(small(cells), ["_level", "_x", "_y"])
+        .where(inside)
+        .groupBy("_lat", "_lng")
+        .agg(F.min(F.struct("position", "name"))["name"].alias("_area"))
+    )
+    here = (points[lat].cast("double") == found["_lat"]) & (points[lng].cast("double") == found["_lng"])
+    columns = [points[f"`{c}`"] for c in points.columns if c != area]
+    return points.join(found, here, "left").select(*columns, found["_area"].alias(area))
+
+
 def with_parent_label(df: DataFrame, key: str, parent: str, label: str) -> DataFrame:
     """Self-join on the parent key; the parent's key itself stands in where its row is missing."""
     parents = df.select(F.col(key).alias("_pk"), F.col(label).alias("_pl"))

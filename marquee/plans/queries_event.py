@@ -459,6 +459,35 @@ def _(t: Tables):
     return rows.select("vec_id", joins.area_of(C("lat"), C("lng")).alias("area"))
 
 
+# as many boxes as orders, some of them wide, a few without any extent, and one in 17 stands without a bound
+BOXES = {
+    "name": "concat('b', o_orderkey)", "position": "o_custkey * 100 + o_orderkey % 7",
+    "low_lat": "50 + cast(o_orderkey * 7919 % 10007 as double) / 10000", "low_lng": "3 + cast(o_orderkey * 104729 % 10009 as double) / 10000",
+    "lat_size": "cast(case when o_orderkey % 97 = 0 then 2000 when o_orderkey % 50 = 7 then 0 else 1 + o_custkey % 50 end as double) / 10000",
+    "lng_size": "cast(case when o_orderkey % 89 = 0 then 3000 when o_orderkey % 50 = 9 then 0 else 2 + o_custkey % 80 end as double) / 10000",
+}
+BOX_COLUMNS = {
+    "name": "name", "position": "position", "low_lat": "low_lat", "low_lng": "low_lng", "high_lat": "low_lat + lat_size",
+    "high_lng": "case when position % 17 = 3 then null else low_lng + lng_size end",
+}
+# customers stand on corners of the lattice the boxes start on, one in 11 nowhere
+STANDS = {
+    "c_custkey": "c_custkey", "lat": "case when c_custkey % 11 = 5 then null else 50 + cast(c_custkey * 6007 % 11003 as double) / 10000 end",
+    "lng": "3 + cast(c_custkey * 3001 % 10501 as double) / 10000",
+}
+
+
+@query(
+    "join6_box_table",
+    f"with s as (select {select_list(BOXES)} from orders), b as (select {select_list(BOX_COLUMNS)} from s), p as (select {select_list(STANDS)} from customer), "
+    "f as (select c_custkey, arg_min(name, (position, name)) as area from p join b on lat >= low_lat and lat <= high_lat and lng >= low_lng and lng <= high_lng group by c_custkey) "
+    "select p.c_custkey, f.area from p left join f on f.c_custkey = p.c_custkey",
+)
+def _(t: Tables):
+    boxes = computed(computed(t("orders"), BOXES), BOX_COLUMNS)
+    return joins.areas_by_cell(computed(t("customer"), STANDS), boxes, "lat", "lng").select("c_custkey", "area")
+
+
 SECOND_TAB = {
     "row_no": "doc_id", "event_id": "case when doc_id % 3 = 0 then concat(' e', doc_id) else '' end",
     "genre_override": "case when doc_id % 9 = 0 then 'House' else '' end", "hide": "''",

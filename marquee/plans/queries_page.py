@@ -328,15 +328,21 @@ def link_records(html: str) -> list[dict]:
     return [{"href": h} for h in parser.hrefs]
 
 
-@query(
-    "udf2_page_extractor",
-    r"""select page_id, null::varchar as _error, unnest(regexp_extract_all(html, '<a [^>]*href="([^"]*)"', 1)) as href from pages where not contains(html, '$$$')
-    union all select page_id, 'ValueError: unreadable page', null from pages where contains(html, '$$$')""",
-)
+UDF2_SQL = r"""select page_id, null::varchar as _error, unnest(regexp_extract_all(html, '<a [^>]*href="([^"]*)"', 1)) as href from pages where not contains(html, '$$$')
+    union all select page_id, 'ValueError: unreadable page', null from pages where contains(html, '$$$')"""
+
+
+@query("udf2_page_extractor", UDF2_SQL)
 def _(t: Tables):
     return extract.run_extractor(t.heavy("pages"), "page_id", "html", link_records, "href string")
 
 
+@query("udf2_extractor_in_sql", UDF2_SQL)
+def _(t: Tables):
+    extract.register_extractor(t.spark, "page_links", link_records, "href string")
+    return t.spark.sql("select p.page_id, x.* from {pages} p, lateral page_links(p.html) x", pages=t.heavy("pages"))
+
+
 @query("udf3_failure_isolation", "select contains(html, '$$$') as failed, count(*) as n from pages where contains(html, '$$$') or contains(html, '<a ') group by 1")
 def _(t: Tables):
     rows = extract.run_extractor(t.heavy("pages"), "page_id", "html", link_records, "href string")

@@ -219,6 +219,32 @@ def _(t: Tables):
     return aggregates.fill_profile(I.doc_events(t), "source", ["price", "hour_start", "artists"])
 
 
+@query(
+    "val3_profile_over_runs",
+    "select o_orderpriority, count(*) as n_rows, count(*) as n_o_custkey, count(case when o_orderkey % 7 <> 3 then 1 end) as n_clerk, "
+    "min(o_totalprice) as low_o_totalprice, max(o_totalprice) as high_o_totalprice, true as custkeys_near, true as clerks_near, true as median_near from orders group by 1",
+)
+def _(t: Tables):
+    rows = t("orders").withColumn("clerk", F.when(C("o_orderkey") % 7 != 3, F.concat(F.lit("k"), C("o_custkey") % 40, F.lit("/"), C("o_orderkey") % 9)))
+    path = scratch_path(t.spark, "profiles")
+    for run in (0, 1, 2, 1):  # the second run comes twice
+        part = rows.where(C("o_orderkey") % 3 == run)
+        quality.store_profile(quality.profile_sketches(part, "o_orderpriority", ["o_custkey", "clerk"], ["o_totalprice"]), path, f"r{run}")
+    report = quality.profile_report(quality.merged_sketches(t.spark.read.parquet(path), "o_orderpriority"))
+    median = report.select("o_orderpriority", "p50_o_totalprice")
+    below = F.avg((C("o_totalprice") < C("p50_o_totalprice")).cast("int"))
+    upto = F.avg((C("o_totalprice") <= C("p50_o_totalprice")).cast("int"))
+    exact = rows.join(F.broadcast(median), "o_orderpriority").groupBy("o_orderpriority").agg(  # a handful of priorities
+        F.countDistinct("o_custkey").alias("custkeys"), F.countDistinct("clerk").alias("clerks"), below.alias("below"), upto.alias("upto")
+    )
+    near = lambda guess, truth: F.abs(C(guess) - C(truth)) <= 0.04 * C(truth) + 1
+    return report.join(exact, "o_orderpriority").select(
+        "o_orderpriority", "n_rows", "n_o_custkey", "n_clerk", "low_o_totalprice", "high_o_totalprice",
+        near("distinct_o_custkey", "custkeys").alias("custkeys_near"), near("distinct_clerk", "clerks").alias("clerks_near"),
+        ((C("below") <= 0.52) & (C("upto") >= 0.48)).alias("median_near"),
+    )
+
+
 @query("agg6_nonzero_counts", "select l_returnflag, count(*) filter (where l_discount <> 0) as n_discount, count(*) filter (where l_tax <> 0) as n_tax from lineitem group by 1")
 def _(t: Tables):
     return t("lineitem").groupBy("l_returnflag").agg(
