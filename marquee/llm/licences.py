@@ -1,15 +1,19 @@
 """Licence scan: a trained paragraph classifier, confirmed by comparison with templates.
 
-A paragraph (a line of the text) is turned into the set of its word unigrams and bigrams. A multinomial
+A notice stands on one line or is wrapped over several, with or without comment marks. Each line is scored on
+its own, and each run of lines up to a line without words is scored whole, in overlapping windows of words that
+hold any template as one. What is scored is turned into the set of its word unigrams and bigrams. A multinomial
 logistic regression with an L1 penalty, so that most n-grams weigh nothing, gives the chance of each licence
 family and of `unknown`. The chances are calibrated by a temperature fitted on held-out paragraphs, and a
 family counts only above a threshold that few held-out unknown paragraphs pass. A prediction is confirmed
-if one of the family's templates is mostly contained in the paragraph.
+if one of the family's templates is mostly contained in it. A run gives a row per family and template that is
+confirmed in one of its windows (the best) but on none of that window's lines alone; lines of such a window that
+are unconfirmed pieces of the same family give none.
 
 The classifier is trained on the fixed templates below and variants of them, not on the corpus; all texts
 are scanned whole. Training and scanning are DataFrame operations (Spark ML and SQL functions).
 
-Null and empty texts have no paragraphs. Rows that repeat are scanned each, and give each a row. Paragraphs
+Null and empty texts have no paragraphs. Lines and runs of any length are read whole. Rows that repeat are scanned each, and give each a row. Paragraphs
 without any n-gram that weighs are unknown and give no row. Other columns are not looked at. An empty table
 gives an empty result.
 """
@@ -22,6 +26,9 @@ import random
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee.functions.text import let
+from marquee.session import checkpointed
+
 UNKNOWN = "unknown"
 CONTAINED = 0.6
 FALSE_SHARE = 0.01
@@ -264,17 +271,55 @@ def template_table(spark: SparkSession) -> DataFrame:
     return parts.groupBy("family").agg(F.collect_list(F.struct("template", "parts")).alias("templates"))
 
 
+def longest_template() -> int:
+    """Words of the longest template."""
+    return max(len("".join(c if c.isascii() and c.isalnum() else " " for c in x).split()) for texts in TEMPLATES.values() for x in texts)
+
+
+def units(text: Column, step: int) -> Column:
+    """What is scored, as (run, first, last, words): every line with words (run null), and every run of lines up to
+    one without words in windows of 2 * step words, `step` apart, so that any `step` words lie in one window. Windows
+    within one line are left out. `run`, `first` and `last` are numbers of lines, from 0."""
+    kind = "array<struct<run: int, first: int, last: int, words: array<string>>>"
+    plain = F.regexp_replace(F.lower(text), "[^a-z0-9\n]+", " ")
+    numbered = let(
+        F.split(plain, "\n"),
+        lambda lines: F.array_join(F.transform(lines, lambda x, i: F.when(F.trim(x) == "", "").otherwise(F.concat(i.cast("string"), F.lit(" "), F.trim(x)))), "\n"),
+    )
+    runs = F.filter(F.split(F.btrim(numbered, F.lit("\n")), "\n\n+"), lambda r: r != "")
+
+    def of_line(words: Column) -> Column:
+        at = words[0].cast("int")
+        return F.struct(F.lit(None).cast("int").alias("run"), at.alias("first"), at.alias("last"), F.slice(words, 2, F.size(words) - 1).alias("words"))
+
+    def windows(tokens: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(tokens) - step), F.lit(step))
+        cut = F.transform(starts, lambda at: F.slice(tokens, at, 2 * step))
+        whole = lambda w: F.struct(
+            tokens[0]["line"].alias("run"), w[0]["line"].alias("first"), F.element_at(w, -1)["line"].alias("last"), F.transform(w, lambda t: t["word"]).alias("words")
+        )
+        return F.filter(F.transform(cut, whole), lambda u: u["first"] < u["last"])
+
+    def of_run(lines: Column) -> Column:
+        each = lambda words: let(words[0].cast("int"), lambda at: F.transform(F.slice(words, 2, F.size(words) - 1), lambda w: F.struct(at.alias("line"), w.alias("word"))))
+        wrapped = F.when(F.size(lines) > 1, let(F.flatten(F.transform(lines, each)), windows)).otherwise(F.array().cast(kind))
+        return F.concat(F.transform(lines, of_line).cast(kind), wrapped.cast(kind))
+
+    return F.flatten(F.transform(runs, lambda r: let(F.transform(F.split(r, "\n"), lambda x: F.split(x, " ")), of_run)))
+
+
 def scan(docs: DataFrame, classifier: Classifier | None = None) -> DataFrame:
-    """doc_id, paragraph (place in the text), family, probability, template, contained, confirmed: one row for
-    each paragraph that is predicted to be a licence notice."""
+    """doc_id, paragraph (its first line in the text), lines (how many), family, probability, template, contained,
+    confirmed: one row for each line or wrapped paragraph that is predicted to be a licence notice."""
     spark = docs.sparkSession
     classifier = classifier or fit(spark)
     n = len(classifier.families)
     marks = sorted({w for t in vocabulary() for w in t.split() if w not in STOP_WORDS})
-    lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split("text", "\n")).alias("paragraph", "line"))
-    words = lines.select("doc_id", "paragraph", word_array(F.col("line")).alias("words"))
-    marked = words.where(F.arrays_overlap("words", _constants(marks)))  # others have no n-gram that weighs
-    keys = ["doc_id", "paragraph", "place"]  # the place tells repeated rows apart
+    # `row` and `place` tell repeated rows and units apart
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("row"))
+    each = rows.select("doc_id", "row", F.explode(units(F.col("text"), longest_template())).alias("u"))
+    marked = each.select("doc_id", "row", "u.*").where(F.arrays_overlap("words", _constants(marks)))  # others have no n-gram that weighs
+    keys = ["doc_id", "row", "run", "first", "last", "place"]
     numbered = marked.withColumn("place", F.monotonically_increasing_id())
     terms = numbered.select(*keys, F.explode(ngrams("words")).alias("term"))
     weighed = terms.join(F.broadcast(classifier.table(spark)), "term")  # bounded by the templates
@@ -290,7 +335,28 @@ def scan(docs: DataFrame, classifier: Classifier | None = None) -> DataFrame:
         "best",
         F.array_max(F.transform("templates", lambda t: F.struct((F.size(F.array_intersect(t["parts"], F.col("pairs"))) / F.size(t["parts"])).alias("contained"), t["template"].alias("template")))),
     )
-    return compared.select(
-        "doc_id", F.col("paragraph").cast("long").alias("paragraph"), "family", "probability", F.col("best.template").alias("template"),
-        F.col("best.contained").alias("contained"), (F.col("best.contained") >= CONTAINED).alias("confirmed"),
+    found = compared.select("doc_id", "row", "run", "first", "last", "place", "family", "probability", "best.template", "best.contained")
+    return _settled(found.withColumn("confirmed", F.col("contained") >= CONTAINED))
+
+
+def _settled(found: DataFrame) -> DataFrame:
+    """Lines and windows that say the same of a document, as one row each.
+
+    All goes by (row, family): a handful of notices of one document, whatever the corpus holds.
+    """
+    found = checkpointed(found.where(F.col("run").isNull() | F.col("confirmed")))
+    lines, windows = found.where("run is null"), found.where("run is not null")
+    alone = lines.where("confirmed").select("row", "family", "template", F.col("first").alias("at"))
+    inside = F.col("at").between(F.col("first"), F.col("last"))
+    wrapped = windows.alias("w").join(alone.alias("a"), (F.col("w.row") == F.col("a.row")) & (F.col("w.family") == F.col("a.family")) & (F.col("w.template") == F.col("a.template")) & inside, "left_anti")
+    best = F.max_by(F.struct("first", "last", "probability", "contained"), F.struct("contained", "probability", -F.col("first")))
+    wrapped = wrapped.groupBy("doc_id", "row", "run", "family", "template").agg(best.alias("b"))
+    wrapped = checkpointed(wrapped.select("doc_id", "row", "family", "template", "b.*", F.lit(True).alias("confirmed")))
+    around = wrapped.select("row", "family", F.col("first").alias("from"), F.col("last").alias("to"))
+    piece = ~F.col("l.confirmed") & F.col("l.first").between(F.col("from"), F.col("to"))
+    whole = lines.alias("l").join(around.alias("a"), (F.col("l.row") == F.col("a.row")) & (F.col("l.family") == F.col("a.family")) & piece, "left_anti")
+    rows = whole.drop("run", "place").unionByName(wrapped)
+    return rows.select(
+        "doc_id", F.col("first").cast("long").alias("paragraph"), (F.col("last") - F.col("first") + 1).cast("long").alias("lines"),
+        "family", "probability", "template", "contained", "confirmed",
     )

@@ -427,6 +427,72 @@ def test_licences_of_odd_rows(spark, odd_docs, no_docs, classifier):
     assert sorted(r.paragraph for r in licences.scan(twice, classifier).collect() if r.confirmed)[-2:] == [1, 1]
 
 
+def wrapped(text, width, mark=""):
+    lines, line = [], mark
+    for w in text.split():
+        if len(line) + len(w) >= width and line.strip() != mark.strip():
+            lines.append(line)
+            line = mark
+        line += " " + w
+    return [*lines, line]
+
+
+@pytest.mark.parametrize("width, mark", [(30, ""), (72, " *"), (50, "//"), (64, "#")])
+def test_wrapped_copies_of_all_templates(spark, classifier, width, mark):
+    prose = [f"{mark} vuno karel {i} tivo" for i in range(40)]
+    rows, want = [], {}
+    for family, texts in licences.TEMPLATES.items():
+        for i, text in enumerate(texts):
+            lines = wrapped(text, width, mark)
+            at = [0, 3, 37][len(rows) % 3]
+            rows.append((len(rows), "\n".join([*prose[:at], mark, *lines, *([mark] if at else []), *prose[at:]])))
+            want[len(rows) - 1] = (family, i, range(at + 1, at + 1 + len(lines)))
+    got = [r for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string"), classifier).collect() if r.confirmed]
+    for doc, (family, i, lines) in want.items():
+        mine = [r for r in got if r.doc_id == doc]
+        assert mine and {r.family for r in mine} == {family}
+        assert all(set(range(r.paragraph, r.paragraph + r.lines)) & set(lines) for r in mine)
+    assert any(r.lines > 1 for r in got)
+
+
+def test_a_wrapped_notice_is_one_row(spark, classifier):
+    grant = licences.TEMPLATES["mit"][3]
+    lines = wrapped(grant, 60, " *")
+    texts = ["/*\n" + "\n".join(lines) + "\n */\nint main", "x\n\n" + "\n".join(lines) + "\n\n" + "\n".join(lines), "\n".join([*lines, "", "Released under the MIT License."]), grant]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(0, texts[0])], "doc_id long, text string")
+    got = sorted((r.doc_id, r.paragraph, r.lines, r.template, r.confirmed) for r in licences.scan(docs, classifier).collect())
+    n = len(lines)
+    assert [g for g in got if g[0] == 0] == [(0, 1, n, 3, True)] * 2  # once per row
+    assert [g for g in got if g[0] == 1] == [(1, 2, n, 3, True), (1, 3 + n, n, 3, True)]
+    assert [g for g in got if g[0] == 2] == [(2, 0, n, 3, True), (2, n + 1, 1, 0, True)]
+    assert [g for g in got if g[0] == 3] == [(3, 0, 1, 3, True)]
+
+
+def units_by_hand(text, step):
+    out, run = [], []
+    lines = ["".join(c if c.isascii() and c.isalnum() else " " for c in x.lower()).split() for x in text.split("\n")]
+    for i, words in enumerate([*lines, []]):
+        if words:
+            out.append((None, i, i, words))
+            run += [(i, w) for w in words]
+        elif run:
+            for at in range(0, max(1, len(run) - step), step):
+                w = run[at : at + 2 * step]
+                if w[0][0] < w[-1][0]:
+                    out.append((run[0][0], w[0][0], w[-1][0], [x for _, x in w]))
+            run = []
+    return sorted(out, key=repr)
+
+
+def test_units_by_hand(spark):
+    rng = random.Random(4)
+    texts = ["", "\n", "a", " \n\na b\n", "é\nA-b\r\n--\n7"] + ["".join(rng.choice("ab  \n\n.") for _ in range(rng.randint(1, 60))) for _ in range(150)]
+    rows = spark.createDataFrame(list(enumerate(texts)) + [(-1, None)], "doc_id long, text string").select("doc_id", licences.units(F.col("text"), 3).alias("u")).collect()
+    for r in rows:
+        got = sorted([(u.run, u.first, u.last, u.words) for u in r.u or []], key=repr)
+        assert got == ([] if r.doc_id < 0 else units_by_hand(texts[r.doc_id], 3)), texts[r.doc_id]
+
+
 def test_no_python_in_the_licence_scan(spark, classifier):
     plan = licences.scan(spark.read.parquet(f"{SMALL}/documents.parquet"), classifier)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
