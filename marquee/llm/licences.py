@@ -276,36 +276,32 @@ def longest_template() -> int:
     return max(len("".join(c if c.isascii() and c.isalnum() else " " for c in x).split()) for texts in TEMPLATES.values() for x in texts)
 
 
-def units(text: Column, step: int) -> Column:
-    """What is scored, as (run, first, last, words): every line with words (run null), and every run of lines up to
-    one without words in windows of 2 * step words, `step` apart, so that any `step` words lie in one window. Windows
-    within one line are left out. `run`, `first` and `last` are numbers of lines, from 0."""
-    kind = "array<struct<run: int, first: int, last: int, words: array<string>>>"
-    plain = F.regexp_replace(F.lower(text), "[^a-z0-9\n]+", " ")
-    numbered = let(
-        F.split(plain, "\n"),
-        lambda lines: F.array_join(F.transform(lines, lambda x, i: F.when(F.trim(x) == "", "").otherwise(F.concat(i.cast("string"), F.lit(" "), F.trim(x)))), "\n"),
-    )
-    runs = F.filter(F.split(F.btrim(numbered, F.lit("\n")), "\n\n+"), lambda r: r != "")
-
-    def of_line(words: Column) -> Column:
-        at = words[0].cast("int")
-        return F.struct(F.lit(None).cast("int").alias("run"), at.alias("first"), at.alias("last"), F.slice(words, 2, F.size(words) - 1).alias("words"))
-
-    def windows(tokens: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(tokens) - step), F.lit(step))
-        cut = F.transform(starts, lambda at: F.slice(tokens, at, 2 * step))
-        whole = lambda w: F.struct(
-            tokens[0]["line"].alias("run"), w[0]["line"].alias("first"), F.element_at(w, -1)["line"].alias("last"), F.transform(w, lambda t: t["word"]).alias("words")
-        )
-        return F.filter(F.transform(cut, whole), lambda u: u["first"] < u["last"])
-
-    def of_run(lines: Column) -> Column:
-        each = lambda words: let(words[0].cast("int"), lambda at: F.transform(F.slice(words, 2, F.size(words) - 1), lambda w: F.struct(at.alias("line"), w.alias("word"))))
-        wrapped = F.when(F.size(lines) > 1, let(F.flatten(F.transform(lines, each)), windows)).otherwise(F.array().cast(kind))
-        return F.concat(F.transform(lines, of_line).cast(kind), wrapped.cast(kind))
-
-    return F.flatten(F.transform(runs, lambda r: let(F.transform(F.split(r, "\n"), lambda x: F.split(x, " ")), of_run)))
+def unit_rows(rows: DataFrame, step: int) -> DataFrame:
+    """What is scored of rows (doc_id, row, text), as (doc_id, row, run, first, last, words): every line with words
+    (run null), and every run of lines up to one without words in windows of 2 * step words, `step` apart, so that any
+    `step` words lie in one window. Windows within one line are left out. `run`, `first` and `last` are numbers of
+    lines, from 0. Runs are cut as texts, in which `#<line># ` precedes each line; words are split after that."""
+    plain = F.split(F.regexp_replace(F.lower("text"), "[^a-z0-9\n]+", " "), "\n")
+    kind = "array<struct<run: int, line: int, piece: string>>"
+
+    def of_run(run: Column) -> Column:
+        chunks = F.regexp_extract_all(run, F.lit("(?:\n?(?:#[0-9]+# )?[a-z0-9]+ ?){1,%d}" % step), F.lit(0))
+        at = F.regexp_extract(run, "^#([0-9]+)#", 1).cast("int")
+        pairs = let(chunks, lambda c: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(c) - 1)), lambda i: F.concat(F.get(c, i - 1), F.coalesce(F.get(c, i), F.lit("")))))
+        return F.transform(F.filter(pairs, lambda w: F.instr(F.substring(w, 2, 2**30), "\n") > 0), lambda w: F.struct(at.alias("run"), F.lit(None).cast("int").alias("line"), w.alias("piece")))
+
+    def of_lines(lines: Column) -> Column:
+        each = F.transform(lines, lambda x, i: F.struct(F.lit(None).cast("int").alias("run"), i.alias("line"), F.trim(x).alias("piece")))
+        numbered = F.array_join(F.transform(lines, lambda x, i: F.when(F.trim(x) == "", "").otherwise(F.concat(F.lit("#"), i.cast("string"), F.lit("# "), F.trim(x)))), "\n")
+        runs = F.filter(F.split(F.btrim(numbered, F.lit("\n")), "\n\n+"), lambda r: r.contains("\n"))
+        return F.concat(F.filter(each, lambda u: u["piece"] != "").cast(kind), F.flatten(F.transform(runs, of_run)).cast(kind))
+
+    pieces = rows.select("doc_id", "row", F.explode(let(plain, of_lines)).alias("u")).select("doc_id", "row", "u.*")
+    number = F.regexp_extract("piece", "#([0-9]+)#", 1).cast("int") - F.when(F.col("piece").rlike("^\n?#"), 0).otherwise(1)
+    first = F.when(F.col("run").isNull(), F.col("line")).otherwise(number)
+    last = F.when(F.col("run").isNull(), F.col("line")).otherwise(F.regexp_extract("piece", "(?s).*#([0-9]+)#", 1).cast("int"))
+    bare = F.when(F.col("run").isNull(), F.col("piece")).otherwise(F.trim(F.regexp_replace("piece", "\n?#[0-9]+# ", " ")))
+    return pieces.select("doc_id", "row", "run", first.alias("first"), last.alias("last"), F.split(bare, " ").alias("words"))
 
 
 def scan(docs: DataFrame, classifier: Classifier | None = None) -> DataFrame:
@@ -317,8 +313,7 @@ def scan(docs: DataFrame, classifier: Classifier | None = None) -> DataFrame:
     marks = sorted({w for t in vocabulary() for w in t.split() if w not in STOP_WORDS})
     # `row` and `place` tell repeated rows and units apart
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("row"))
-    each = rows.select("doc_id", "row", F.explode(units(F.col("text"), longest_template())).alias("u"))
-    marked = each.select("doc_id", "row", "u.*").where(F.arrays_overlap("words", _constants(marks)))  # others have no n-gram that weighs
+    marked = unit_rows(rows, longest_template()).where(F.arrays_overlap("words", _constants(marks)))  # others have no n-gram that weighs
     keys = ["doc_id", "row", "run", "first", "last", "place"]
     numbered = marked.withColumn("place", F.monotonically_increasing_id())
     terms = numbered.select(*keys, F.explode(ngrams("words")).alias("term"))

@@ -487,10 +487,11 @@ def units_by_hand(text, step):
 def test_units_by_hand(spark):
     rng = random.Random(4)
     texts = ["", "\n", "a", " \n\na b\n", "é\nA-b\r\n--\n7"] + ["".join(rng.choice("ab  \n\n.") for _ in range(rng.randint(1, 60))) for _ in range(150)]
-    rows = spark.createDataFrame(list(enumerate(texts)) + [(-1, None)], "doc_id long, text string").select("doc_id", licences.units(F.col("text"), 3).alias("u")).collect()
-    for r in rows:
-        got = sorted([(u.run, u.first, u.last, u.words) for u in r.u or []], key=repr)
-        assert got == ([] if r.doc_id < 0 else units_by_hand(texts[r.doc_id], 3)), texts[r.doc_id]
+    rows = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)] + [(-1, -1, None)], "doc_id long, row long, text string")
+    got = licences.unit_rows(rows, 3).collect()
+    for i, text in [*enumerate(texts), (-1, None)]:
+        mine = sorted([(u.run, u.first, u.last, u.words) for u in got if u.doc_id == i], key=repr)
+        assert mine == ([] if text is None else units_by_hand(text, 3)), text
 
 
 def test_no_python_in_the_licence_scan(spark, classifier):
