@@ -78,19 +78,15 @@ def bigram_tokens(c: Column) -> Column:
         c, lambda s: F.transform(F.sequence(F.lit(1), F.length(s) - 1), lambda i: F.substring(s, i, 2))
     )
     grams = F.when(n >= 2, grams).otherwise(F.array().cast("array<string>"))
-    start = F.struct(
-        F.lit("").alias("last"), F.lit(0).alias("n"), F.array().cast("array<string>").alias("out")
-    )
+    # sorted, equal ones follow each other; only repeats look for their first place
+    def numbered(grams: Column) -> Column:
+        def token(gram: Column, i: Column) -> Column:
+            nth = F.when(F.get(grams, i - 1) == gram, i + 2 - F.array_position(grams, gram).cast("int")).otherwise(F.lit(1))
+            return F.concat(gram, nth.cast("string"))
 
-    def step(acc, gram):
-        n = F.when(gram == acc["last"], acc["n"] + 1).otherwise(F.lit(1))
-        return F.struct(
-            gram.alias("last"),
-            n.alias("n"),
-            F.concat(acc["out"], F.array(F.concat(gram, n.cast("string")))).alias("out"),
-        )
+        return F.transform(grams, token)
 
-    return F.aggregate(F.array_sort(grams), start, step, lambda acc: acc["out"])
+    return let(F.sort_array(grams), numbered)
 
 
 def dice_of_tokens(a: Column, b: Column) -> Column:
