@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from marquee.llm.common import pieces_for
 from marquee.llm.vectors import Best, common_length, finite, matrix, ranked
-from marquee.session import checkpointed
+from marquee.session import checkpointed, small
 
 HEAD = 2048
 BLOCK_VECTORS = 4096
@@ -159,6 +159,16 @@ def _products(length: int, k: int, turn: np.ndarray, first: int):
     return run
 
 
+def meetings(vector_blocks: DataFrame, query_blocks: DataFrame) -> DataFrame:
+    """ids, vectors, q_ids, queries, floors: every query block (q_ids, queries, floors, reach, slot) with all vector
+    blocks (longest, ids, vectors) whose greatest length reaches its thresholds, in descending order of that length
+    within each task, so that thresholds rise early wherever the blocks were fetched from."""
+    slots = query_blocks.select("slot", "reach")  # two numbers per block of queries
+    dealt = vector_blocks.join(small(slots), F.col("reach") <= F.col("longest")).drop("reach")
+    met = dealt.join(query_blocks.drop("reach").hint("merge"), "slot")
+    return met.sortWithinPartitions("slot", F.col("longest").desc()).select("ids", "vectors", "q_ids", "queries", "floors")
+
+
 def top_products(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """query_id, rank, vec_id, score: the `k` greatest inner products of each query with all other vectors.
 
@@ -189,13 +199,6 @@ def top_products(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         .mapInArrow(_blocks(length, BLOCK_QUERIES), "longest double, ids binary, vectors binary")
         .mapInArrow(_starts(length, k, head_ids, head_x), "q_ids binary, queries binary, floors binary, reach double")
     )
-    # every query block is a key; a vector block goes to the keys it can still serve
-    keyed = checkpointed(query_blocks.withColumn("slot", F.monotonically_increasing_id()))
-    slots = keyed.select("slot", "reach").collect()  # one small row per block of queries
-    wanted = F.array(*[F.struct(F.lit(s["slot"]).alias("slot"), F.lit(s["reach"]).alias("reach")) for s in slots])
-    dealt = vector_blocks.select("*", F.explode(F.filter(wanted, lambda s: s["reach"] <= F.col("longest"))).alias("s")).select(
-        "ids", "vectors", "longest", F.col("s.slot").alias("slot")
-    )
-    met = dealt.join(keyed, "slot").select("ids", "vectors", "q_ids", "queries", "floors")
+    met = meetings(vector_blocks, checkpointed(query_blocks.withColumn("slot", F.monotonically_increasing_id())))
     found = met.mapInArrow(_products(length, k, turn, first), "query_id long, vec_id long, rank_by long")
     return ranked(found, k).select("query_id", "rank", "vec_id", (-F.col("rank_by")).alias("score"))

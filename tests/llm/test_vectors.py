@@ -133,3 +133,14 @@ def test_repeated_ids_near(spark):
         order = np.lexsort((np.arange(1000), best))[:10]
         assert [g[1] for g in sorted(got[q])] == order.tolist()
         assert [g[2] for g in sorted(got[q])] == pytest.approx(best[order].tolist())
+
+
+def test_blocks_meet_from_long_to_short(spark):
+    vector_blocks = spark.createDataFrame([(float(n), bytes([n]), b"v") for n in range(40)], "longest double, ids binary, vectors binary").repartition(5)
+    query_blocks = spark.createDataFrame([(bytes([q]), b"q", b"f", 10.0 * q, q) for q in range(4)], "q_ids binary, queries binary, floors binary, reach double, slot long")
+    met = inner_products.meetings(vector_blocks, query_blocks)
+    tasks = [[(r.q_ids[0], r.ids[0]) for r in task] for task in met.rdd.glom().collect()]
+    assert sorted(pair for task in tasks for pair in task) == [(q, n) for q in range(4) for n in range(10 * q, 40)]
+    for task in tasks:
+        assert task == sorted(task, key=lambda p: (p[0], -p[1]))
+    assert not spark.createDataFrame([], query_blocks.schema).transform(lambda none: inner_products.meetings(vector_blocks, none)).collect()
