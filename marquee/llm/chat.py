@@ -6,7 +6,9 @@ proper prefix of another is dropped by an anti-join, and of equal conversations
 conv_id stays. What is left is rendered turn by turn.
 
 The hash of a prefix is the XOR, over its turns, of two 64-bit hashes of (place, role, text), so it can be
-computed in blocks of turns and a very long conversation is not one window. Turns are ordered by `turn`
+computed in blocks of places and a very long conversation is not one window. Places are counted over ranges
+of about equally many rows, in which rows that repeat count as one row with a number, so neither turns
+without a number nor turns that repeat make a range large. Turns are ordered by `turn`
 (null first), equal ones by role and text; whole rows that repeat count as turns of their own. Null text
 and role differ from empty ones in the hash and are rendered as empty. Rows with a null conv_id are one
 conversation. An empty table gives an empty result; other columns are not looked at.
@@ -17,39 +19,54 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marquee.llm.common import pieces_for
 from marquee.session import checkpointed
 
 BLOCK_TURNS = 4096
+RANGE_TURNS = 200_000
 SEGMENT = ("<|", "|>\n", "\n<|end|>\n")
 
 
-def placed_turns(turns: DataFrame, block: int = BLOCK_TURNS) -> DataFrame:
-    """Turns with their place (from 1) and the hashes of the conversation up to them.
+def numbered_turns(turns: DataFrame, each: int = RANGE_TURNS) -> DataFrame:
+    """Distinct turns with `rows` (how often they occur) and `start` (the place of the first, from 1).
 
-    Windows run within blocks of turn numbers; sums and XORs of the blocks before are added.
+    Turns are range-sorted and counted within ranges of about `each` rows; what the ranges before hold is added.
     """
     base = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text")
-    order = [F.col("turn").asc_nulls_first(), F.col("role").asc_nulls_first(), F.col("text").asc_nulls_first()]
-    base = base.withColumn("block", F.coalesce(F.floor(F.col("turn") / block), F.lit(-(2**62))))
-    sizes = base.groupBy("conv_id", "block").agg(F.count(F.lit(1)).alias("block_turns"))
-    earlier = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    heads = sizes.withColumn("head", F.coalesce(F.sum("block_turns").over(earlier), F.lit(0)))
-    inside = Window.partitionBy("conv_id", "block").orderBy(*order)
-    numbered = base.withColumn("inner", F.row_number().over(inside))
-    b, h = numbered.alias("b"), heads.alias("h")
-    numbered = b.join(h, F.col("b.conv_id").eqNullSafe(F.col("h.conv_id")) & (F.col("b.block") == F.col("h.block"))).select(
-        "b.*", (F.col("head") + F.col("inner")).alias("place"),
+    order = [F.col(c).asc_nulls_first() for c in ("conv_id", "turn", "role", "text")]
+    once = base.groupBy("conv_id", "turn", "role", "text").agg(F.count(F.lit(1)).alias("rows"))
+    ranged = checkpointed(once.repartitionByRange(pieces_for(base.count(), each), *order).withColumn("range", F.spark_partition_id()))
+    sizes = ranged.groupBy("conv_id", "range").agg(F.sum("rows").alias("range_rows"))
+    earlier = Window.partitionBy("conv_id").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    heads = sizes.select("conv_id", "range", F.coalesce(F.sum("range_rows").over(earlier), F.lit(0)).alias("head"))
+    inside = Window.partitionBy("conv_id", "range").orderBy(*order[1:]).rowsBetween(Window.unboundedPreceding, -1)
+    counted = ranged.withColumn("inner", F.coalesce(F.sum("rows").over(inside), F.lit(0))).alias("t")
+    h = heads.alias("h")
+    return counted.join(h, F.col("t.conv_id").eqNullSafe(F.col("h.conv_id")) & (F.col("t.range") == F.col("h.range"))).select(
+        "t.conv_id", "role", "text", "rows", (F.col("head") + F.col("inner") + 1).alias("start")
     )
+
+
+def placed_turns(turns: DataFrame, block: int = BLOCK_TURNS, each: int = RANGE_TURNS) -> DataFrame:
+    """Turns with their place (from 1) and the hashes of the conversation up to them.
+
+    Windows run within blocks of `block` places; XORs of the blocks before are added. A turn that repeats is
+    dealt to the blocks it fills before it becomes rows.
+    """
+    last = F.col("start") + F.col("rows") - 1
+    number = lambda place: F.floor((place - 1) / block)
+    dealt = numbered_turns(turns, each).select("*", F.explode(F.sequence(number(F.col("start")), number(last))).alias("block"))
+    within = F.sequence(F.greatest("start", F.col("block") * block + 1), F.least(last, (F.col("block") + 1) * block))
+    placed = dealt.repartition("conv_id", "block").select("conv_id", "block", "role", "text", F.explode(within).alias("place"))
     parts = [F.coalesce("role", F.lit("")), F.col("role").isNull(), F.coalesce("text", F.lit("")), F.col("text").isNull()]
-    hashed = numbered.withColumn("h1", F.xxhash64(F.lit(1), "place", *parts)).withColumn("h2", F.xxhash64(F.lit(2), *parts, "place"))
-    ends = hashed.groupBy("conv_id", "block").agg(F.bit_xor("h1").alias("e1"), F.bit_xor("h2").alias("e2"))
-    ends = ends.select(
-        "conv_id", "block", F.coalesce(F.bit_xor("e1").over(earlier), F.lit(0)).alias("e1"), F.coalesce(F.bit_xor("e2").over(earlier), F.lit(0)).alias("e2")
-    )
+    hashed = placed.withColumn("h1", F.xxhash64(F.lit(1), "place", *parts)).withColumn("h2", F.xxhash64(F.lit(2), *parts, "place"))
     run = Window.partitionBy("conv_id", "block").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
-    rolled = hashed.withColumn("r1", F.bit_xor("h1").over(run)).withColumn("r2", F.bit_xor("h2").over(run)).alias("t")
-    e = ends.alias("e")
-    return rolled.join(e, F.col("t.conv_id").eqNullSafe(F.col("e.conv_id")) & (F.col("t.block") == F.col("e.block"))).select(
+    rolled = checkpointed(hashed.select("conv_id", "block", "place", "role", "text", F.bit_xor("h1").over(run).alias("r1"), F.bit_xor("h2").over(run).alias("r2")))
+    ends = rolled.groupBy("conv_id", "block").agg(F.max_by(F.struct("r1", "r2"), "place").alias("r"))
+    earlier = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    before = [F.coalesce(F.bit_xor(f"r.r{i}").over(earlier), F.lit(0)).alias(f"e{i}") for i in (1, 2)]
+    t, e = rolled.alias("t"), ends.select("conv_id", "block", *before).alias("e")
+    return t.join(e, F.col("t.conv_id").eqNullSafe(F.col("e.conv_id")) & (F.col("t.block") == F.col("e.block"))).select(
         "t.conv_id", "place", "role", "text", F.col("r1").bitwiseXOR(F.col("e1")).alias("p1"), F.col("r2").bitwiseXOR(F.col("e2")).alias("p2")
     )
 

@@ -268,6 +268,25 @@ def test_blocks_of_turns_change_nothing(spark):
     assert hashes(4) == hashes(4096)
 
 
+def test_turns_without_numbers_and_repeats_are_split(spark):
+    rows = [(None, None, "user", "same")] * 300 + [(None, None, "user", f"{i}") for i in range(200)] + [(1, 0, "user", "x")] * 50
+    rows += [(2, 3, None, None)] * 40 + [(2, 3, "user", "")] * 40 + [(2, None, "user", "first")]
+    turns = spark.createDataFrame(rows, TURNS)
+    counted = chat.numbered_turns(turns, 40)
+    assert counted.count() == 201 + 1 + 3
+    for block, each in ((7, 40), (4096, 10**6)):
+        got = {(r.conv_id, r.place): (r.role, r.text, r.p1, r.p2) for r in chat.placed_turns(turns, block, each).collect()}
+        want = {}
+        for conv in (None, 1, 2):
+            least = lambda v: (v is not None, v if v is not None else "")
+            own = sorted((r for r in rows if r[0] == conv), key=lambda r: (r[1] is not None, r[1] or 0, least(r[2]), least(r[3])))
+            want |= {(conv, place): r[2:] for place, r in enumerate(own, 1)}
+        assert {k: v[:2] for k, v in got.items()} == want
+        if block == 7:
+            small_blocks = got
+    assert small_blocks == got
+
+
 # --- mixing ------------------------------------------------------------------------------------------------
 
 
