@@ -55,12 +55,26 @@ def with_artists(df: DataFrame, keep_existing: bool = False) -> DataFrame:
 # --- genre --------------------------------------------------------------------------------------------
 
 
-def phrases(normalized: Column, n: int) -> Column:
-    """The next `n` words from every word of a normalized text on."""
-    return text.let(
-        F.split(normalized, " "),
-        lambda words: F.transform(words, lambda w, i: F.array_join(F.slice(words, i + 1, n), " ")),
-    )
+# first words of terms that are looked up inside the row; a longer list is left to the join
+FIRST_WORDS = 5000
+
+
+def first_words(terms: DataFrame) -> list[str] | None:
+    """The words that terms begin with, or None if there are too many to look up inside a row."""
+    found = terms.select("first_word").distinct().limit(FIRST_WORDS + 1).collect()
+    return [r["first_word"] for r in found] if len(found) <= FIRST_WORDS else None
+
+
+def phrases(normalized: Column, n: int, first: list[str] | None = None) -> Column:
+    """The next `n` words from every word of a normalized text on, or from the words in `first` alone."""
+
+    def following(words: Column) -> Column:
+        phrase = lambda i: F.array_join(F.slice(words, i + 1, n), " ")
+        if first is None:
+            return F.transform(words, lambda w, i: phrase(i))
+        return F.filter(F.transform(words, lambda w, i: F.when(w.isin(first), phrase(i))), lambda p: p.isNotNull())
+
+    return text.let(F.split(normalized, " "), following)
 
 
 def term_hits(texts: DataFrame, id: str, terms: DataFrame, n: int, keep: list[str] = ()) -> DataFrame:
@@ -89,7 +103,7 @@ def best_genre(texts: DataFrame, id: str, terms: DataFrame) -> DataFrame:
     texts: (id, pass, text), text already normalized.
     """
     n = _longest_term(terms)
-    shaped = texts.where(F.col("text") != "").select(id, "pass", phrases(F.col("text"), n).alias("phrases"))
+    shaped = texts.where(F.col("text") != "").select(id, "pass", phrases(F.col("text"), n, first_words(terms)).alias("phrases"))
     hits = term_hits(shaped, id, terms, n, ["pass"])
     order = F.struct("pass", -F.col("n_words"), -F.col("weight"), "ord")
     return hits.groupBy(id).agg(F.min_by("genre_id", order).alias("genre_id"))
@@ -140,7 +154,7 @@ def with_genre(df: DataFrame, genres: DataFrame, dims: Dimensions) -> DataFrame:
 def mentions_genre(df: DataFrame, id: str, content: Column, terms: DataFrame) -> DataFrame:
     """Rows whose text holds at least one term."""
     n = _longest_term(terms)
-    shaped = df.select(id, phrases(text.normalize_text(content), n).alias("phrases"))
+    shaped = df.select(id, phrases(text.normalize_text(content), n, first_words(terms)).alias("phrases"))
     return df.join(term_hits(shaped, id, terms, n).select(id), id, "left_semi")
 
 

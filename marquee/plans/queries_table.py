@@ -446,7 +446,7 @@ def _(t: Tables):
     records = listed.select("ord", "id", F.lit(1).alias("weight"), F.array("word").alias("keywords"), none.alias("aliases"))
     table = dimensions.term_table(records)
     n = max(len(w.split()) for w in DOC_TERMS)
-    shaped = t.heavy("documents").select("doc_id", enrich.phrases(text.normalize_text(C("text")), n).alias("phrases"))
+    shaped = t.heavy("documents").select("doc_id", enrich.phrases(text.normalize_text(C("text")), n, enrich.first_words(table)).alias("phrases"))
     hits = enrich.term_hits(shaped, "doc_id", table, n)
     return hits.select("term", "doc_id").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_docs"))
 

@@ -95,3 +95,12 @@ def test_names_and_keywords(spark):
     assert {r[0]: (r[1], r[2]) for r in got} == NAMES
     odd = df.where(taxonomy.has_odd_brackets(F.col("name"))).count()
     assert odd == 2
+
+
+def test_first_words_inside_the_row_or_by_the_join(spark, monkeypatch):
+    terms = spark.createDataFrame([("deep house", "deep", 2, "g1", 1, 0), ("dub", "dub", 1, "g2", 1, 1)], "term string, first_word string, n_words int, genre_id string, weight int, ord int")
+    texts = spark.createDataFrame([("a", 1, "a deep house night"), ("b", 1, "deep dubs"), ("c", 0, "dub"), ("c", 1, "deep house"), ("d", 1, "")], "id string, pass int, text string")
+    found = lambda: sorted(tuple(r) for r in enrich.best_genre(texts, "id", terms).collect())
+    assert found() == [("a", "g1"), ("c", "g2")]
+    monkeypatch.setattr(enrich, "FIRST_WORDS", 1)
+    assert enrich.first_words(terms) is None and found() == [("a", "g1"), ("c", "g2")]
