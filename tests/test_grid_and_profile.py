@@ -48,6 +48,21 @@ def test_a_box_lies_in_four_cells_at_most(spark):
     assert joins.areas_by_cell(points.limit(0), boxes).count() == 0
 
 
+def test_many_boxes_in_parts(spark, monkeypatch):
+    """Parts by position give the first box, and exploded positions are never broadcast by the planner's guess."""
+    monkeypatch.setattr(joins, "is_small", lambda df: False)
+    monkeypatch.setattr(joins, "small", lambda df: df)
+    rng = random.Random(8)
+    boxes = [*boxes_of_all_sizes(rng), ("thin", 3, 50.0, 50.0001, -180.0, 180.0)]
+    points = [(rng.uniform(-2, 60), rng.uniform(-4, 9)) for _ in range(300)] + [(b[2], b[4]) for b in boxes[:200]] + [(50.00005, 170.0), (None, 1.0)]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "id long, latitude double, longitude double")
+    got = joins.areas_by_cell(df, spark.createDataFrame(boxes, BOX))
+    assert {r.id: r.area for r in got.collect()} == {i: first_box(*p, boxes) for i, p in enumerate(points)}
+    known = spark.createDataFrame([(0, 0, *boxes[0])], "_a int, _b int, " + BOX)
+    at = df.selectExpr("latitude as _lat", "longitude as _lng")
+    assert "Broadcast" not in joins._boxes_at(at, known)._jdf.queryExecution().executedPlan().toString()
+
+
 def profiled(df):
     return quality.profile_sketches(df, "kind", ["v", "tags"], ["x"])
 
