@@ -37,7 +37,7 @@ def members(record: Column) -> Column:
 def ticket_url(record: Column) -> Column:
     """Of a record given as text: known ticket keys first, then member by member, as written, any text, or text one
     level down, that looks like a ticket link."""
-    direct = first_key(parse(record), K.TICKET_KEYS)
+    direct = let(parse(record), lambda v: first_key(v, K.TICKET_KEYS))  # parsed once, not once for each key
     texts = lambda m: F.transform(F.filter(m, lambda e: e["kind"] == "STRING"), lambda e: e["text"])
     own = lambda e: F.when(e["kind"].startswith("OBJECT"), F.coalesce(texts(members(e["text"])), F.array().cast("array<string>"))).otherwise(F.array(e["text"]))
     fits = lambda x: x.startswith("http") & x.rlike(K.TICKET_WORDS)
@@ -55,7 +55,7 @@ def event_array(text: Column) -> Column:
     places = ["", *[f".{k}" for k in K.LIST_KEYS], *[f".data.{k}" for k in K.NESTED_LIST_KEYS]]
 
     def first_place(v: Column) -> Column:
-        looks = lambda p: is_event(F.try_variant_get(v, f"${p}[0]", "variant"))
+        looks = lambda p: let(F.try_variant_get(v, f"${p}[0]", "variant"), lambda x: is_event(x))
         return F.coalesce(*[F.when(looks(p), F.get_json_object(text, f"${p}")) for p in places])
 
     return F.from_json(let(parse(text), first_place), "array<string>")
