@@ -71,7 +71,8 @@ def json_records(spark: SparkSession, folder: str) -> DataFrame:
     level = F.when(F.ltrim(F.regexp_replace("_text", r"^[\ufeff\s]+", "")).startswith("["), 1).otherwise(0)
     deep = _carried(known, "change", "depth").join(small(first.select("file", level.alias("level"))), "file")
     ends = F.col("outside") & (F.col("depth") + F.col("change") == F.col("level"))
-    numbered = _carried(deep.select("file", "block", "at", "text", ends.cast("int").alias("ends")), "ends", "pos")
+    deep = checkpointed(deep.select("file", "block", "at", "text", ends.cast("int").alias("ends")))  # read by block and by row
+    numbered = _carried(deep, "ends", "pos")
     whole = numbered.groupBy("file", "pos").agg(
         F.sort_array(F.collect_list(F.struct("block", "at", "text"))).alias("parts"), F.max("ends").alias("ended")
     ).where("ended = 1")  # the pieces of one object
