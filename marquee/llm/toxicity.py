@@ -54,17 +54,27 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def fit_linear(x: np.ndarray, y: np.ndarray, penalty: float = PENALTY, steps: int = STEPS) -> np.ndarray:
-    """Logistic regression with an L2 penalty by accelerated gradient steps; the last weight is the bias."""
-    x = np.c_[x, np.ones(len(x))]
-    probe = np.ones(x.shape[1])
+def fit_linear(
+    x: np.ndarray, y: np.ndarray, penalty: float = PENALTY, steps: int = STEPS, fed: np.ndarray | None = None, kept: np.ndarray | None = None
+) -> np.ndarray:
+    """Logistic regression with an L2 penalty by accelerated gradient steps; the last weight is the bias.
+
+    fed: a few more columns, weighed after those of `x`. kept: the rows to fit on (True). Neither is copied together
+    with `x`, which is most of what the driver's Python holds.
+    """
+    fed = np.empty((len(x), 0)) if fed is None else fed
+    rows = np.ones(len(x)) if kept is None else kept.astype(float)
+    k = x.shape[1]
+    forth = lambda w: x @ w[:k] + fed @ w[k:-1] + w[-1]
+    back = lambda r: np.r_[r @ x, r @ fed, r.sum()]
+    probe = np.ones(k + fed.shape[1] + 1)
     for _ in range(12):
-        probe = x.T @ (x @ probe)
+        probe = back(rows * forth(probe))
         probe /= np.linalg.norm(probe) or 1.0
-    bound = 0.25 * np.linalg.norm(x @ probe) ** 2 * 1.05 + penalty
-    w = ahead = np.zeros(x.shape[1])
+    bound = 0.25 * np.linalg.norm(rows * forth(probe)) ** 2 * 1.05 + penalty
+    w = ahead = np.zeros(len(probe))
     for i in range(steps):
-        slope = x.T @ (sigmoid(x @ ahead) - y) + penalty * np.r_[ahead[:-1], 0.0]
+        slope = back(rows * (sigmoid(forth(ahead)) - y)) + penalty * np.r_[ahead[:-1], 0.0]
         new = ahead - slope / bound
         ahead, w = new + i / (i + 3) * (new - w), new
     return w
@@ -104,13 +114,13 @@ def fit_chain(x: np.ndarray, labels: np.ndarray, folds: np.ndarray, vocabulary:
         return Chain(share=float(decided.mean()) if len(decided) else 0.0)
     chain, fed = Chain(vocabulary), np.empty((len(x), 0))
     for c in range(labels.shape[1]):
-        own = np.c_[x, fed]
+        logits = lambda w: x @ w[: x.shape[1]] + fed @ w[x.shape[1] : -1] + w[-1]
         out_of_fold = np.empty(len(x))
         for f in np.unique(folds):
             held = folds == f
-            w = fit_linear(own[~held], labels[~held, c]) if (~held).any() else np.zeros(own.shape[1] + 1)
-            out_of_fold[held] = own[held] @ w[:-1] + w[-1]
-        chain.weights.append(fit_linear(own, labels[:, c]))
+            w = fit_linear(x, labels[:, c], fed=fed, kept=~held) if (~held).any() else np.zeros(x.shape[1] + c + 1)
+            out_of_fold[held] = logits(w)[held]
+        chain.weights.append(fit_linear(x, labels[:, c], fed=fed))
         fed = np.c_[fed, out_of_fold]
     chain.threshold = best_threshold(sigmoid(fed[:, -1]), decided)
     return chain
@@ -198,13 +208,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int
     vocabulary = {r["feature"]: i for i, r in enumerate(best)}
     rows = known.select("fold", "text", "toxic").mapInArrow(
         _vectorised(vocabulary), "fold int, toxic int, insult boolean, places array<int>, counts array<float>"
-    ).collect()  # at most `sample` rows of at most `features` numbers
-    x = np.zeros((len(rows), len(vocabulary)))
-    for row, r in zip(x, rows):
-        row[r["places"]] = r["counts"]
-    toxic = np.array([r["toxic"] for r in rows], float)
-    insult = np.array([r["insult"] for r in rows], float)
-    return fit_chain(x, np.c_[toxic * insult, toxic * (1 - insult), toxic], np.array([r["fold"] for r in rows]), vocabulary)
+    ).toArrow().combine_chunks()  # at most `sample` rows of at most `features` numbers
+    x = np.zeros((rows.num_rows, len(vocabulary)))
+    for row, places, counts in zip(x, rows.column("places"), rows.column("counts")):
+        row[places.values.to_numpy()] = counts.values.to_numpy()
+    fold, toxic, insult = [rows.column(c).to_numpy() for c in ("fold", "toxic", "insult")]
+    toxic, insult = toxic.astype(float), insult.astype(float)
+    return fit_chain(x, np.c_[toxic * insult, toxic * (1 - insult), toxic], fold, vocabulary)
 
 
 def _scorer(chain: Chain):

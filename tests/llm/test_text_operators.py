@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -383,6 +384,17 @@ def test_later_models_learn_from_out_of_fold_logits():
     assert ((chain.logits(x)[:, 1] > 0) == (first > 0)).mean() > 0.95
 
 
+def test_fitting_holds_no_copies_of_the_features():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(1000, 400))
+    labels = np.repeat((x[:, :1] > 0).astype(float), 3, axis=1)
+    tracemalloc.start()
+    toxicity.fit_chain(x, labels, rng.integers(0, 5, 1000), {str(i): i for i in range(400)})
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < x.nbytes / 2
+
+
 def test_toxicity_of_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(1, 1, 0), (4, 1, 1), (5, 1, None), (None, 0, 1)], "doc_id long, quality int, toxic int")
     chain = toxicity.fit(odd_docs, labels)
