@@ -10,7 +10,7 @@ from marquee.functions import arrays, numbers
 from marquee.operators import filters
 from marquee.operators.selection import last_filled, last_nonempty
 from marquee.schemas import EVENT
-from marquee.session import checkpointed, is_small
+from marquee.session import SMALL_ROWS, checkpointed, is_small
 
 # owned by the collecting side: a fresh value replaces the stored one
 REFRESHED = [
@@ -44,11 +44,15 @@ def merge_events(stored: DataFrame, fresh: DataFrame, order: str = "ord", place:
     measured small size is broadcast, so the stored table is not shuffled.
     """
     folded = fold_fresh(fresh, order)
-    extra = []
     if place:
         firsts = fresh.groupBy("event_id").agg(F.min(order).alias(place))
-        folded, extra = folded.join(firsts, "event_id"), [place]
-    folded = checkpointed(folded)
+        folded = folded.join(firsts, "event_id")
+    return merge_folded(stored, checkpointed(folded), place)
+
+
+def merge_folded(stored: DataFrame, folded: DataFrame, place: str | None = None) -> DataFrame:
+    """`merge_events` for a batch that `fold_fresh` has brought to one row per event id and that lies in files."""
+    extra = [place] if place else []
     new, old = folded.alias("n"), stored.alias("o")
     known = F.col("o.event_id").isNotNull()
 
@@ -71,7 +75,8 @@ def merge_events(stored: DataFrame, fresh: DataFrame, order: str = "ord", place:
         return out + [(F.col(f"n.{place}") if not has_old else F.when(~known, F.col(f"n.{place}")) if has_new else none).alias(place) for _ in extra]
 
     on = F.col("o.event_id") == F.col("n.event_id")
-    if not is_small(folded):
+    # footers of files tell the number of rows, so a large batch is not read to be measured
+    if folded.count() > SMALL_ROWS or not is_small(folded):
         return old.join(new, on, "full_outer").select(*columns(True, True))
     kept = old.join(F.broadcast(new), on, "left").select(*columns(True, True))
     met = old.join(F.broadcast(new), on).select("n.event_id").distinct()

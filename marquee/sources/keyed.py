@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.session import checkpointed, small
+from marquee.session import MOST_ROWS, checkpointed, small
 from marquee.sources.commits import CommitLog, Conflict
 
 BUCKET_ROWS = 1_000_000
@@ -29,12 +29,22 @@ def _hash_bits(key: str) -> Column:
 
 
 def _placed(df: DataFrame, key: str, buckets: list[dict]) -> DataFrame:
-    """The rows with `_bits` of their bucket."""
-    spark = df.sparkSession
-    known = spark.createDataFrame([(b["bits"],) for b in buckets], "_bits string")
-    lengths = F.array(*[F.lit(n) for n in sorted({len(b["bits"]) for b in buckets})])
-    begun = df.withColumn("_hash", _hash_bits(key)).withColumn("_bits", F.explode(F.transform(lengths, lambda n: F.col("_hash").substr(F.lit(1), n))))
-    return begun.join(small(known), "_bits").drop("_hash")  # one of the beginnings is a bucket
+    """The rows with `_bits` of their bucket.
+
+    One lookup for each length of bits, of which there are few, as the hashes are even: a wide row is neither copied
+    for every beginning of its hash nor led through an explode.
+    """
+    lengths: dict[int, list] = {}
+    for b in buckets:
+        lengths.setdefault(len(b["bits"]), []).append((b["bits"],))
+    if 0 in lengths:  # one bucket for all hashes
+        return df.withColumn("_bits", F.lit(""))
+    found = df.withColumn("_hash", _hash_bits(key))
+    for n, bits in sorted(lengths.items()):
+        known = df.sparkSession.createDataFrame(bits, f"_bits{n} string")
+        found = found.join(small(known), F.col("_hash").substr(1, n) == F.col(f"_bits{n}"), "left")
+    names = [f"_bits{n}" for n in lengths]
+    return found.withColumn("_bits", F.coalesce(*names)).where(F.col("_bits").isNotNull()).drop("_hash", *names)
 
 
 def _read(spark: SparkSession, path: str, buckets: list[dict], schema: T.StructType) -> DataFrame:
@@ -48,21 +58,24 @@ def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def _write(df: DataFrame, path: str, key: str, buckets: list[dict], rows_each: int) -> list[dict]:
-    """Write the new rows of the buckets; buckets that are too large are cut. Returns the new list."""
+    """Write the new rows of the buckets; buckets that are too large are cut. Returns the new list.
+
+    The rows are counted by their keys alone, which leaves all other columns out of that pass, and are then placed and
+    written in one go: a whole table is never written twice. A task takes some 100,000 rows, in whole buckets.
+    """
+    spark = df.sparkSession
     counts = {b["bits"]: 0 for b in buckets}
-    counts |= {r["_bits"]: r["count"] for r in df.groupBy("_bits").count().collect()}  # a row for each bucket
-    cuts = {bits: min(BITS - len(bits), max(0, (n - 1) // rows_each).bit_length()) for bits, n in counts.items()}
-    more = df.sparkSession.createDataFrame([(b, len(b) + c) for b, c in cuts.items()], "_bits string, _length int")
+    counts |= {r["_bits"]: r["count"] for r in _placed(df.select(key), key, buckets).groupBy("_bits").count().collect()}  # a row for each bucket
+    new = []
+    for bits, n in counts.items():
+        c = min(BITS - len(bits), max(0, (n - 1) // rows_each).bit_length())
+        new += [{"bits": bits + (f"{i:0{c}b}" if c else "")} for i in range(1 << c)]
     name = f"data/{uuid.uuid4().hex}"
-    cut = df.join(small(more), "_bits").withColumn("bits", F.concat(F.lit("b"), _hash_bits(key).substr(F.lit(1), F.col("_length")))).drop("_bits", "_length")
-    cut.repartition("bits").write.partitionBy("bits").parquet(f"{path}/{name}")
-    written = set(CommitLog(df.sparkSession, path).folders(name))
-    out = []
-    for bits, c in cuts.items():
-        for i in range(1 << c):
-            own = bits + (f"{i:0{c}b}" if c else "")
-            out.append({"bits": own, "folder": f"{name}/bits=b{own}" if f"bits=b{own}" in written else None})
-    return out
+    tasks = min(len(new), max(2 * spark.sparkContext.defaultParallelism, -(-sum(counts.values()) // MOST_ROWS)))
+    cut = _placed(df, key, new).withColumn("bits", F.concat(F.lit("b"), "_bits")).drop("_bits")
+    cut.repartition(tasks, "bits").write.partitionBy("bits").parquet(f"{path}/{name}")
+    written = set(CommitLog(spark, path).folders(name))
+    return [b | {"folder": f"{name}/bits=b{b['bits']}" if f"bits=b{b['bits']}" in written else None} for b in new]
 
 
 def change(
@@ -84,7 +97,7 @@ def change(
         touched = {r["_bits"] for r in _placed(fresh.select(key), key, buckets).select("_bits").distinct().collect()}  # as many as buckets to rewrite
         old = [b for b in buckets if b["bits"] in touched]
         merged = merge(_read(spark, path, old, fresh.drop("ord").schema), fresh)
-        new = _write(_placed(checkpointed(merged), key, old), path, key, old, rows_each) if old else []
+        new = _write(merged, path, key, old, rows_each) if old else []
         content = {"buckets": [b for b in buckets if b["bits"] not in touched] + new, "batches": done | ({batch[0]: batch[1]} if batch else {})}
         if log.commit(number + 1, content):
             return len(touched)

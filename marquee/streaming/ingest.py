@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from marquee.operators.upsert import merge_events
+from marquee.operators.upsert import fold_fresh, merge_folded
 from marquee.schemas import EVENT
 from marquee.sources import keyed
 
@@ -34,7 +34,8 @@ def ingest(
         reader = reader.option("maxFilesPerTrigger", max_files)
 
     def merge(batch: DataFrame, number: int) -> None:
-        keyed.change(batch.sparkSession, table, "event_id", to_events(batch), merge_events, (checkpoint, number), rows_each)
+        # folded before it is kept for the merge: one row per id is written, once
+        keyed.change(batch.sparkSession, table, "event_id", fold_fresh(to_events(batch)), merge_folded, (checkpoint, number), rows_each)
 
     query = (
         reader.parquet(raw_path)

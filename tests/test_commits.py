@@ -3,9 +3,12 @@ import threading
 import pytest
 from pyspark.sql import functions as F
 
+from marquee.operators import upsert
+from marquee.operators.normalize import to_event
 from marquee.session import scratch_path
 from marquee.sources import keyed, tables
 from marquee.sources.commits import CommitLog, Conflict
+from marquee.streaming.ingest import ingest
 
 
 def test_writers_at_once_are_all_kept(spark):
@@ -94,3 +97,33 @@ def test_writers_at_once_merge_on_each_other(spark):
     for t in threads:
         t.join()
     assert len(table(spark, path, schema)) == 350 and CommitLog(spark, path).latest()[0] == 3
+
+
+def test_a_large_batch_is_written_once_and_not_read_to_be_measured(spark, monkeypatch):
+    path = scratch_path(spark, "ingest")
+    events = lambda low, high, title: to_event(
+        spark.range(low, high), event_id=F.concat(F.lit("e"), (F.col("id") % 400).cast("string")), title=F.lit(title),
+        price=F.when(F.col("id") % 3 == 0, F.concat(F.lit(f"{title} "), "id")), extra=["id"],
+    ).withColumnRenamed("id", "ord")
+    stored, fresh = events(0, 300, "old").drop("ord"), events(200, 700, "new")  # 200 .. 299 come twice
+    keyed.change(spark, f"{path}/table", "event_id", stored, lambda _, rows: rows, rows_each=50)
+    fresh.write.parquet(f"{path}/raw")
+    wanted = sorted(map(repr, upsert.merge_events(stored, fresh).collect()))
+    written, keep = [], keyed.checkpointed
+    for module in (keyed, upsert):
+        monkeypatch.setattr(module, "checkpointed", lambda df: written.append(df.columns) or keep(df))
+    monkeypatch.setattr(upsert, "SMALL_ROWS", 100, raising=False)
+    monkeypatch.setattr(upsert, "is_small", lambda df: pytest.fail("a large batch was read to be measured"))
+    ingest(spark, f"{path}/raw", fresh.schema, lambda batch: batch, f"{path}/table", f"{path}/checkpoint", rows_each=50)
+    assert len(written) == 1
+    assert sorted(map(repr, keyed.read(spark, f"{path}/table", stored.schema).collect())) == wanted
+
+
+def test_rows_are_placed_without_copies_of_them(spark):
+    df = spark.range(1000).select(F.col("id").cast("string").alias("k"), F.lit("x").alias("v")).unionByName(spark.createDataFrame([(None, "y")], "k string, v string"))
+    buckets = [{"bits": b} for b in ("00", "01", "1")]
+    placed = keyed._placed(df, "k", buckets)
+    assert sorted(placed.columns) == ["_bits", "k", "v"] and "Generate" not in placed._jdf.queryExecution().executedPlan().toString()
+    got = placed.withColumn("_hash", keyed._hash_bits("k")).collect()
+    assert len(got) == 1001 and all(r["_hash"].startswith(r["_bits"]) for r in got) and {r["_bits"] for r in got} == {"00", "01", "1"}
+    assert keyed._placed(df, "k", buckets[:1]).count() < 1001 == keyed._placed(df, "k", [{"bits": ""}]).count()
